@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.functions.text import tokens
+from sievemark.functions.text import settle, tokens
 
 # Common function words per language.
 FUNCTION_WORDS: dict[str, list[str]] = {
@@ -44,11 +44,12 @@ def with_language(
     best = F.greatest(*counts.values())
     winner = F.coalesce(*[F.when(n == best, F.lit(lang)) for lang, n in counts.items()])
     total = F.size("_hits")
-    return hit.withColumns(
+    return settle(
+        hit,
         {
             "language": F.when(total > 0, winner),
             "language_score": F.when(total > 0, best.cast("double") / total),
-        }
+        },
     ).drop("_hits", *[f"_n_{lang}" for lang in lists])
 
 

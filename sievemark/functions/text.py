@@ -6,7 +6,9 @@ short forms ``\\w``, ``\\s`` and ``\\b`` cover ASCII only in Java.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NOT_TOKEN = r"[^\p{L}\p{N}]+"
@@ -47,3 +49,13 @@ def occurrences(text: Column, needle: str) -> Column:
     """How often a literal occurs, without overlap."""
     gone = F.length(text) - F.length(F.replace(text, F.lit(needle), F.lit("")))
     return F.floor(gone / F.lit(len(needle))).cast("int")
+
+
+def settle(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add or replace columns so that each is computed once per row.
+
+    A filter on a computed column is otherwise pushed below the projection and
+    repeats its whole expression there; it does not pass a generator.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*[c for c in df.columns if c not in columns], F.inline(F.array(row)))

@@ -6,21 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.operators.components import connected_components
-from sievemark.operators.minhash import MinhashConfig, candidate_edges
+from sievemark.operators.minhash import MinhashConfig, candidate_edges, star_edges
 
 
-def duplicate_clusters(df: DataFrame, id_col: str = "id", text: str = "text", cfg: MinhashConfig = MinhashConfig()) -> DataFrame:
-    """``(id, component)`` of the documents to remove, component = the id kept."""
-    return connected_components(candidate_edges(df, id_col, text, cfg))
+def duplicate_clusters(
+    df: DataFrame, id_col: str = "id", text: str = "text", cfg: MinhashConfig = MinhashConfig(), table: DataFrame | None = None
+) -> DataFrame:
+    """``(id, component)`` of the documents to remove, component = the id kept.
+
+    ``table`` is the written band table of ``df``, if there is one already.
+    """
+    edges = candidate_edges(df, id_col, text, cfg) if table is None else star_edges(table, id_col, cfg)
+    return connected_components(edges)
 
 
-def near_dedup(df: DataFrame, id_col: str = "id", text: str = "text", cfg: MinhashConfig = MinhashConfig()) -> DataFrame:
-    """Keep the smallest id of each cluster; texts without a shingle all stay.
+def near_dedup(
+    df: DataFrame, id_col: str = "id", text: str = "text", cfg: MinhashConfig = MinhashConfig(), table: DataFrame | None = None
+) -> DataFrame:
+    """Keep the smallest id of each cluster; texts without a shingle all stay.
 
     The ids to remove are a written table, so the join sees their true size and
     broadcasts them only below Spark's own limit.
     """
-    remove = duplicate_clusters(df, id_col, text, cfg).select(F.col("id").alias(id_col))
+    remove = duplicate_clusters(df, id_col, text, cfg, table).select(F.col("id").alias(id_col))
     return df.join(remove, id_col, "left_anti")
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.functions.text import lines, occurrences, share, strip, words
+from sievemark.functions.text import lines, occurrences, settle, share, strip, words
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,7 @@ def with_gopher_features(df: DataFrame, text: str = "text", rules: GopherRules =
         "letter_word_share": share(F.size("_bare"), n_words),
         "n_stop_words": F.size(F.array_intersect("_bare", F.lit(list(rules.stop_words)))),
     }
-    return split.withColumns({k: F.when(known, v) for k, v in features.items()}).drop("_words", "_bare", "_lines")
+    return settle(split, {k: F.when(known, v) for k, v in features.items()}).drop("_words", "_bare", "_lines")
 
 
 # The names of the features above.
@@ -138,10 +138,10 @@ def with_c4(df: DataFrame, text: str = "text", rules: C4Rules = C4Rules(), given
     ended = F.filter("_lines", keep)
     allowed = F.filter(ended, lambda line: ~line.rlike(phrase))
     has_phrase = _any([low.contains(p) for p in rules.line_phrases])
-    kept = cut.withColumn("c4_text", F.array_join(F.when(has_phrase, allowed).otherwise(ended), "\n")).drop("_lines")
+    kept = settle(cut, {"c4_text": F.array_join(F.when(has_phrase, allowed).otherwise(ended), "\n")}).drop("_lines")
     breaks = F.regexp_count("c4_text", F.lit(rules.sentence_break))
     n_sentences = F.when(F.length("c4_text") == 0, 0).when(F.col("c4_text").isNotNull(), breaks + 1)
-    counted = kept.withColumn("n_sentences", n_sentences)
+    counted = settle(kept, {"n_sentences": n_sentences})
     broken = {
         "curly_bracket": body.contains("{"),
         "lorem_ipsum": low.contains("lorem ipsum"),

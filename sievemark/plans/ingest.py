@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sievemark.functions.language import FUNCTION_WORDS, in_languages, with_language
+from sievemark.functions.text import settle
 from sievemark.operators.quality import GOPHER_FEATURES, C4Rules, GopherRules, gopher_reason, with_c4, with_gopher_features
 
 
@@ -46,11 +47,9 @@ def ingest(df: DataFrame, text: str = "text", cfg: IngestConfig = IngestConfig()
         .when(F.col("_gopher").isNotNull(), F.col("_gopher"))
         .otherwise(F.col("c4_reason"))
     )
-    return (
-        cleaned.withColumns({"reject_stage": stage, "reject_reason": reason})
-        .withColumn(text, F.when(F.col("reject_stage").isNull(), F.col("c4_text")).otherwise(F.col(text)))
-        .drop("_body", "_in_language", "_gopher", "c4_text", "n_sentences", "c4_reason")
-    )
+    final = F.when(stage.isNull(), F.col("c4_text")).otherwise(F.col(text))
+    judged = settle(cleaned, {text: final, "reject_stage": stage, "reject_reason": reason})
+    return judged.drop("_body", "_in_language", "_gopher", "c4_text", "n_sentences", "c4_reason")
 
 
 def clean(ingested: DataFrame) -> DataFrame:
