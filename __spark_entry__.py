@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import oracles
 from sievemark.functions.language import with_language
-from sievemark.operators import anomaly, dedup, minhash, mixes, ngram_lm, quality, scoring, tfidf, token_stream, topics
+from sievemark.operators import anomaly, dedup, language_model, minhash, mixes, ngram_lm, quality, scoring, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
 from sievemark.sources import shards
@@ -38,6 +38,13 @@ def lang_score(spark, folder):
     return scored.select(ID, "language", F.round("language_score", 6).alias("language_score"))
 
 
+def lang_model(spark, folder):
+    """Trained on the odd half of a hash split, scored on the other."""
+    split = scoring.with_split(read_documents(spark, folder, ID, "text", "lang"), ID, 0.5)
+    model = language_model.fit_language_model(split.where(~F.col("is_test")))
+    return model.score(split.where("is_test")).select(ID, "lang", "language", "language_score")
+
+
 def gopher_features(spark, folder):
     measured = quality.with_gopher_features(read_documents(spark, folder, ID, "text"))
     return measured.select(
@@ -203,38 +210,43 @@ def shard_flag_count(spark, folder):
 
 def _mixes(spark, folder) -> mixes.Mixes:
     docs = read_documents(spark, folder, ID, "text", "source")
-    return mixes.build_mixes(docs, oracles.HELD_OUT, ID)
+    return mixes.prepare_mixes(docs, oracles.HELD_OUT, ID)
 
 
 def variant_counts(spark, folder):
-    return mixes.variant_counts(_mixes(spark, folder).variants)
+    return mixes.variant_counts(_mixes(spark, folder).variants())
 
 
 def shared_sets(spark, folder):
-    return _mixes(spark, folder).shared.select("shared_set", ID)
+    return _mixes(spark, folder).shared().select("shared_set", ID)
 
 
 def token_offsets(spark, folder):
-    return token_stream.document_offsets(_mixes(spark, folder).variants, ID).select("variant", ID, "n_tokens", "offset")
+    return token_stream.document_offsets(_mixes(spark, folder).variants(), ID).select("variant", ID, "n_tokens", "offset")
 
 
 def token_budget(spark, folder):
-    sizes = token_stream.stream_sizes(token_stream.document_offsets(_mixes(spark, folder).variants, ID))
+    sizes = token_stream.stream_sizes(token_stream.document_offsets(_mixes(spark, folder).variants(), ID))
     return sizes.withColumn("budget", F.lit(token_stream.equal_budget(sizes, ngram_lm.LossConfig.budget)).cast("long"))
 
 
 def token_blocks(spark, folder):
-    docs = _mixes(spark, folder).variants
+    docs = _mixes(spark, folder).variants()
     blocks = token_stream.token_blocks(docs, token_stream.document_offsets(docs, ID), 128, ID)
     return blocks.select("variant", "block_id", F.array_join("x", " ").alias("x"), F.array_join("y", " ").alias("y"))
 
 
+def _curve(spark, folder):
+    prepared = _mixes(spark, folder)
+    return ngram_lm.mix_curve(prepared.variants(), prepared.shared(), ID)
+
+
 def mix_curve(spark, folder):
-    return ngram_lm.mix_curve(_mixes(spark, folder), ID)[0]
+    return _curve(spark, folder)[0]
 
 
 def _mix_results(spark, folder):
-    return ngram_lm.mix_results(*ngram_lm.mix_curve(_mixes(spark, folder), ID))
+    return ngram_lm.mix_results(*_curve(spark, folder))
 
 
 def report_funnel(spark, folder):
@@ -263,6 +275,7 @@ def report_mix(spark, folder):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         lang_score,
+        lang_model,
         gopher_features,
         gopher_keep,
         c4_clean_text,

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.operators.components import connected_components
-from sievemark.operators.minhash import MinhashConfig, candidate_edges, star_edges
+from sievemark.operators.minhash import MinhashConfig, band_table, star_edges
+from sievemark.storage import discard, materialize
 
 
 def duplicate_clusters(
@@ -16,8 +17,11 @@ def duplicate_clusters(
 
     ``table`` is the written band table of ``df``, if there is one already.
     """
-    edges = candidate_edges(df, id_col, text, cfg) if table is None else star_edges(table, id_col, cfg)
-    return connected_components(edges)
+    made = materialize(band_table(df, id_col, text, cfg), "bands") if table is None else table
+    clusters = connected_components(star_edges(made, id_col, cfg))
+    if table is None:
+        discard(made)
+    return clusters
 
 
 def near_dedup(

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.text import tokens
 from sievemark.operators.groups import join_groups
-from sievemark.storage import materialize
 
 # Executors need not have this package installed: the UDF travels whole.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -112,7 +111,9 @@ def signature(token_list: Column, cfg: MinhashConfig) -> Column:
     return minhash.asNondeterministic()(token_list)
 
 
-def with_signature(df: DataFrame, text: str = "text", cfg: MinhashConfig = MinhashConfig(), out: str = "signature") -> DataFrame:
+def with_signature(
+    df: DataFrame, text: str = "text", cfg: MinhashConfig = MinhashConfig(), out: str = "signature"
+) -> DataFrame:
     return df.withColumn(out, signature(tokens(F.coalesce(F.col(text), F.lit(""))), cfg))
 
 
@@ -156,7 +157,3 @@ def star_edges(
     joined = join_groups(rows, buckets, keys, table.count() * cfg.num_buckets, limit)
     return joined.where(F.col(id_col) != F.col("parent")).select(F.col(id_col).alias("child"), "parent").distinct()
 
-
-def candidate_edges(df: DataFrame, id_col: str = "id", text: str = "text", cfg: MinhashConfig = MinhashConfig()) -> DataFrame:
-    """D1 and D2 in one go."""
-    return star_edges(materialize(band_table(df, id_col, text, cfg), "bands"), id_col, cfg)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +19,56 @@ from sievemark.storage import materialize
 VARIANTS = ("raw", "deduped", "deduped_filtered")
 
 
-@dataclass
+@dataclass(frozen=True)
 class Mixes:
-    variants: DataFrame  # (variant, id, text)
-    shared: DataFrame  # (shared_set, id, text)
-
-
-def with_source_group(docs: DataFrame, held_out: Sequence[str], source: str = "source") -> DataFrame:
-    return docs.withColumn("_held_out", F.coalesce(F.col(source).isin(list(held_out)), F.lit(False)))
-
-
-def build_mixes(
+    """Documents split into training and held-out sources, before and after the ingest filters."""
+
+    train_raw: DataFrame
+    train_clean: DataFrame
+    held_raw: DataFrame
+    held_clean: DataFrame
+    raw_bands: DataFrame
+    clean_bands: DataFrame
+    id_col: str
+    text: str
+    cfg: MinhashConfig
+
+    def variants(self) -> DataFrame:
+        """``(variant, id, text)`` of the three mixes of the training sources.
+
+        ``raw`` is everything, ``deduped`` is raw without near copies, and
+        ``deduped_filtered`` is the ingest output without near copies.
+        """
+        key = (self.id_col, self.text, self.cfg)
+        parts = (
+            self.train_raw,
+            near_dedup(self.train_raw, *key, self.raw_bands),
+            near_dedup(self.train_clean, *key, self.clean_bands),
+        )
+        return _stack("variant", dict(zip(VARIANTS, parts)), self.id_col, self.text)
+
+    def shared(self) -> DataFrame:
+        """``(shared_set, id, text)`` of the held-out sources.
+
+        ``filtered`` went through the same ingest filters, hence is closer to
+        the last mix; ``unfiltered`` did not. A held-out document that shares a
+        band with any training document is left out of both.
+        """
+        seen = [self.raw_bands, self.clean_bands]
+        key = (self.id_col, self.text, self.cfg)
+        parts = {
+            "filtered": without_near_copies(self.held_clean, seen, *key),
+            "unfiltered": without_near_copies(self.held_raw, seen, *key),
+        }
+        return _stack("shared_set", parts, self.id_col, self.text)
+
+
+def _stack(name: str, parts: dict[str, DataFrame], id_col: str, text: str) -> DataFrame:
+    named = [df.select(F.lit(value).alias(name), id_col, text) for value, df in parts.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def prepare_mixes(
     docs: DataFrame,
     held_out: Sequence[str] = (),
     id_col: str = "id",
@@ -37,40 +77,15 @@ def build_mixes(
     ingest_cfg: IngestConfig = IngestConfig(),
     cfg: MinhashConfig = MinhashConfig(),
 ) -> Mixes:
-    """The three mixes of the training sources, and two sets of the held-out ones.
-
-    ``raw`` is everything, ``deduped`` is raw without near copies, and
-    ``deduped_filtered`` is the ingest output without near copies. The held-out
-    sources give ``filtered`` (through the same ingest filters, hence closer to
-    the last mix) and ``unfiltered``. A held-out document that shares a band
-    with any training document is left out of both.
-    """
-    grouped = with_source_group(docs.select(id_col, text, source), held_out, source).drop(source)
-    raw = materialize(grouped, "mix-raw")
+    """Ingest once and sign the training documents once, for mixes and shared sets alike."""
+    held = F.coalesce(F.col(source).isin(list(held_out)), F.lit(False))
+    raw = docs.select(id_col, text, held.alias("_held_out"))
     kept = materialize(clean(ingest(raw, text, ingest_cfg)).select(id_col, text, "_held_out"), "mix-clean")
-
-    train_raw, eval_raw = _halves(raw)
-    train_clean, eval_clean = _halves(kept)
+    train_raw, held_raw = _halves(raw)
+    train_clean, held_clean = _halves(kept)
     raw_bands = materialize(band_table(train_raw, id_col, text, cfg), "raw-bands")
     clean_bands = materialize(band_table(train_clean, id_col, text, cfg), "clean-bands")
-
-    parts = {
-        "raw": train_raw,
-        "deduped": near_dedup(train_raw, id_col, text, cfg, raw_bands),
-        "deduped_filtered": near_dedup(train_clean, id_col, text, cfg, clean_bands),
-    }
-    variants = None
-    for name in VARIANTS:
-        part = parts[name].select(F.lit(name).alias("variant"), id_col, text)
-        variants = part if variants is None else variants.unionByName(part)
-
-    shared = None
-    seen = [raw_bands, clean_bands]
-    for name, part in (("filtered", eval_clean), ("unfiltered", eval_raw)):
-        fresh = without_near_copies(part, seen, id_col, text, cfg) if held_out else part
-        fresh = fresh.select(F.lit(name).alias("shared_set"), id_col, text)
-        shared = fresh if shared is None else shared.unionByName(fresh)
-    return Mixes(variants, shared)
+    return Mixes(train_raw, train_clean, held_raw, held_clean, raw_bands, clean_bands, id_col, text, cfg)
 
 
 def _halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:

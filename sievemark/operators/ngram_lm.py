@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.operators.groups import join_groups
-from sievemark.operators.mixes import VARIANTS, Mixes
+from sievemark.operators.mixes import VARIANTS
 from sievemark.operators.token_stream import (
     END,
     document_offsets,
@@ -48,7 +48,16 @@ def _pairs(text: str) -> Column:
     return F.arrays_zip(F.slice(before, F.lit(1), F.size(seq)).alias("prev"), seq.alias("cur"))
 
 
-def pair_counts(mixes: Mixes, offsets: DataFrame, sizes: DataFrame, budget: int, id_col: str, text: str, cfg: LossConfig) -> DataFrame:
+def pair_counts(
+    variants: DataFrame,
+    shared: DataFrame,
+    offsets: DataFrame,
+    sizes: DataFrame,
+    budget: int,
+    id_col: str,
+    text: str,
+    cfg: LossConfig,
+) -> DataFrame:
     """``(variant, prev, cur)`` with its count up to each step, in validation and in the shared sets.
 
     Training, validation and shared pairs meet in one aggregation, combined on
@@ -60,7 +69,7 @@ def pair_counts(mixes: Mixes, offsets: DataFrame, sizes: DataFrame, budget: int,
     )
     cuts = token_cuts(offsets, limits)
     # One row per mix.
-    docs = mixes.variants.withColumn("draw", shuffle_key(id_col, cfg.seed)).join(F.broadcast(cuts), "variant")
+    docs = variants.withColumn("draw", shuffle_key(id_col, cfg.seed)).join(F.broadcast(cuts), "variant")
     docs = docs.withColumn("_pairs", _pairs(text))
     before = tokens_before(cfg.steps + 1, F.size("_pairs"))
     docs = docs.select("variant", "_pairs", *[b.alias(f"_t{k}") for k, b in zip([*steps, "val"], before)])
@@ -76,9 +85,9 @@ def pair_counts(mixes: Mixes, offsets: DataFrame, sizes: DataFrame, budget: int,
         (F.col("_i") >= F.col("_tval")).cast("long").alias("val"),
         *[F.lit(0).cast("long").alias(name) for name in SHARED],
     )
-    shared = mixes.shared.select("shared_set", F.inline(_pairs(text))).groupBy("prev", "cur")
-    shared = shared.agg(*[F.count_if(F.col("shared_set") == name).alias(name) for name in SHARED])
-    shared = shared.select(
+    tallied = shared.select("shared_set", F.inline(_pairs(text))).groupBy("prev", "cur")
+    tallied = tallied.agg(*[F.count_if(F.col("shared_set") == name).alias(name) for name in SHARED])
+    tallied = tallied.select(
         F.explode(F.lit(list(VARIANTS))).alias("variant"),
         "prev",
         "cur",
@@ -87,18 +96,20 @@ def pair_counts(mixes: Mixes, offsets: DataFrame, sizes: DataFrame, budget: int,
         *SHARED,
     )
     counts = [f"c{k}" for k in steps] + ["val", *SHARED]
-    return own.unionByName(shared).groupBy("variant", "prev", "cur").agg(*[F.sum(c).alias(c) for c in counts])
+    return own.unionByName(tallied).groupBy("variant", "prev", "cur").agg(*[F.sum(c).alias(c) for c in counts])
 
 
-def mix_curve(mixes: Mixes, id_col: str = "id", text: str = "text", cfg: LossConfig = LossConfig()) -> tuple[DataFrame, DataFrame]:
+def mix_curve(
+    variants: DataFrame, shared: DataFrame, id_col: str = "id", text: str = "text", cfg: LossConfig = LossConfig()
+) -> tuple[DataFrame, DataFrame]:
     """The loss curve ``(variant, step, tokens, ..._loss)``, and the stream sizes.
 
     Losses are mean -ln p, rounded to 6; null where a part has no tokens.
     """
-    offsets = document_offsets(mixes.variants, id_col, text, cfg.seed)
+    offsets = document_offsets(variants, id_col, text, cfg.seed)
     sizes = materialize(stream_sizes(offsets, cfg.val_fraction), "stream-sizes")
     budget = equal_budget(sizes, cfg.budget)
-    pairs = materialize(pair_counts(mixes, offsets, sizes, budget, id_col, text, cfg), "pair-counts")
+    pairs = materialize(pair_counts(variants, shared, offsets, sizes, budget, id_col, text, cfg), "pair-counts")
     n_pairs = pairs.count()
     n_vocabulary = pairs.select("cur").distinct().count()
 

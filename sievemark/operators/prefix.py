@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from math import ceil, isqrt
 
@@ -47,17 +46,13 @@ def range_bucket(key: str, bounds: Sequence, key_type: T.DataType) -> Column:
         return F.lit(0)
     step = isqrt(len(bounds) - 1) + 1
     slices = [list(bounds[i : i + step]) for i in range(0, len(bounds), step)]
-    firsts = _literal([s[0] for s in slices], T.ArrayType(key_type))
-    nested = _literal(slices, T.ArrayType(T.ArrayType(key_type)))
+    firsts = F.array(*[F.lit(s[0]).cast(key_type) for s in slices])
+    nested = F.array(*[F.array(*[F.lit(b).cast(key_type) for b in s]) for s in slices])
     slot = F.size(F.filter(firsts, lambda b: b <= F.col(key)))
     inside = F.size(F.filter(F.element_at(nested, slot), lambda b: b <= F.col(key)))
     return F.when(slot == 0, F.lit(0)).otherwise((slot - 1) * step + inside)
 
 
-def _literal(values: list, data_type: T.DataType) -> Column:
-    return F.from_json(F.lit(json.dumps({"v": values})), T.StructType([T.StructField("v", data_type)]))["v"]
-
-
 def prefix_sum(
     df: DataFrame,
     order_by: str,

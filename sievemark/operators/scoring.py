@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievemark.operators.prefix import ROWS_PER_BUCKET, global_index, prefix_sum
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
-from sievemark.storage import materialize
+from sievemark.storage import materialize, scratch_path
 
 
 def training_set(ingested: DataFrame) -> DataFrame:
@@ -33,7 +33,12 @@ def with_split(df: DataFrame, id_col: str = "id", test_share: float = 0.2, seed:
 
 
 def with_exact_split(
-    df: DataFrame, id_col: str = "id", label: str = "label", test_share: float = 0.2, seed: int = 42, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame,
+    id_col: str = "id",
+    label: str = "label",
+    test_share: float = 0.2,
+    seed: int = 42,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """M5, exact: ``round(test_share * n)`` test rows in each label, in hash order.
 
@@ -71,7 +76,9 @@ class QualityModel:
         return scored.withColumn("quality_score", vector_to_array("probability")[1]).drop(*made)
 
 
-def fit_quality(train: DataFrame, text: str = "text", label: str = "label", max_iter: int = 1000, cfg: TfidfConfig = TfidfConfig()) -> QualityModel:
+def fit_quality(
+    train: DataFrame, text: str = "text", label: str = "label", max_iter: int = 1000, cfg: TfidfConfig = TfidfConfig()
+) -> QualityModel:
     """M6: logistic regression with an L2 penalty of strength 1 on balanced classes.
 
     Spark divides the loss by the weight total, which balancing makes n, so the
@@ -82,12 +89,23 @@ def fit_quality(train: DataFrame, text: str = "text", label: str = "label", max_
     features = materialize(balanced_weights(vectors, label), "train-features")
     n_train = features.count()
     trainer = LogisticRegression(
-        featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter, regParam=1.0 / n_train, standardization=False
+        featuresCol="features",
+        labelCol=label,
+        weightCol="weight",
+        maxIter=max_iter,
+        regParam=1.0 / n_train,
+        standardization=False,
     )
-    return QualityModel(tfidf, trainer.fit(features), text, cfg)
+    # Read back, the model no longer holds its training data and session, which
+    # a task could not be sent with.
+    path = scratch_path(train.sparkSession, "quality-model")
+    trainer.fit(features).save(path)
+    return QualityModel(tfidf, LogisticRegressionModel.load(path), text, cfg)
 
 
-def score_quality(scored: DataFrame, score: str = "quality_score", label: str = "label", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def score_quality(
+    scored: DataFrame, score: str = "quality_score", label: str = "label", rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """M8: one row ``n, n_positive, accuracy, roc_auc`` for any score and 0/1 label.
 
     AUC is the Mann-Whitney statistic with ties at one half: rows are counted
@@ -117,7 +135,12 @@ def score_quality(scored: DataFrame, score: str = "quality_score", label: str =
 QUANTILES = {"min": 0.0, "p25": 0.25, "median": 0.5, "p75": 0.75, "max": 1.0}
 
 
-def score_quantiles(scored: DataFrame, score: str = "quality_score", points: dict[str, float] = QUANTILES, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def score_quantiles(
+    scored: DataFrame,
+    score: str = "quality_score",
+    points: dict[str, float] = QUANTILES,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
     """M9: one row of exact quantiles, linear between neighbours.
 
     Scores are counted per distinct value; a running sum gives the rank range
@@ -125,7 +148,8 @@ def score_quantiles(scored: DataFrame, score: str = "quality_score", points: dic
     """
     value = F.col(score).cast("double").alias("score")
     tallies = scored.where(F.col(score).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = prefix_sum(materialize(tallies, "score-tallies"), "score", "n", rows_per_bucket=rows_per_bucket)
+    tallies = materialize(tallies, "score-tallies")
+    ranked = prefix_sum(tallies, "score", "n", rows_per_bucket=rows_per_bucket)
     total = tallies.agg(F.sum("n").alias("total"))
     at = {name: (F.col("total") - 1) * F.lit(q) for name, q in points.items()}
 

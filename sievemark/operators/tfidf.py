@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -84,7 +83,8 @@ def tfidf_terms(df: DataFrame, id_col: str = "id", text: str = "text", cfg: Tfid
         F.unwrap_udt("_tf")["values"].alias("tf"),
         F.unwrap_udt("features")["values"].alias("weight"),
     )
-    listed = F.from_json(F.lit(json.dumps(counts.vocabulary)), "array<string>")
     flat = vectors.select(id_col, F.inline(pairs))
-    return flat.select(id_col, listed[F.col("index")].alias("term"), F.col("tf").cast("int").alias("tf"), "weight")
-
+    # At most max_features rows.
+    listed = df.sparkSession.createDataFrame(list(enumerate(counts.vocabulary)), "index int, term string")
+    named = flat.join(F.broadcast(listed), "index")
+    return named.select(id_col, "term", F.col("tf").cast("int").alias("tf"), "weight")

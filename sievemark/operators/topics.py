@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,10 +12,21 @@ from pyspark.sql import functions as F
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
 from sievemark.storage import materialize
 
+MAX_PARALLEL_FITS = 4
+
 
 def fit_topics(features: DataFrame, k: int, seed: int = 42, n_init: int = 10) -> KMeansModel:
-    """The cheapest of ``n_init`` fits, seeds counting up from ``seed``."""
-    fits = (KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="topic_cluster").fit(features) for i in range(n_init))
+    """The cheapest of ``n_init`` fits, seeds counting up from ``seed``.
+
+    The fits share the cluster: each is a chain of short jobs that leaves cores
+    idle between them.
+    """
+
+    def fit(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="topic_cluster").fit(features)
+
+    with ThreadPool(min(n_init, MAX_PARALLEL_FITS)) as pool:
+        fits = pool.map(inheritable_thread_target(features.sparkSession)(fit), range(n_init))
     return min(fits, key=lambda model: model.summary.trainingCost)
 
 

@@ -39,6 +39,11 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or folder
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a result that is used more than once and read it back.
 
@@ -46,7 +51,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     prunable, and tells the optimizer its true size for the next join.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
