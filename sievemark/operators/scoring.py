@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievemark.operators.prefix import ROWS_PER_BUCKET, global_index, prefix_sum
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
-from sievemark.storage import materialize, scratch_path
+from sievemark.storage import compact, materialize, scratch_path
 
 
 def training_set(ingested: DataFrame) -> DataFrame:
@@ -86,8 +86,9 @@ def fit_quality(
     """
     tfidf = fit_tfidf(train, text, cfg)
     vectors = transform_tfidf(tfidf, train.select(text, label), text, cfg).select("features", label)
-    features = materialize(balanced_weights(vectors, label), "train-features")
-    n_train = features.count()
+    written = materialize(vectors, "train-features")
+    n_train = written.count()
+    features = compact(balanced_weights(written, label), n_train).persist()
     trainer = LogisticRegression(
         featuresCol="features",
         labelCol=label,
@@ -100,6 +101,7 @@ def fit_quality(
     # a task could not be sent with.
     path = scratch_path(train.sparkSession, "quality-model")
     trainer.fit(features).save(path)
+    features.unpersist()
     return QualityModel(tfidf, LogisticRegressionModel.load(path), text, cfg)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ def vocabulary(df: DataFrame, text: str = "text", cfg: TfidfConfig = TfidfConfig
     document's terms puts equal ones side by side, so the first of each run
     marks the document, and both counts combine on the map side.
     """
-    in_order = df.select(F.array_sort(terms(text, cfg)).alias("_terms"))
+    in_order = df.select(F.sort_array(terms(text, cfg)).alias("_terms"))
     marked = F.transform(
         "_terms", lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get("_terms", i - 1) != t)).cast("int").alias("first"))
     )
@@ -62,8 +62,12 @@ def fit_tfidf(df: DataFrame, text: str = "text", cfg: TfidfConfig = TfidfConfig(
     rows = top.select("term", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1).alias("idf")).collect()
     if not rows:
         raise ValueError(f"no term occurs in {cfg.min_df} documents")
-    counts = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol="terms", outputCol="_tf")
-    weights = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf", outputCol="_tfidf")
+    # One row that holds each term once makes a counter of exactly these terms.
+    listed = df.sparkSession.createDataFrame([([r["term"] for r in rows],)], "terms array<string>")
+    counts = CountVectorizer(vocabSize=len(rows), inputCol="terms", outputCol="_tf").fit(listed)
+    idf = {r["term"]: r["idf"] for r in rows}
+    in_order = Vectors.dense([idf[t] for t in counts.vocabulary])
+    weights = ElementwiseProduct(scalingVec=in_order, inputCol="_tf", outputCol="_tfidf")
     unit = Normalizer(p=2.0, inputCol="_tfidf", outputCol="features")
     return PipelineModel([counts, weights, unit])
 

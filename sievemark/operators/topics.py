@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
-from sievemark.storage import materialize
+from sievemark.storage import compact, materialize
 
 MAX_PARALLEL_FITS = 4
 
@@ -49,8 +49,8 @@ def topic_clusters(
     if n_docs == 0:
         raise ValueError("no documents to cluster")
     vectors = transform_tfidf(fit_tfidf(df, text, cfg), df.select(id_col, text), text, cfg).select(id_col, "features")
-    features = materialize(vectors.sortWithinPartitions(id_col), "features")
-    features.persist()
+    written = materialize(vectors.sortWithinPartitions(id_col), "features")
+    features = compact(written, n_docs).persist()
     model = fit_topics(features, min(n_clusters, n_docs), seed, n_init)
     features.unpersist()
     labels = model.transform(features).select(id_col, F.col("topic_cluster").cast("int").alias("topic_cluster"))
