@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 N_FEATURES = 1 << 14
+SMOOTHING = 0.01  # small, so that the many unused features do not outweigh a short training text
 
 
 def with_character_grams(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -47,4 +48,4 @@ def fit_language_model(df: DataFrame, text: str = "text", label: str = "lang") -
     languages = sorted(row[0] for row in df.select(label).distinct().collect())
     index = F.array_position(F.lit(languages), F.col(label)) - 1
     labelled = _hashed(df.select(text, index.cast("double").alias("_label")), text)
-    return LanguageModel(NaiveBayes(featuresCol="_features", labelCol="_label").fit(labelled), languages)
+    return LanguageModel(NaiveBayes(smoothing=SMOOTHING, featuresCol="_features", labelCol="_label").fit(labelled), languages)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievemark.functions.text import settle
+
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4_096
 SAMPLES_PER_BUCKET = 50
@@ -70,8 +72,8 @@ def prefix_sum(
     """
     key_type = df.schema[order_by].dataType
     amount = F.col(value) if isinstance(value, str) else value
-    bucketed = df.withColumn("_bucket", range_bucket(order_by, range_bounds(df, order_by, rows_per_bucket), key_type))
-    bucketed = bucketed.withColumn("_amount", amount)
+    bucket = range_bucket(order_by, range_bounds(df, order_by, rows_per_bucket), key_type)
+    bucketed = settle(df, {**{c: F.col(c) for c in df.columns}, "_bucket": bucket, "_amount": amount})
     keys = [*by, "_bucket"]
     totals = bucketed.groupBy(*keys).agg(F.sum("_amount").alias("_total"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

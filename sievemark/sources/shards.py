@@ -74,10 +74,11 @@ def write_shards(df: DataFrame, folder: str, crawl: str, rows_per_shard: int = 1
     """
     spark = df.sparkSession
     rows, n_shards = with_shard(to_shard_rows(df, crawl), "id", rows_per_shard)
-    if n_shards:
-        placed = rows.repartitionById(n_shards, "shard").sortWithinPartitions("crawl", "id").drop("shard")
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.option("compression", "snappy").partitionBy("crawl").parquet(folder)
+    if not n_shards:
+        return spark.createDataFrame([], "shard string, rows long, size_bytes long")
+    placed = rows.repartitionById(n_shards, "shard").sortWithinPartitions("crawl", "id").drop("shard")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", "snappy").partitionBy("crawl").parquet(folder)
     return shard_files(read_shards(spark, folder).where(F.col("crawl") == crawl))
 
 
