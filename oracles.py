@@ -230,7 +230,7 @@ FLAGS = "list_filter([" + ", ".join(
 
 HELD_OUT = ("src18", "src19")
 HELD = ", ".join(f"'{s}'" for s in HELD_OUT)
-STEPS = 10
+STEPS = 6
 BUDGET = 600 * 32 * 128
 
 

@@ -31,7 +31,7 @@ from sievemark.storage import materialize
 @dataclass(frozen=True)
 class LossConfig:
     budget: int = 600 * 32 * 128  # steps x batch x block
-    steps: int = 10  # points on the loss curve
+    steps: int = 6  # points on the loss curve: every 100 of 600 training steps
     val_fraction: float = 0.1
     weight: float = 0.75
     seed: int = 1234
