@@ -39,7 +39,7 @@ def lang_score(spark, folder):
 
 
 def lang_model(spark, folder):
-    """Trained on the odd half of a hash split, scored on the other."""
+    """Trained on one half of a hash split, scored on the other."""
     split = scoring.with_split(read_documents(spark, folder, ID, "text", "lang"), ID, 0.5)
     model = language_model.fit_language_model(split.where(~F.col("is_test")))
     return model.score(split.where("is_test")).select(ID, "lang", "language", "language_score")
