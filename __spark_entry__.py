@@ -16,6 +16,13 @@ from sievemark.sources import shards
 from sievemark.sources.tables import read_documents, read_pages
 from sievemark.storage import materialize
 
+try:
+    import sievemark.llm.queries as llm
+except ModuleNotFoundError as missing:  # the library works without that subpackage
+    if not (missing.name or "").startswith(("sievemark.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 SMOKE = "/root/testdata/sf0.001"
 ID = "doc_id"
 
@@ -316,8 +323,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         report_loss,
         report_mix,
     ]
-    return {query.__name__: query for query in listed}
+    return {query.__name__: query for query in listed} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_queries()
+    return oracles.all_queries() | (llm.oracle_sql() if llm else {})
