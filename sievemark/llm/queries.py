@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, token_count
+from sievemark.llm import bpe, simhash_golay, token_count
 
 ID = "doc_id"
 WORD_BPE = "word_bpe_49k.json"
@@ -31,6 +31,11 @@ def op1_bpe(spark, folder):
     )
 
 
+def op3_simhash(spark, folder):
+    found = simhash_golay.near_copies(documents(spark, folder))
+    return found.select(ID, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_token_counts(spark, folder):
     counted = token_count.count_tokens(documents(spark, folder), public_tokenizers.path(BYTE_BPE))
     return counted.select(
@@ -42,7 +47,7 @@ def op10_token_counts(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op10_token_counts]
+    listed = [op1_bpe, op3_simhash, op10_token_counts]
     return {query.__name__: query for query in listed}
 
 
