@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, simhash_golay, token_count
+from sievemark.llm import bpe, secret_scan, simhash_golay, token_count
 
 ID = "doc_id"
 WORD_BPE = "word_bpe_49k.json"
@@ -31,6 +31,21 @@ def op1_bpe(spark, folder):
     )
 
 
+def op2_secrets(spark, folder):
+    found = secret_scan.find_secrets(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda rows: F.array_join(
+        F.transform(rows, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return found.select(
+        ID,
+        *[count(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_simhash(spark, folder):
     found = simhash_golay.near_copies(documents(spark, folder))
     return found.select(ID, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -47,7 +62,7 @@ def op10_token_counts(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op3_simhash, op10_token_counts]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op10_token_counts]
     return {query.__name__: query for query in listed}
 
 
