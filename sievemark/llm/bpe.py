@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 
 SHORT = 64  # parts up to which a row is scanned
 NONE = np.iinfo(np.int32).max  # the rank of a pair that never merges
-CACHE = 400_000  # pieces of text a task remembers
+CACHE = 250_000  # pieces of text a task remembers
 LONG_PIECE = 256  # longer pieces are not remembered
-CHARS = 1_000_000  # characters handled at once
+CHARS = 500_000  # characters handled at once
 
 # The split patterns of the two public vocabularies, with \s written out as the White_Space property.
 _WS = r"\t-\r\x20\x85\xa0  -     　"

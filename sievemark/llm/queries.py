@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, secret_scan, simhash_golay, token_count
+from sievemark.llm import bpe, secret_scan, simhash_golay, token_count, vector_lsh
 
 ID = "doc_id"
 WORD_BPE = "word_bpe_49k.json"
@@ -51,6 +51,11 @@ def op3_simhash(spark, folder):
     return found.select(ID, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_vectors(spark, folder):
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    return vector_lsh.near_vectors(vectors)
+
+
 def op10_token_counts(spark, folder):
     counted = token_count.count_tokens(documents(spark, folder), public_tokenizers.path(BYTE_BPE))
     return counted.select(
@@ -62,7 +67,7 @@ def op10_token_counts(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op10_token_counts]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op10_token_counts]
     return {query.__name__: query for query in listed}
 
 
