@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, secret_scan, simhash_golay, token_count, vector_lsh
+from sievemark.llm import bpe, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
 
 ID = "doc_id"
 WORD_BPE = "word_bpe_49k.json"
@@ -56,6 +56,20 @@ def op5_vectors(spark, folder):
     return vector_lsh.near_vectors(vectors)
 
 
+def _remainder(folds: int):
+    return F.pmod(F.crc32(F.col(ID).cast("string").cast("binary")), F.lit(folds))
+
+
+def op6_toxicity(spark, folder):
+    """Learned from the rows whose remainder is not 0; every document is scored."""
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(_remainder(5) != 0)
+    scored = toxicity.fit_toxicity(docs, labels).score(docs)
+    return scored.select(
+        ID, (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_token_counts(spark, folder):
     counted = token_count.count_tokens(documents(spark, folder), public_tokenizers.path(BYTE_BPE))
     return counted.select(
@@ -67,7 +81,7 @@ def op10_token_counts(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op10_token_counts]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op6_toxicity, op10_token_counts]
     return {query.__name__: query for query in listed}
 
 
