@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
+from sievemark.llm import bpe, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
+from sievemark.storage import materialize
 
 ID = "doc_id"
 WORD_BPE = "word_bpe_49k.json"
@@ -70,6 +71,16 @@ def op6_toxicity(spark, folder):
     )
 
 
+def op9_quality(spark, folder):
+    """Learned from the rows whose remainder is not 1; every document is scored."""
+    measured = materialize(quality_qda.with_statistics(documents(spark, folder)).select(ID, "features"), "statistics")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(_remainder(3) != 1).select(ID, F.col("quality").alias("label"))
+    scored = quality_qda.fit_discriminant(measured.join(labels, ID)).score(measured)
+    return scored.select(
+        ID, (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_token_counts(spark, folder):
     counted = token_count.count_tokens(documents(spark, folder), public_tokenizers.path(BYTE_BPE))
     return counted.select(
@@ -81,7 +92,7 @@ def op10_token_counts(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op6_toxicity, op10_token_counts]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op6_toxicity, op9_quality, op10_token_counts]
     return {query.__name__: query for query in listed}
 
 
