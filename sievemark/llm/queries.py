@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
+from sievemark.llm import bpe, line_dedup, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
 from sievemark.storage import materialize
 
 ID = "doc_id"
@@ -71,6 +71,11 @@ def op6_toxicity(spark, folder):
     )
 
 
+def op7_line_dedup(spark, folder):
+    """Every document with the lines that stay."""
+    return line_dedup.dedup_lines(documents(spark, folder)).select(ID, "n_lines_removed", "text")
+
+
 def op9_quality(spark, folder):
     """Learned from the rows whose remainder is not 1; every document is scored."""
     measured = materialize(quality_qda.with_statistics(documents(spark, folder)).select(ID, "features"), "statistics")
@@ -92,7 +97,7 @@ def op10_token_counts(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op6_toxicity, op9_quality, op10_token_counts]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op6_toxicity, op7_line_dedup, op9_quality, op10_token_counts]
     return {query.__name__: query for query in listed}
 
 
