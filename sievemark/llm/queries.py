@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import bpe, line_dedup, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
+from sievemark.llm import bpe, decontaminate, line_dedup, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
 from sievemark.storage import materialize
 
 ID = "doc_id"
@@ -52,6 +52,19 @@ def op3_simhash(spark, folder):
     return found.select(ID, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_decontaminate(spark, folder):
+    """The benchmark items found in each document."""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontaminate.with_leaks(documents(spark, folder), benchmark)
+    return found.select(
+        ID,
+        F.size("leaks").cast("long").alias("n_items"),
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.transform("leaks", lambda x: x["item_id"]).alias("items"),
+        F.round(F.array_max(F.transform("leaks", lambda x: x["lcs"])), 6).alias("best_lcs"),
+    )
+
+
 def op5_vectors(spark, folder):
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
     return vector_lsh.near_vectors(vectors)
@@ -97,7 +110,7 @@ def op10_token_counts(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op5_vectors, op6_toxicity, op7_line_dedup, op9_quality, op10_token_counts]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op4_decontaminate, op5_vectors, op6_toxicity, op7_line_dedup, op9_quality, op10_token_counts]
     return {query.__name__: query for query in listed}
 
 
