@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sievemark.llm import bpe, decontaminate, line_dedup, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
 from sievemark.storage import materialize
 
@@ -109,8 +110,13 @@ def op10_token_counts(spark, folder):
     )
 
 
+def pipeline(spark, folder):
+    """The corpus pipeline; ``ids`` joined, so that the rows can be compared."""
+    return corpus_pipeline.run(spark, folder).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), " "))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op4_decontaminate, op5_vectors, op6_toxicity, op7_line_dedup, op9_quality, op10_token_counts]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op4_decontaminate, op5_vectors, op6_toxicity, op7_line_dedup, op9_quality, op10_token_counts, pipeline]
     return {query.__name__: query for query in listed}
 
 
