@@ -73,7 +73,9 @@ def _matrix(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Row numbers and matrix of the vectors of each dimension."""
     at = column.offsets.to_numpy()
     sizes = np.diff(at)
-    values = column.values.to_numpy().astype(np.float64)
+    # A slice shares its values with the whole column: take its own part only.
+    values = column.values[at[0] : at[-1]].to_numpy().astype(np.float64)
+    at = at - at[0]
     out = []
     for d in np.unique(sizes):
         rows = np.flatnonzero(sizes == d)
