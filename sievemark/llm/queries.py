@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sievemark.llm import bpe, decontaminate, line_dedup, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
+from sievemark.llm import bpe, decontaminate, kneser_ney, line_dedup, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
 from sievemark.storage import materialize
 
 ID = "doc_id"
@@ -90,6 +90,15 @@ def op7_line_dedup(spark, folder):
     return line_dedup.dedup_lines(documents(spark, folder)).select(ID, "n_lines_removed", "text")
 
 
+def op8_language_model(spark, folder):
+    """Learned from the documents whose remainder is not 2; every document is scored."""
+    docs = documents(spark, folder)
+    model = kneser_ney.fit_pairs(docs.where(F.coalesce(_remainder(7) != 2, F.lit(True))))
+    return kneser_ney.with_scores(docs, model).select(
+        ID, (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op9_quality(spark, folder):
     """Learned from the rows whose remainder is not 1; every document is scored."""
     measured = materialize(quality_qda.with_statistics(documents(spark, folder)).select(ID, "features"), "statistics")
@@ -116,7 +125,7 @@ def pipeline(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op4_decontaminate, op5_vectors, op6_toxicity, op7_line_dedup, op9_quality, op10_token_counts, pipeline]
+    listed = [op1_bpe, op2_secrets, op3_simhash, op4_decontaminate, op5_vectors, op6_toxicity, op7_line_dedup, op8_language_model, op9_quality, op10_token_counts, pipeline]
     return {query.__name__: query for query in listed}
 
 
