@@ -77,7 +77,8 @@ class Ratios:
             if k > SHARED:
                 # The context of this n-gram is the shorter one that ends a letter earlier.
                 context = np.concatenate([[-1], before[:-1]])
-                backed = current + np.where(context >= 0, self.weight[k - SHARED - 1][context], 0.0)
+                weight = np.append(self.weight[k - SHARED - 1], 0.0)  # the last one stands for an unseen context
+                backed = current + weight[context]
                 reach = place >= k - 1
                 current = np.where(reach & (found >= 0), self.ratio[k - SHARED][found], np.where(reach, backed, current))
             before = found
