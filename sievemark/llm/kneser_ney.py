@@ -19,14 +19,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemark.storage import materialize, scratch_path
 
-CHUNK = 4_000_000  # bytes of text handled at once
-HELD = 2_000_000  # pairs a task combines before it hands them on
+CHUNK = 1_500_000  # bytes of text handled at once
+HELD = 1_500_000  # pairs a task combines before it hands them on
 HEAVY_SHARE = 1e-3  # share of all words from which a context is dealt out; so there are fewer than 1 / HEAVY_SHARE
 START = np.uint64(0x5DEECE66D1234567)
 END = np.uint64(0x2545F4914F6CDD1D)
@@ -99,19 +100,16 @@ class Words:
         return out, sizes
 
 
-def _pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    begin, total = 0, 0
-    for k, t in enumerate(texts):
-        total += len(t)
-        if total >= CHUNK:
-            yield begin, k + 1
-            begin, total = k + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+def _pieces(column: pa.Array) -> Iterator[list[bytes]]:
+    """The texts of a column, about CHUNK bytes at a time; null texts are empty."""
+    column = column.cast(pa.binary())
+    ends = np.cumsum([n or 0 for n in pc.binary_length(column).to_pylist()])
+    begin = 0
+    while begin < len(column):
+        floor = ends[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, floor + CHUNK, side="right")))
+        yield [t or b"" for t in column.slice(begin, stop - begin).to_pylist()]
+        begin = stop
 
 
 def _pairs(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -265,9 +263,8 @@ def _heavy_words(docs: DataFrame, text: str, share: float) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            texts = _bytes(batch.column(0))
-            for a, b in _pieces(texts):
-                tokens, _ = words(texts[a:b])
+            for texts in _pieces(batch.column(0)):
+                tokens, _ = words(texts)
                 h, n = np.unique(tokens, return_counts=True)
                 some = n >= share * len(tokens) / 2
                 # One more row, hash 0, holds the number of tokens.
@@ -318,9 +315,8 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
 
         size = 0
         for batch in batches:
-            texts = _bytes(batch.column(0))
-            for a, b in _pieces(texts):
-                tokens, _ = words(texts[a:b])
+            for texts in _pieces(batch.column(0)):
+                tokens, _ = words(texts)
                 distinct, left, right, which = _pairs(tokens)
                 held.append((distinct[left], distinct[right] >> np.uint64(16), np.bincount(which, minlength=len(left)).astype(np.int64)))
                 size += len(left)
@@ -421,10 +417,9 @@ def with_scores(df: DataFrame, model: PairModel, text: str = "text") -> DataFram
         words = Words()
         for batch in batches:
             names = [n for n in batch.schema.names if n not in new]
-            texts = _bytes(batch.column(text))
             parts = []
-            for a, b in _pieces(texts):
-                tokens, sizes = words(texts[a:b])
+            for texts in _pieces(batch.column(text)):
+                tokens, sizes = words(texts)
                 parts.append((sizes - 1, *model.score(tokens, sizes)))
             made = [pa.array(np.concatenate(x)) for x in zip(*parts)] if parts else [pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())] * 2
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *made], names=[*names, *new])
