@@ -28,12 +28,10 @@ def join_groups(
     ``groups`` carries ``n_rows``, the number of rows per key. Ordinary groups
     meet in a shuffle join. Heavy ones, one of which may hold a third of all
     rows, never enter that shuffle: their few group rows are broadcast and
-    joined where the rows already are.
+    joined where the rows already are. Both ways run at every size.
     """
     limit = heavy_limit(total_rows) if limit is None else limit
     keys = list(keys)
-    if total_rows <= limit:  # no group can be heavy
-        return rows.join(groups.drop("n_rows"), keys)
     heavy = F.broadcast(groups.where(F.col("n_rows") > limit).drop("n_rows"))
     light = groups.where(F.col("n_rows") <= limit).drop("n_rows")
     return (

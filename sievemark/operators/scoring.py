@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievemark.operators.prefix import ROWS_PER_BUCKET, global_index, prefix_sum
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
-from sievemark.storage import compact, materialize, scratch_path
+from sievemark.storage import materialize, scratch_path
 
 
 def training_set(ingested: DataFrame) -> DataFrame:
@@ -43,22 +43,26 @@ def with_exact_split(
     """M5, exact: ``round(test_share * n)`` test rows in each label, in hash order.
 
     The order is global over a label but built from key ranges, so a label that
-    holds most rows is still spread over many tasks.
+    holds most rows is still spread over many tasks. ``label`` has few values;
+    rows with the same id fall on the same side.
     """
     drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     keyed = df.select(id_col, label).withColumn("_draw", drawn)
     ranked = global_index(keyed, "_draw", by=[label], rows_per_bucket=rows_per_bucket)
     quota = keyed.groupBy(label).agg(F.round(F.count(F.lit(1)) * test_share).cast("long").alias("_quota"))
-    chosen = ranked.join(quota, label).select(id_col, (F.col("row_index") < F.col("_quota")).alias("is_test"))
-    return df.join(chosen, id_col)
+    # The last draw that is in, one row a label; rows then decide for themselves, without a join by id.
+    last = ranked.join(F.broadcast(quota), label).where(F.col("row_index") < F.col("_quota")).groupBy(label).agg(F.max("_draw").alias("_last"))
+    decided = df.withColumn("_draw", drawn).join(F.broadcast(last), label, "left")
+    return decided.withColumn("is_test", F.coalesce(F.col("_draw") <= F.col("_last"), F.lit(False))).select(*df.columns, "is_test")
 
 
 def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Add ``weight`` = n / (2 * n_class), so both classes weigh the same in total."""
-    counts = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
-    if set(counts) != {0, 1}:
-        raise ValueError(f"need both labels 0 and 1, found {sorted(counts)}")
-    total = sum(counts.values())
+    tallies = [F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1), F.count(F.lit(1))]
+    zeros, ones, total = df.agg(*[t.alias(f"n{k}") for k, t in enumerate(tallies)]).first()
+    if not zeros or not ones or zeros + ones < total:
+        raise ValueError(f"need both labels 0 and 1 and no other: {zeros} and {ones} of {total} rows")
+    counts = {0: zeros, 1: ones}
     return df.withColumn("weight", F.when(F.col(label) == 1, total / (2 * counts[1])).otherwise(total / (2 * counts[0])))
 
 
@@ -88,7 +92,7 @@ def fit_quality(
     vectors = transform_tfidf(tfidf, train.select(text, label), text, cfg).select("features", label)
     written = materialize(vectors, "train-features")
     n_train = written.count()
-    features = compact(balanced_weights(written, label), n_train).persist()
+    features = balanced_weights(written, label)
     trainer = LogisticRegression(
         featuresCol="features",
         labelCol=label,
@@ -101,7 +105,6 @@ def fit_quality(
     # a task could not be sent with.
     path = scratch_path(train.sparkSession, "quality-model")
     trainer.fit(features).save(path)
-    features.unpersist()
     return QualityModel(tfidf, LogisticRegressionModel.load(path), text, cfg)
 
 

@@ -90,14 +90,20 @@ def token_blocks(docs: DataFrame, offsets: DataFrame, block: int = 128, id_col:
     )
     first = F.greatest(F.lit(0), F.floor((F.col("offset") - 1) / block))
     last = F.floor((F.col("offset") + F.col("n_tokens") - 1) / block)
-    spans = placed.withColumn("block_id", F.explode(F.sequence(first, last)))
-    start = F.greatest(F.lit(0), F.col("block_id") * block - F.col("offset"))
-    stop = F.least(F.col("n_tokens").cast("long"), (F.col("block_id") + 1) * block + 1 - F.col("offset"))
-    piece = F.struct(
-        F.greatest(F.col("offset"), F.col("block_id") * block).alias("at"),
-        F.slice("_tokens", (start + 1).cast("int"), (stop - start).cast("int")).alias("part"),
-    )
-    packed = spans.groupBy("variant", "block_id").agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
+    size = F.col("n_tokens").cast("long")
+
+    def piece(block_id: Column) -> Column:
+        start = F.greatest(F.lit(0), block_id * block - F.col("offset"))
+        stop = F.least(size, (block_id + 1) * block + 1 - F.col("offset"))
+        part = F.struct(
+            F.greatest(F.col("offset"), block_id * block).alias("at"),
+            F.slice("_tokens", (start + 1).cast("int"), (stop - start).cast("int")).alias("part"),
+        )
+        return F.struct(block_id.alias("block_id"), part.alias("_piece"))
+
+    # Cut before the rows multiply: a block's row holds its own tokens, never the whole document.
+    spans = placed.select("variant", F.inline(F.transform(F.sequence(first, last), piece)))
+    packed = spans.groupBy("variant", "block_id").agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"))
     run = packed.select("variant", "block_id", F.flatten(F.transform("_pieces", lambda p: p["part"])).alias("_run"))
     full = run.where(F.size("_run") == block + 1)
     return full.select("variant", "block_id", F.slice("_run", 1, block).alias("x"), F.slice("_run", 2, block).alias("y"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
-from sievemark.storage import compact, materialize
+from sievemark.storage import materialize
 
 MAX_PARALLEL_FITS = 4
 
@@ -42,19 +42,19 @@ def topic_clusters(
     """M2: add ``topic_cluster``; every document is kept.
 
     k is the smaller of ``n_clusters`` and the number of documents. The vectors
-    are written once in id ranges and read by every fit, without the texts;
-    the labels of a run still depend on how Spark splits the sums.
+    are written once, without the texts, and read by every fit; the labels of a
+    run still depend on how Spark splits the sums. The model is then applied row
+    by row, so ids may repeat and no text is shuffled.
     """
     n_docs = df.count()
     if n_docs == 0:
         raise ValueError("no documents to cluster")
-    vectors = transform_tfidf(fit_tfidf(df, text, cfg), df.select(id_col, text), text, cfg).select(id_col, "features")
-    written = materialize(vectors.sortWithinPartitions(id_col), "features")
-    features = compact(written, n_docs).persist()
+    tfidf = fit_tfidf(df, text, cfg)
+    vectors = transform_tfidf(tfidf, df.select(id_col, text), text, cfg).select(id_col, "features")
+    features = materialize(vectors.sortWithinPartitions(id_col), "features")
     model = fit_topics(features, min(n_clusters, n_docs), seed, n_init)
-    features.unpersist()
-    labels = model.transform(features).select(id_col, F.col("topic_cluster").cast("int").alias("topic_cluster"))
-    return df.join(labels, id_col)
+    labelled = model.transform(transform_tfidf(tfidf, df, text, cfg))
+    return labelled.select(*df.columns, F.col("topic_cluster").cast("int").alias("topic_cluster"))
 
 
 def cluster_sizes(labelled: DataFrame) -> DataFrame:
