@@ -1,11 +1,11 @@
-"""DuckDB SQL that states, independently of the Spark code, what each query must return.
+"""DuckDB SQL that states what each query must return. Word and element lists are those of the library; the logic is not.
 
 The parts are common table expressions that the queries at the end put together.
 """
 
 from __future__ import annotations
 
-from sievemark.functions.html import BLOCK, SILENT
+from sievemark.functions.html import BLOCK
 from sievemark.functions.language import FUNCTION_WORDS
 from sievemark.operators.tfidf import STOP_WORDS
 
@@ -320,7 +320,7 @@ ORDER = "CASE variant WHEN 'raw' THEN 1 WHEN 'deduped' THEN 2 ELSE 3 END::INTEGE
 def page_text_sql() -> str:
     text = "html"
     steps = [
-        (rf"(?is)<({SILENT})[ \t\r\n>].*?</({SILENT})[ \t\r\n]*>", "' '"),
+        *[(rf"(?is)<{e}[ \t\r\n>].*?</{e}[ \t\r\n]*>", "' '") for e in ("script", "style", "noscript", "template")],
         (r"(?s)<!--.*?-->", "' '"),
         (rf"(?i)</?({BLOCK})([ \t\r\n/][^>]*)?>", r"E'\n'"),
         (r"<[^>]*>", "' '"),
@@ -377,6 +377,8 @@ SELECT count(*) AS n, count(*) FILTER (label = 1) AS n_positive,
         "quality_threshold": f"WITH {lang_ctes()} SELECT doc_id, round(language_score, 6) AS quality_score FROM lang WHERE language_score >= 0.9",
         "shard_rows": f"WITH {lang_ctes()} SELECT d.doc_id::VARCHAR AS id, d.text, NULL::VARCHAR AS url, NULL::VARCHAR AS date, l.language, l.language_score::FLOAT AS language_score, -1::INTEGER AS topic_cluster, NULL::FLOAT AS quality_score, 'CC-TEST' AS crawl FROM documents d JOIN lang l USING (doc_id)",
         "shard_assign": f"{shards} SELECT doc_id, shard FROM shard_of",
+        "shard_files": "SELECT file, least(64, n - 64 * file) AS rows FROM (SELECT count(*) AS n FROM documents), range(CAST(ceil(n / 64) AS BIGINT)) AS r(file)",
+        "shard_round_trip": "SELECT doc_id::VARCHAR AS id, text, -1::INTEGER AS topic_cluster, '2026' AS crawl FROM documents",
         "shard_stats": f"{shards} SELECT shard, n_docs, round(avg_text_len, 6) AS avg_text_len, round(avg_quality_score, 6) AS avg_quality_score, round(avg_language_score, 6) AS avg_language_score, n_topic_clusters_present FROM stats",
         "shard_flags": f"{shards}, {Z_SCORES} SELECT shard, {', '.join(f'round({m}_z, 6) AS {m}_z' for m in METRICS)}, array_to_string({FLAGS}, '; ') AS flags FROM z",
         "shard_flag_count": f"{shards}, {Z_SCORES} SELECT count(*) FILTER (len({FLAGS}) > 0) AS n_flagged, count(*) AS n_shards, round(sqrt(count(*) - 1), 6) AS z_ceiling FROM z",

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Elements whose content is never text, and block elements.
-SILENT = "script|style|noscript|template"
+SILENT = ("script", "style", "noscript", "template")
 BLOCK = (
     "address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html"
     "|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
@@ -18,7 +18,8 @@ ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'"
 def html_text(html: Column | str) -> Column:
     """Visible text: one line per block, single spaces inside a line."""
     text = F.col(html) if isinstance(html, str) else html
-    text = F.regexp_replace(text, rf"(?is)<({SILENT})[ \t\r\n>].*?</({SILENT})[ \t\r\n]*>", " ")
+    for name in SILENT:  # each ends at its own closing tag only
+        text = F.regexp_replace(text, rf"(?is)<{name}[ \t\r\n>].*?</{name}[ \t\r\n]*>", " ")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
     text = F.regexp_replace(text, rf"(?i)</?({BLOCK})([ \t\r\n/][^>]*)?>", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", " ")

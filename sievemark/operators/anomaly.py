@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 METRICS = ("n_docs", "avg_text_len", "avg_quality_score", "avg_language_score", "n_topic_clusters_present")
 
 
-def shard_stats(df: DataFrame, by: str = "shard", text: str = "text", missing: Sequence[str] = ()) -> DataFrame:
+def shard_stats(
+    df: DataFrame, by: str = "shard", text: str = "text", missing: Sequence[str] = (), length: str | None = None
+) -> DataFrame:
     """A1: one row per value of ``by``; averages skip nulls.
 
+    ``length`` names a column that holds the text's length, where the text
+    itself was left behind.
+
     Columns named in ``missing`` are absent from ``df`` and count as null. The
     distinct topics are counted by grouping on (shard, topic) first, so a shard
     that holds most rows is pre-aggregated where its rows are.
@@ -22,7 +27,7 @@ def shard_stats(df: DataFrame, by: str = "shard", text: str = "text", missing: S
         df = df.withColumn(name, F.lit(None).cast("double"))
     slim = df.select(
         by,
-        F.length(text).alias("_len"),
+        (F.length(text) if length is None else F.col(length)).alias("_len"),
         F.col("quality_score").cast("double").alias("_quality"),
         F.col("language_score").cast("double").alias("_language"),
         "topic_cluster",

@@ -43,9 +43,15 @@ def _hashed(df: DataFrame, text: str) -> DataFrame:
     return HashingTF(numFeatures=N_FEATURES, inputCol="_grams", outputCol="_features").transform(grams).drop("_grams")
 
 
+MAX_LABELS = 500  # more is no set of languages
+
+
 def fit_language_model(df: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
     """Naive Bayes over hashed character runs; one aggregation over the text."""
-    languages = sorted(row[0] for row in df.select(label).distinct().collect())
+    found = df.where(F.col(label).isNotNull()).select(label).distinct().limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels in {label}")
+    languages = sorted(row[0] for row in found)
     index = F.array_position(F.lit(languages), F.col(label)) - 1
     labelled = _hashed(df.select(text, index.cast("double").alias("_label")), text)
     return LanguageModel(NaiveBayes(smoothing=SMOOTHING, featuresCol="_features", labelCol="_label").fit(labelled), languages)

@@ -3,56 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sievemark.functions.text import settle
-
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4_096
-SAMPLES_PER_BUCKET = 50
-
-
-def range_bounds(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list:
-    """Ascending cut points that split ``key`` into about equal ranges.
-
-    They come from a hash-thinned set of keys. That set is bounded by
-    MAX_BUCKETS * SAMPLES_PER_BUCKET values in expectation, whatever the table
-    size, and only balance depends on it: no row is dropped and the ranges are
-    exact for any cut points.
-    """
-    total = df.count()
-    n_buckets = min(MAX_BUCKETS, ceil(total / rows_per_bucket))
-    if n_buckets <= 1:
-        return []
-    stride = max(1, total // (n_buckets * SAMPLES_PER_BUCKET))
-    thinned = df.select(key).where(F.pmod(F.xxhash64(key), F.lit(stride)) == 0).where(F.col(key).isNotNull())
-    # Sorted here, not in SQL, so that the sort order is plain value order.
-    keys = sorted({row[0] for row in thinned.distinct().toLocalIterator()})
-    if not keys:
-        return []
-    return sorted({keys[len(keys) * i // n_buckets] for i in range(1, n_buckets)})
-
-
-def range_bucket(key: str, bounds: Sequence, key_type: T.DataType) -> Column:
-    """Number of bounds that are <= key: the range a key falls into.
-
-    A pure function of the key, so a recomputed task puts each row in the same
-    bucket. With n bounds a row costs about 2 * sqrt(n) comparisons: a coarse
-    step over every sqrt(n)-th bound, then one step inside the slice it names.
-    """
-    if not bounds:
-        return F.lit(0)
-    step = isqrt(len(bounds) - 1) + 1
-    slices = [list(bounds[i : i + step]) for i in range(0, len(bounds), step)]
-    firsts = F.array(*[F.lit(s[0]).cast(key_type) for s in slices])
-    nested = F.array(*[F.array(*[F.lit(b).cast(key_type) for b in s]) for s in slices])
-    slot = F.size(F.filter(firsts, lambda b: b <= F.col(key)))
-    inside = F.size(F.filter(F.element_at(nested, slot), lambda b: b <= F.col(key)))
-    return F.when(slot == 0, F.lit(0)).otherwise((slot - 1) * step + inside)
+from sievemark.storage import materialize
 
 
 def prefix_sum(
@@ -61,37 +16,36 @@ def prefix_sum(
     value: str | Column,
     by: Sequence[str] = (),
     out: str = "offset",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add the sum of ``value`` over all earlier rows of the same ``by`` group.
 
-    ``order_by`` must be unique within a group. Rows are cut into key ranges;
-    each range is summed (with map-side combine), the few range totals are
-    accumulated, and a window adds the position inside one range. A group of
-    any size is spread over many tasks, because a range is never the group.
+    Rows are dealt out by ranges of ``order_by`` and written with the number of
+    their range, so that number never changes. Each range is summed, the range
+    totals (one per range and group) are accumulated, and a window adds the
+    position inside one range. A group of any size is spread over many tasks,
+    because a range is never the group. Rows of one key share a range; among
+    them the order is arbitrary. ``ranges`` is by default the session's number
+    of shuffle partitions, which should follow the size of the data.
     """
-    key_type = df.schema[order_by].dataType
     amount = F.col(value) if isinstance(value, str) else value
-    bucket = range_bucket(order_by, range_bounds(df, order_by, rows_per_bucket), key_type)
-    bucketed = settle(df, {**{c: F.col(c) for c in df.columns}, "_bucket": bucket, "_amount": amount})
-    keys = [*by, "_bucket"]
-    totals = bucketed.groupBy(*keys).agg(F.sum("_amount").alias("_total"))
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = df.withColumn("_amount", amount)
+    placed = keyed.repartitionByRange(ranges, order_by) if ranges else keyed.repartitionByRange(order_by)
+    written = materialize(placed.withColumn("_range", F.spark_partition_id()), "ranges")
+    keys = [*by, "_range"]
+    totals = written.groupBy(*keys).agg(F.sum("_amount").alias("_total"))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*keys, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*keys).orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        bucketed.join(starts, keys)
+        written.join(starts, keys)
         .withColumn(out, F.col("_start") + F.coalesce(F.sum("_amount").over(inside), F.lit(0)))
-        .drop("_bucket", "_amount", "_start")
+        .drop("_range", "_amount", "_start")
     )
 
 
 def global_index(
-    df: DataFrame,
-    order_by: str,
-    by: Sequence[str] = (),
-    out: str = "row_index",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    df: DataFrame, order_by: str, by: Sequence[str] = (), out: str = "row_index", ranges: int | None = None
 ) -> DataFrame:
     """Add the 0-based position of each row within its ``by`` group."""
-    return prefix_sum(df, order_by, F.lit(1).cast("long"), by, out, rows_per_bucket)
+    return prefix_sum(df, order_by, F.lit(1).cast("long"), by, out, ranges)

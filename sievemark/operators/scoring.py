@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.operators.prefix import ROWS_PER_BUCKET, global_index, prefix_sum
+from sievemark.operators.prefix import global_index, prefix_sum
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
 from sievemark.storage import materialize, scratch_path
 
@@ -38,7 +38,7 @@ def with_exact_split(
     label: str = "label",
     test_share: float = 0.2,
     seed: int = 42,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """M5, exact: ``round(test_share * n)`` test rows in each label, in hash order.
 
@@ -48,7 +48,7 @@ def with_exact_split(
     """
     drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     keyed = df.select(id_col, label).withColumn("_draw", drawn)
-    ranked = global_index(keyed, "_draw", by=[label], rows_per_bucket=rows_per_bucket)
+    ranked = global_index(keyed, "_draw", by=[label], ranges=ranges)
     quota = keyed.groupBy(label).agg(F.round(F.count(F.lit(1)) * test_share).cast("long").alias("_quota"))
     # The last draw that is in, one row a label; rows then decide for themselves, without a join by id.
     last = ranked.join(F.broadcast(quota), label).where(F.col("row_index") < F.col("_quota")).groupBy(label).agg(F.max("_draw").alias("_last"))
@@ -109,7 +109,7 @@ def fit_quality(
 
 
 def score_quality(
-    scored: DataFrame, score: str = "quality_score", label: str = "label", rows_per_bucket: int = ROWS_PER_BUCKET
+    scored: DataFrame, score: str = "quality_score", label: str = "label", ranges: int | None = None
 ) -> DataFrame:
     """M8: one row ``n, n_positive, accuracy, roc_auc`` for any score and 0/1 label.
 
@@ -120,7 +120,7 @@ def score_quality(
     tallies = scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranked = prefix_sum(materialize(tallies, "score-tallies"), "score", "neg", out="below", rows_per_bucket=rows_per_bucket)
+    ranked = prefix_sum(materialize(tallies, "score-tallies"), "score", "neg", out="below", ranges=ranges)
     wide = "decimal(38,0)"
     wins = F.sum(F.col("pos").cast("decimal(19,0)") * (2 * F.col("below") + F.col("neg")).cast("decimal(19,0)"))
     hit = F.when(F.col("score") >= 0.5, F.col("pos")).otherwise(F.col("neg"))
@@ -144,7 +144,7 @@ def score_quantiles(
     scored: DataFrame,
     score: str = "quality_score",
     points: dict[str, float] = QUANTILES,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    ranges: int | None = None,
 ) -> DataFrame:
     """M9: one row of exact quantiles, linear between neighbours.
 
@@ -154,7 +154,7 @@ def score_quantiles(
     value = F.col(score).cast("double").alias("score")
     tallies = scored.where(F.col(score).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
     tallies = materialize(tallies, "score-tallies")
-    ranked = prefix_sum(tallies, "score", "n", rows_per_bucket=rows_per_bucket)
+    ranked = prefix_sum(tallies, "score", "n", ranges=ranges)
     total = tallies.agg(F.sum("n").alias("total"))
     at = {name: (F.col("total") - 1) * F.lit(q) for name, q in points.items()}
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import tokens
-from sievemark.operators.prefix import ROWS_PER_BUCKET, prefix_sum
+from sievemark.operators.prefix import prefix_sum
 from sievemark.storage import materialize
 
 END = "<eot>"  # no token: tokens are letters and digits only
@@ -25,7 +25,7 @@ def token_sequence(text: str = "text") -> Column:
 
 
 def document_offsets(
-    docs: DataFrame, id_col: str = "id", text: str = "text", seed: int = 1234, rows_per_bucket: int = ROWS_PER_BUCKET
+    docs: DataFrame, id_col: str = "id", text: str = "text", seed: int = 1234, ranges: int | None = None
 ) -> DataFrame:
     """``(variant, id, draw, n_tokens, offset)``: where each document starts in its stream.
 
@@ -33,7 +33,7 @@ def document_offsets(
     """
     slim = docs.select("variant", id_col, shuffle_key(id_col, seed).alias("draw"), F.size(token_sequence(text)).alias("n_tokens"))
     slim = materialize(slim, "document-lengths")
-    return materialize(prefix_sum(slim, "draw", "n_tokens", by=["variant"], rows_per_bucket=rows_per_bucket), "document-offsets")
+    return materialize(prefix_sum(slim, "draw", "n_tokens", by=["variant"], ranges=ranges), "document-offsets")
 
 
 def stream_sizes(offsets: DataFrame, val_fraction: float = 0.1) -> DataFrame:

@@ -111,13 +111,28 @@ def run_shards(scored: DataFrame, folder: str, crawl: str, cfg: BuildConfig) ->
     return files
 
 
+def without_truncated(docs: DataFrame, folder: str) -> DataFrame:
+    """Documents with a whole body; the others are written and counted."""
+    whole = F.coalesce("length_ok", F.lit(False))
+    path = f"{folder}/rejects-truncated"
+    docs.where(~whole).write.mode("overwrite").parquet(path)
+    spark = docs.sparkSession
+    cut = spark.read.schema(docs.schema).parquet(path).agg(F.count(F.lit(1)).alias("truncated_docs"))
+    write_stats(cut, f"{folder}/stats", "truncated")
+    return docs.where(whole).drop("length_ok")
+
+
 def build_corpus(docs: DataFrame, folder: str, crawl: str, cfg: BuildConfig = BuildConfig()) -> DataFrame:
-    """All stages over documents ``id, text`` and any of ``url, date``; returns the shard files.
+    """All stages over documents ``id, text`` and any of ``url, date, length_ok``; returns the shard files.
+
+    Records whose body is not as long as declared go to ``rejects-truncated``.
 
     Each stage reads what the one before has written, so a lost executor never
     sends the job back past its stage.
     """
     docs = docs.withColumn("id", F.col("id").cast("string"))
+    if "length_ok" in docs.columns:
+        docs = without_truncated(docs, folder)
     clean, dropped = run_ingest(docs, folder, cfg)
     clustered = run_dedup_and_topics(clean, folder, cfg)
     scored = run_scoring(clean, dropped, clustered, folder, cfg)

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievemark.operators.prefix import MAX_BUCKETS, ROWS_PER_BUCKET, global_index, range_bucket
-from sievemark.storage import materialize
+from sievemark.operators.prefix import global_index
+from sievemark.storage import discard, materialize
 
+# The columns of a shard file.
 SHARD = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -22,7 +23,7 @@ SHARD = T.StructType(
         T.StructField("crawl", T.StringType()),
     ]
 )
-MAX_BOUNDS = MAX_BUCKETS  # shard bounds carried in the plan; more shards than this meet in a join
+SHARDS_PER_TASK = 64
 
 
 def to_shard_rows(df: DataFrame, crawl: str) -> DataFrame:
@@ -36,49 +37,35 @@ def to_shard_rows(df: DataFrame, crawl: str) -> DataFrame:
     return rows.withColumn("topic_cluster", F.coalesce("topic_cluster", F.lit(-1)))
 
 
-def shard_index(ids: DataFrame, id_col: str, rows_per_shard: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``(id, shard)`` with ``rows_per_shard`` ids in each shard but the last, in id order."""
-    indexed = global_index(ids.select(id_col), id_col, rows_per_bucket=rows_per_bucket)
-    shard = F.floor(F.col("row_index") / F.lit(rows_per_shard)).cast("int")
-    return indexed.select(id_col, shard.alias("shard"))
+def with_shard(df: DataFrame, id_col: str, rows_per_shard: int, ranges: int | None = None) -> DataFrame:
+    """Add ``shard``: ``rows_per_shard`` rows in each shard but the last, in id order.
 
-
-def with_shard(
-    df: DataFrame,
-    id_col: str,
-    rows_per_shard: int,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_bounds: int = MAX_BOUNDS,
-) -> tuple[DataFrame, int]:
-    """Add ``shard`` to full rows; also the number of shards.
-
-    Only ids are ordered and counted. Up to ``max_bounds`` shards, the smallest
-    id of each shard goes into the plan and a row finds its shard by itself, so
-    texts are shuffled once, to their file. With more shards, rows meet their
-    shard number in a join on the id.
+    Positions are those of the rows, so shards are exact also where ids repeat.
     """
-    assigned = materialize(shard_index(df, id_col, rows_per_shard, rows_per_bucket), "shard-index")
-    n_shards = -(-assigned.count() // rows_per_shard)
-    if n_shards > max_bounds:
-        return df.join(assigned, id_col), n_shards
-    firsts = assigned.groupBy("shard").agg(F.min(id_col).alias("first")).orderBy("shard").collect()
-    bounds = [row["first"] for row in firsts[1:]]
-    return df.withColumn("shard", range_bucket(id_col, bounds, df.schema[id_col].dataType)), n_shards
+    indexed = global_index(df, id_col, out="_position", ranges=ranges)
+    return indexed.withColumn("shard", F.floor(F.col("_position") / F.lit(rows_per_shard)).cast("int")).drop("_position")
 
 
-def write_shards(df: DataFrame, folder: str, crawl: str, rows_per_shard: int = 1000) -> DataFrame:
+def write_shards(
+    df: DataFrame, folder: str, crawl: str, rows_per_shard: int = 1000, shards_per_task: int = SHARDS_PER_TASK
+) -> DataFrame:
     """Write ``crawl=<id>/part-*.parquet``, one file per shard, exact sizes.
 
-    Shard number is task number, so file ``part-NNNNN`` is shard NNNNN. Returns
-    the written files with their rows.
+    A task gets a run of ``shards_per_task`` whole shards, sorts it, and cuts a
+    file every ``rows_per_shard`` rows; files sort like their shards. Texts move
+    twice, once to find their position and once to their file. Returns the
+    written files with their rows.
     """
     spark = df.sparkSession
-    rows, n_shards = with_shard(to_shard_rows(df, crawl), "id", rows_per_shard)
-    if not n_shards:
+    rows = materialize(global_index(to_shard_rows(df, crawl), "id", out="_position"), "shard-rows")
+    n_runs = -(-rows.count() // (rows_per_shard * shards_per_task))
+    if not n_runs:
         return spark.createDataFrame([], "shard string, rows long, size_bytes long")
-    placed = rows.repartitionById(n_shards, "shard").sortWithinPartitions("crawl", "id").drop("shard")
-    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("compression", "snappy").partitionBy("crawl").parquet(folder)
+    run = F.floor(F.col("_position") / F.lit(rows_per_shard * shards_per_task)).cast("int")
+    placed = rows.repartitionById(n_runs, run).sortWithinPartitions("crawl", "_position").drop("_position")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+    writer.option("maxRecordsPerFile", rows_per_shard).partitionBy("crawl").parquet(folder)
+    discard(rows)
     return shard_files(read_shards(spark, folder).where(F.col("crawl") == crawl))
 
 

@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemark.functions.html import html_text
-from sievemark.storage import spread
 
+def read_documents(spark: SparkSession, folder: str, *columns: str, partitions: int | None = None) -> DataFrame:
+    """The ``documents`` table, pruned to ``columns``.
 
-def read_documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """The ``documents`` table, pruned to ``columns`` before any distribution."""
+    ``partitions`` shuffles it into so many; of use only where a table has
+    fewer row groups than the machine has cores.
+    """
     table = spark.read.parquet(f"{folder}/documents.parquet")
-    return spread(table.select(*columns) if columns else table, "doc_id")
+    table = table.select(*columns) if columns else table
+    return table.repartition(partitions, "doc_id") if partitions else table
 
 
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as documents ``page_id, url, text``."""
     table = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
-    return spread(table, "page_id").select("page_id", "url", html_text(F.coalesce("html", F.lit(""))).alias("text"))
+    return table.select("page_id", "url", html_text(F.coalesce("html", F.lit(""))).alias("text"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Between two records stands a blank line, then the version line of the next.
-SEPARATOR = "\r\n\r\nWARC/1.0\r\n"
+# Between two records stands a blank line, then the version line of the next (1.0 or 1.1).
+SEPARATOR = "\r\n\r\nWARC/1."
 HEAD_END = "\r\n\r\n"
 
 
@@ -24,8 +24,8 @@ def read_wet(spark: SparkSession, path: str, glob: str = "*.warc.wet.gz") -> Dat
     """
     reader = spark.read.option("lineSep", SEPARATOR).option("pathGlobFilter", glob)
     raw = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    # The first record of a file still carries its version line.
-    record = F.regexp_replace("value", r"\A\r?\n?WARC/1\.0\r\n", "")
+    # What is left of the version line: all of it in the first record of a file, its end in the others.
+    record = F.regexp_replace("value", r"\A\r?\n?(WARC/1\.)?[0-9]\r\n", "")
     cut = raw.select("file_path", record.alias("_record")).withColumn("_at", F.instr("_record", HEAD_END))
     # A record with an empty body ends with its head.
     split = cut.select(

@@ -63,28 +63,6 @@ def materialize_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataF
     return written, seen.get
 
 
-ROWS_PER_TASK = 2_000
-
-
-def compact(df: DataFrame, n_rows: int) -> DataFrame:
-    """Fewer tasks for a small table that an iterative fit scans again and again.
-
-    Tasks with hardly a row cost more to start than to run. A table with
-    ROWS_PER_TASK rows or more in each task is left as it is.
-    """
-    wanted = max(1, n_rows // ROWS_PER_TASK)
-    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a table whose scan yields fewer tasks than there are cores.
-
-    A table large enough to fill the cluster is left as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def discard(df: DataFrame) -> None:
     """Delete the files of a table from :func:`materialize` that is used no more."""
     spark = df.sparkSession

@@ -30,7 +30,7 @@ def stream(rows, variant):
 
 def test_offsets_blocks_and_budget(spark):
     df, rows = variants(spark)
-    offsets = token_stream.document_offsets(df, rows_per_bucket=17)
+    offsets = token_stream.document_offsets(df, ranges=30)
     sizes = {r.variant: r for r in token_stream.stream_sizes(offsets).collect()}
     blocks = {(r.variant, r.block_id): r for r in token_stream.token_blocks(df, offsets, block=16).collect()}
     for v in mixes.VARIANTS:

@@ -14,7 +14,7 @@ def test_auc_and_accuracy_against_brute_force(spark):
     rng = random.Random(2)
     rows = [(round(rng.random(), 2), rng.random() < 0.3) for _ in range(400)]
     df = spark.createDataFrame([(s, int(y)) for s, y in rows], "quality_score double, label int")
-    got = scoring.score_quality(df, rows_per_bucket=13).first()
+    got = scoring.score_quality(df, ranges=9).first()
     pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
     auc = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)
     acc = sum((s >= 0.5) == y for s, y in rows) / len(rows)
@@ -29,17 +29,17 @@ def test_quantiles_equal_numpy(spark, n):
     rng = random.Random(n)
     values = [rng.choice([0.1, 0.2, rng.random()]) for _ in range(n)]
     df = spark.createDataFrame([(v,) for v in [*values, None]], "quality_score double")
-    got = scoring.score_quantiles(df, rows_per_bucket=9).first()
+    got = scoring.score_quantiles(df, ranges=13).first()
     assert list(got) == pytest.approx([np.percentile(values, q) for q in (0, 25, 50, 75, 100)])
 
 
 def test_splits(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 10 == 0).cast("int").alias("label"))
     assert 150 < scoring.with_split(df).where("is_test").count() < 250
-    exact = scoring.with_exact_split(df, rows_per_bucket=64)
+    exact = scoring.with_exact_split(df, ranges=8)
     assert exact.count() == 1000
     assert {r.label: r.n for r in exact.where("is_test").groupBy("label").agg(F.count("*").alias("n")).collect()} == {0: 180, 1: 20}
-    again = scoring.with_exact_split(df.repartition(7), rows_per_bucket=1000)
+    again = scoring.with_exact_split(df.repartition(7), ranges=1)
     assert exact.where("is_test").select("id").exceptAll(again.where("is_test").select("id")).count() == 0
 
 

@@ -76,12 +76,31 @@ def test_writing_a_crawl_leaves_other_crawls_alone(spark, tmp_path):
     assert {r.crawl: r["count"] for r in counts} == {"A": 5, "B": 5}
 
 
-def test_many_shards_meet_in_a_join(spark):
-    ids = spark.range(40).select((F.col("id") * 7 % 40).alias("id"))
-    literal, n = shards.with_shard(ids, "id", 4, rows_per_bucket=9)
-    joined, m = shards.with_shard(ids, "id", 4, rows_per_bucket=9, max_bounds=3)
-    assert n == m == 10
-    assert sorted(map(tuple, literal.collect())) == sorted(map(tuple, joined.collect())) == [(i, i // 4) for i in range(40)]
+def test_shards_are_exact_also_where_ids_repeat(spark):
+    ids = spark.range(40).select((F.col("id") * 7 % 10).alias("id"))
+    for ranges in (1, 9, None):
+        sizes = shards.with_shard(ids, "id", 4, ranges=ranges).groupBy("shard").count().collect()
+        assert sorted(map(tuple, sizes)) == [(k, 4) for k in range(10)]
+
+
+def test_runs_of_shards_are_cut_into_exact_files(spark, tmp_path):
+    docs = spark.range(35).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("id"), F.lit("x").alias("text"))
+    files = shards.write_shards(docs.repartition(5), str(tmp_path), "A", 10, shards_per_task=2)
+    assert [r.rows for r in files.orderBy("shard").collect()] == [10, 10, 10, 5]
+    named = shards.read_shards(spark, str(tmp_path)).select(shards.shard_name().alias("shard"), "id").orderBy("shard", "id")
+    assert [r.id for r in named.collect()] == [f"{k:03d}" for k in range(35)]
+
+
+def test_version_1_1_records_are_cut_apart(spark, tmp_path):
+    plain = b"".join(gzip.decompress(wet_record("conversion", f"http://x/{k}", f"body {k}")) for k in range(5))
+    (tmp_path / "a.warc.wet.gz").write_bytes(gzip.compress(plain.replace(b"WARC/1.0", b"WARC/1.1")))
+    rows = wet.read_wet(spark, str(tmp_path)).orderBy("url").collect()
+    assert [(r.text, r.length_ok) for r in rows] == [(f"body {k}", True) for k in range(5)]
+
+
+def test_script_text_never_leaks(spark):
+    page = '<p>a</p><script>var s="</style>"; leaked()</script><style>b</style><p>c</p>'
+    assert spark.range(1).select(html_text(F.lit(page))).first()[0] == "a\nc"
 
 
 def test_missing_shards_read_as_nothing(spark, tmp_path):
