@@ -80,7 +80,7 @@ class Ratios:
                 weight = np.append(self.weight[k - SHARED - 1], 0.0)  # the last one stands for an unseen context
                 backed = current + weight[context]
                 reach = place >= k - 1
-                current = np.where(reach & (found >= 0), self.ratio[k - SHARED][found], np.where(reach, backed, current))
+                current = np.where(reach & (found >= 0), np.append(self.ratio[k - SHARED], 0.0)[found], np.where(reach, backed, current))
             before = found
         current[place == 0] = 0.0
         ends = np.flatnonzero(np.concatenate([place[1:] == 0, [True]]))

@@ -1,0 +1,96 @@
+"""Fuzzy line dedup (7) against all pairs of lines."""
+
+import random
+
+import regex
+import xxhash
+
+from sievemark.llm import line_dedup
+
+
+def _words(line):
+    return [w for w in regex.split(r"[^\p{L}\p{N}]+", line.lower()) if w]
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def _fingerprint(words):
+    hashed = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(words)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashed) > len(hashed))
+
+
+def _expected(rows):
+    """Texts after dedup by comparing every line with every other, candidates as stated."""
+    places = {}
+    for i, text in rows:
+        for pos, line in enumerate((text or "").split("\n")):
+            words = tuple(_words(line))
+            if len(words) >= 5:
+                places.setdefault(words, []).append((i, pos))
+    keys = list(places)
+    prints = [_fingerprint(k) for k in keys]
+    root = list(range(len(keys)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(keys)):
+        for b in range(a):
+            x = prints[a] ^ prints[b]
+            if x.bit_count() <= line_dedup.MAX_BITS and any(not x >> 16 * k & 0xFFFF for k in range(4)):
+                longest = max(len(keys[a]), len(keys[b]))
+                if _distance(keys[a], keys[b]) <= int(longest * 0.2 + 1e-9):
+                    root[max(find(a), find(b))] = min(find(a), find(b))
+    groups = {}
+    for k, words in enumerate(keys):
+        groups.setdefault(find(k), []).extend(places[words])
+    gone = {p for ps in groups.values() for p in ps if p != min(ps)}
+    return {i: "\n".join(x for pos, x in enumerate(t.split("\n")) if (i, pos) not in gone) for i, t in rows}
+
+
+def test_lines_match_brute_force(spark):
+    rng = random.Random(7)
+    vocabulary = [f"w{chr(97 + k % 26)}{k}é" for k in range(300)]
+    bases = [[rng.choice(vocabulary) for _ in range(rng.choice((5, 8, 20, 60)))] for _ in range(15)]
+
+    def line():
+        words = list(rng.choice(bases))
+        for _ in range(rng.choice((0, 0, 1, 2, 3))):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        return rng.choice((" ", ", ", "  ")).join(words).title() if rng.random() < 0.5 else " ".join(words)
+
+    rows = [(k, "\n".join(rng.choice((line, lambda: "short line", lambda: ""))() for _ in range(rng.randint(0, 6)))) for k in range(60)]
+    df = spark.createDataFrame([(*r, "kept", 9, 8) for r in rows], "doc_id bigint, text string, positions string, _row int, n_lines_removed int")
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "positions", "_row", "n_lines_removed"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    want = _expected(rows)
+    assert {k: r["text"] for k, r in got.items()} == want
+    assert all(r["n_lines_removed"] == len((dict(rows)[k]).split("\n")) - len(want[k].split("\n")) or want[k] == "" for k, r in got.items())
+    assert all((r["positions"], r["_row"]) == ("kept", 9) for r in got.values())
+
+
+def test_rows_of_all_kinds(spark):
+    shared = "this line stands in several documents"
+    long = " ".join(f"word{k}" for k in range(40_000))
+    rows = [(3, shared), (1, f"first\n{shared}"), (None, shared), (4, None), (5, ""), (1, f"first\n{shared}"), (6, long), (7, f"{long}\nend"), (8, "short one\nshort one")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r["doc_id"], r["text"], r["n_lines_removed"]) for r in line_dedup.dedup_lines(df).collect()), key=str)
+    want = [(3, "", 1), (1, f"first\n{shared}", 0), (None, "", 1), (4, None, 0), (5, "", 0), (1, f"first\n{shared}", 0), (6, long, 0), (7, "end", 1), (8, "short one\nshort one", 0)]
+    assert got == sorted(want, key=str)
+    assert line_dedup.dedup_lines(df.limit(0)).collect() == []
+
+
+def test_no_python_on_the_main_path(spark):
+    df = spark.createDataFrame([(k, f"the same words again and again\nline number {k}") for k in range(4)], "doc_id bigint, text string")
+    plan = line_dedup.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
