@@ -53,7 +53,7 @@ def test_every_stage_does_its_work_on_what_the_last_one_kept(spark, folder, tmp_
     assert len(set(texts) - set(kept["toxicity"]) - toxic) <= 2  # clean documents stay
     assert len(toxic & set(kept["toxicity"])) <= 2
     lines = kept["line_dedup"]
-    assert set(lines) == set(kept["toxicity"])
+    assert set(kept["toxicity"]) - set(lines) == {303, 305}  # copies of which nothing is left
     assert passage in lines[300]["text"] and passage not in lines[301]["text"]
     assert all(r["n_chars"] == len(r["text"] or "") or r["text"] is None for r in lines.values())
     assert {302, 303, 305} & set(kept["near_dedup"]) == {302}
