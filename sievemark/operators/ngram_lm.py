@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.functions.text import settle
 from sievemark.operators.groups import join_groups
 from sievemark.operators.mixes import VARIANTS
 from sievemark.operators.token_stream import (
@@ -70,9 +71,10 @@ def pair_counts(
     cuts = token_cuts(offsets, limits)
     # One row per mix.
     docs = variants.withColumn("draw", shuffle_key(id_col, cfg.seed)).join(F.broadcast(cuts), "variant")
-    docs = docs.withColumn("_pairs", _pairs(text))
+    # Settled, so that the filters below repeat neither the tokens nor the cuts.
+    docs = settle(docs.select("variant", "draw", "cuts", text), {"_pairs": _pairs(text)}).drop(text)
     before = tokens_before(cfg.steps + 1, F.size("_pairs"))
-    docs = docs.select("variant", "_pairs", *[b.alias(f"_t{k}") for k, b in zip([*steps, "val"], before)])
+    docs = settle(docs, {f"_t{k}": b for k, b in zip([*steps, "val"], before)}).drop("draw", "cuts")
     # Documents between the budget and the validation part take no further work.
     docs = docs.where((F.col(f"_t{cfg.steps}") > 0) | (F.col("_tval") < F.size("_pairs")))
     rows = docs.select("variant", F.posexplode("_pairs").alias("_i", "_pair"), *[f"_t{k}" for k in [*steps, "val"]])
