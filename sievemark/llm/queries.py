@@ -87,7 +87,7 @@ def op6_toxicity(spark, folder):
 
 def op7_line_dedup(spark, folder):
     """Every document with the lines that stay."""
-    return line_dedup.dedup_lines(documents(spark, folder)).select(ID, "n_lines_removed", "text")
+    return line_dedup.dedup_every_line(documents(spark, folder)).select(ID, "n_lines_removed", "text")
 
 
 def op8_language_model(spark, folder):
