@@ -1,7 +1,7 @@
 """Language-model scores by interpolated modified Kneser-Ney (operator 8).
 
 Chen and Goodman, "An empirical study of smoothing techniques for language
-modeling", 1999, for word pairs. Pairs are counted in Spark: tasks combine
+modeling", 1999, for word pairs (order 2) or triples (order 3). Pairs are counted in Spark: tasks combine
 their own pairs, pieces meet by shard, and each shard becomes sorted arrays of
 64-bit hashes with their counts, in files below a shared folder. Workers map
 these files into memory and look batches of sorted hashes up in them.
@@ -9,6 +9,10 @@ these files into memory and look batches of sorted hashes up in them.
 Every word is a context exactly as often as it stands in the text, so the
 counts of single words are the totals of the contexts. A context frequent
 enough to fill a shard (``heavy``) is dealt out over all shards by its pairs.
+
+With order 3 the same happens to triples first, whose context is the hash of
+two words (two starts before a text's first word). The pairs then count the
+distinct words before them, and the counts of single words get files of their own.
 """
 
 from __future__ import annotations
@@ -120,11 +124,42 @@ def _pairs(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return distinct, codes // len(distinct), codes % len(distinct), which
 
 
-def _combine(v: np.ndarray, w: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _triples(tokens: np.ndarray, at: np.ndarray, pairs: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct triples as places of their first words and pairs, and each token's triple; ``at`` are the tokens' places."""
+    follows = np.flatnonzero(tokens[1:] != START)
+    before = np.where(tokens[follows] == START, follows, follows - 1)  # a start stands before the start
+    codes, which = np.unique(at[before] * pairs + which, return_inverse=True)
+    return codes // max(pairs, 1), codes % max(pairs, 1), which
+
+
+def _counts(tokens: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, 48-bit words, counts, and the last word of each context."""
+    distinct, left, right, which = _pairs(tokens)
+    if order == 2:
+        return distinct[left], distinct[right] >> np.uint64(16), np.bincount(which, minlength=len(left)).astype(np.int64), distinct[left]
+    first, pair, which = _triples(tokens, np.searchsorted(distinct, tokens), len(left), which)
+    last = distinct[left[pair]]
+    return pair_hash(distinct[first], last), distinct[right[pair]] >> np.uint64(16), np.bincount(which, minlength=len(first)).astype(np.int64), last
+
+
+def _combine(v: np.ndarray, w: np.ndarray, c: np.ndarray, *last: np.ndarray) -> tuple[np.ndarray, ...]:
     order = np.lexsort((w, v))
-    v, w, c = v[order], w[order], c[order]
+    v, w, c, *last = (x[order] for x in (v, w, c, *last))
     first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])])) if len(v) else np.empty(0, np.int64)
-    return v[first], w[first], np.add.reduceat(c, first) if len(v) else c
+    return v[first], w[first], np.add.reduceat(c, first) if len(v) else c, *(x[first] for x in last)
+
+
+def _parts(v: np.ndarray, w: np.ndarray, c: np.ndarray, last: np.ndarray, heavy: np.ndarray, shards: int) -> list[tuple]:
+    """(shard, contexts, how many words each has, words, counts, last words of the contexts) of combined counts."""
+    shard = np.where(np.isin(v, heavy), shard_of(pair_hash(v, w), shards), shard_of(v, shards))
+    order = np.argsort(shard, kind="stable")  # within a shard still by context
+    v, w, c, last, shard = v[order], w[order], c[order], last[order], shard[order]
+    rows = []
+    for s, a, b in _runs(shard):
+        first = np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1]]))
+        n = np.diff(np.append(first, b - a)).astype(np.uint32)
+        rows.append((s, v[a:b][first].tobytes(), n.tobytes(), _six(w[a:b]), c[a:b].astype(np.uint32).tobytes(), last[a:b][first].tobytes()))
+    return rows
 
 
 def _six(w: np.ndarray) -> bytes:
@@ -187,6 +222,10 @@ class PairModel:
     shared: float  # share that the distribution over followers leaves to the uniform one
     heavy: np.ndarray  # contexts dealt out over all shards, sorted, and their statistics
     heavy_stats: np.ndarray  # (n, 4): total, followers seen once, twice, more often
+    order: int = 2
+    triple_discounts: np.ndarray | None = None
+    heavy_pairs: np.ndarray | None = None  # as heavy, of the contexts of triples
+    heavy_pair_stats: np.ndarray | None = None
     _open: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
@@ -213,23 +252,41 @@ class PairModel:
             out[a + order[hit]] = rows[at[hit]]
         return out if out is not None else np.zeros((len(keys),), dtype=np.int64)
 
-    def contexts(self, v: np.ndarray) -> np.ndarray:
+    def contexts(self, v: np.ndarray, name: str = "context") -> np.ndarray:
         """(n, 4) statistics of sorted contexts."""
-        out = self._look(v, shard_of(v, self.shards), "context", "context-stats").reshape(len(v), -1)
+        heavy, heavy_stats = (self.heavy, self.heavy_stats) if name == "context" else (self.heavy_pairs, self.heavy_pair_stats)
+        out = self._look(v, shard_of(v, self.shards), name, f"{name}-stats").reshape(len(v), -1)
         out = out if out.shape[1] == 4 else np.zeros((len(v), 4), dtype=np.int64)
-        if len(self.heavy):
-            at = np.minimum(np.searchsorted(self.heavy, v), len(self.heavy) - 1)
-            hit = self.heavy[at] == v
-            out[hit] = self.heavy_stats[at[hit]]
+        if len(heavy):
+            at = np.minimum(np.searchsorted(heavy, v), len(heavy) - 1)
+            hit = heavy[at] == v
+            out[hit] = heavy_stats[at[hit]]
         return out
 
+    def _seen(self, v: np.ndarray, w: np.ndarray, heavy: np.ndarray, name: str) -> np.ndarray:
+        """Counts of words after their contexts."""
+        keys = pair_hash(v, w)
+        shard = np.where(np.isin(v, heavy), shard_of(keys, self.shards), shard_of(v, self.shards))
+        order = np.argsort(shard, kind="stable")
+        n = np.empty(len(v), dtype=np.int64)
+        n[order] = self._look(keys[order], shard[order], name, f"{name}-stats")
+        return n
+
+    @staticmethod
+    def _mixed(n: np.ndarray, stats: np.ndarray, discount: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities from counts, statistics of their contexts and those of the next lower order."""
+        total, left_over = stats[:, 0], stats[:, 1:] @ discount[1:]
+        safe = np.maximum(total, 1)
+        return np.where(total > 0, np.maximum(n - discount[np.minimum(n, 3)], 0) / safe + left_over / safe * lower, lower)
+
     def score(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, base score and model score, both log10."""
         distinct, left, right, which = _pairs(tokens)
         stats = self.contexts(distinct)
-        count = stats[:, 0].copy()
+        counted = lambda v: self.contexts(v)[:, 0] if self.order == 2 else self._look(v, shard_of(v, self.shards), "count", "count-stats")
+        count = stats[:, 0].copy() if self.order == 2 else counted(distinct)
         # A text's end is seen as often as its start; the start itself is no token.
-        count[distinct == END] = self.contexts(np.array([START], dtype=np.uint64))[0, 0]
+        count[distinct == END] = counted(np.array([START], dtype=np.uint64))[0]
         w48 = distinct >> np.uint64(16)
         follows = self._look(w48, shard_of(distinct, self.shards), "word", "word-stats")
         uniform = 1.0 / (self.words + 1)
@@ -238,33 +295,34 @@ class PairModel:
         else:
             lower = np.full(len(distinct), uniform)
         v, w = distinct[left], w48[right]
-        keys = pair_hash(v, w)
-        spread = np.isin(v, self.heavy)
-        shard = np.where(spread, shard_of(keys, self.shards), shard_of(v, self.shards))
-        order = np.argsort(shard, kind="stable")
-        n = np.empty(len(v), dtype=np.int64)
-        n[order] = self._look(keys[order], shard[order], "pair", "pair-stats")
-        total = stats[left, 0]
-        left_over = stats[left, 1:] @ self.pair_discounts[1:]
-        seen = np.maximum(n - self.pair_discounts[np.minimum(n, 3)], 0)
-        safe = np.maximum(total, 1)
-        p = np.where(total > 0, seen / safe + left_over / safe * lower[right], lower[right])
+        p = self._mixed(self._seen(v, w, self.heavy, "pair"), stats[left], self.pair_discounts, lower[right])
+        which_p = which
+        if self.order == 3:
+            first, pair, which_p = _triples(tokens, np.searchsorted(distinct, tokens), len(left), which)
+            v = pair_hash(distinct[first], distinct[left[pair]])
+            some, at = np.unique(v, return_inverse=True)
+            n = self._seen(v, w48[right[pair]], self.heavy_pairs, "triple")
+            p = self._mixed(n, self.contexts(some, "pair-context")[at], self.triple_discounts, p[pair])
         base = np.log10((count + 1) / (self.tokens + self.words + 1))
         ends = np.cumsum(sizes - 1)
         starts = ends - (sizes - 1)
         token = right[which]  # place of each token among the distinct words
         sums = lambda x: np.add.reduceat(x[...], starts) if len(x) else np.zeros(0)
-        return sums((count > 0).astype(np.int64)[token]), sums(base[token]), sums(np.log10(p)[which])
+        return sums((count > 0).astype(np.int64)[token]), sums(base[token]), sums(np.log10(p)[which_p])
 
 
-def _heavy_words(docs: DataFrame, text: str, share: float) -> np.ndarray:
-    """Contexts with at least ``share`` of all tokens; it only decides where their pairs are kept."""
+def _heavy_words(docs: DataFrame, text: str, share: float, order: int = 2) -> np.ndarray:
+    """Contexts (of triples with order 3) with at least ``share`` of all tokens; it only decides where their pairs are kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             for texts in _pieces(batch.column(0)):
                 tokens, _ = words(texts)
+                if order == 3:
+                    follows = np.flatnonzero(tokens[1:] != START)
+                    before = np.where(tokens[follows] == START, follows, follows - 1)
+                    tokens = pair_hash(tokens[before], tokens[follows])
                 h, n = np.unique(tokens, return_counts=True)
                 some = n >= share * len(tokens) / 2
                 # One more row, hash 0, holds the number of tokens.
@@ -279,8 +337,16 @@ def _heavy_words(docs: DataFrame, text: str, share: float) -> np.ndarray:
     return np.sort(rows.column("h").to_numpy().view(np.uint64))
 
 
-def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, folder: str | None = None, heavy_share: float = HEAVY_SHARE) -> PairModel:
-    """Count all word pairs of ``docs`` and write the model.
+def _merged(split: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and statistics of the heavy contexts from the pieces that the shards hold."""
+    keys, at = np.unique(np.concatenate([np.empty(0, np.uint64), *[k for k, _ in split]]), return_inverse=True)
+    stats = np.zeros((len(keys), 4), np.int64)
+    np.add.at(stats, at, np.concatenate([np.zeros((0, 4), np.int64), *[s for _, s in split]]))
+    return keys, stats
+
+
+def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, folder: str | None = None, heavy_share: float = HEAVY_SHARE, order: int = 2) -> PairModel:
+    """Count all word pairs, or with ``order`` 3 all word triples, of ``docs`` and write the model.
 
     Words are lower-cased (A-Z) and cut at ASCII blanks; an end follows each
     text, a null or empty text is an end alone. ``shards`` (the session's
@@ -292,34 +358,28 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = local_path(folder or scratch_path(spark, "pairs"))
     os.makedirs(folder, exist_ok=True)
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 or 3")
     heavy = _heavy_words(docs, text, heavy_share)
+    heavy_pairs = _heavy_words(docs, text, heavy_share, 3) if order == 3 else np.empty(0, np.uint64)
+    part_names = ["shard", "v", "n", "w", "c", "last"]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def pieces() -> Iterator[pa.RecordBatch]:
-            v, w, c = _combine(*(np.concatenate(x) for x in zip(*held)))
-            shard = np.where(np.isin(v, heavy), shard_of(pair_hash(v, w), shards), shard_of(v, shards))
-            order = np.argsort(shard, kind="stable")  # within a shard still by context
-            v, w, c, shard = v[order], w[order], c[order], shard[order]
-            rows = []
-            for s, a, b in _runs(shard):
-                first = np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1]]))
-                n = np.diff(np.append(first, b - a)).astype(np.uint32)
-                rows.append((s, v[a:b][first].tobytes(), n.tobytes(), _six(w[a:b]), c[a:b].astype(np.uint32).tobytes()))
-            names = ["shard", "v", "n", "w", "c"]
-            kinds = [pa.int32(), *[pa.binary()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
+            rows = _parts(*_combine(*(np.concatenate(x) for x in zip(*held))), heavy if order == 2 else heavy_pairs, shards)
+            kinds = [pa.int32(), *[pa.binary()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=part_names)
             held.clear()
 
         size = 0
         for batch in batches:
             for texts in _pieces(batch.column(0)):
                 tokens, _ = words(texts)
-                distinct, left, right, which = _pairs(tokens)
-                held.append((distinct[left], distinct[right] >> np.uint64(16), np.bincount(which, minlength=len(left)).astype(np.int64)))
-                size += len(left)
+                held.append(_counts(tokens, order))
+                size += len(held[-1][0])
                 if size >= HELD:
                     merged = _combine(*(np.concatenate(x) for x in zip(*held)))
                     held[:] = [merged]
@@ -329,6 +389,54 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         if held:
             yield from pieces()
 
+    def tripled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Write a shard of triples; hand on their pairs and the counts of the words before the last."""
+        blobs = [b for b in batches if b.num_rows]
+        if not blobs:
+            return
+        shard = blobs[0].column(0)[0].as_py()
+        parts = [(np.frombuffer(v, np.uint64), np.frombuffer(n, np.uint32), _from_six(w), np.frombuffer(c, np.uint32), np.frombuffer(x, np.uint64)) for b in blobs for v, n, w, c, x in zip(*(b.column(k).to_pylist() for k in range(1, 6)))]
+        v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+        last = np.concatenate([np.repeat(p[4], p[1]) for p in parts])
+        v, w, c, last = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]).astype(np.int64), last)
+        del parts, blobs
+        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+        stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (c, c == 1, c == 2, c > 2)], axis=1)
+        context = v[first]
+        own = ~np.isin(context, heavy_pairs)
+        _save(folder, f"pair-context-{shard:05d}", context[own])
+        _save(folder, f"pair-context-stats-{shard:05d}", stats[own])
+        keys = pair_hash(v, w)
+        by_key = np.argsort(keys)
+        _save(folder, f"triple-{shard:05d}", keys[by_key])
+        _save(folder, f"triple-stats-{shard:05d}", c[by_key].astype(np.uint32))
+        tally = np.array([int(c.sum()), *[int((c == k).sum()) for k in (1, 2, 3, 4)]], dtype=np.int64)
+        split = stats[~own]
+        rows = [("tally", 0, b"", b"", b"", tally.tobytes(), b""), ("heavy", 0, context[~own].tobytes(), b"", b"", split.tobytes(), b"")]
+        word, at = np.unique(last[first], return_inverse=True)
+        totals = np.bincount(at, weights=stats[:, 0], minlength=len(word)).astype(np.int64)
+        rows += [("count", s, word[a:b].tobytes(), b"", b"", totals[a:b].tobytes(), b"") for s, a, b in _runs(shard_of(word, shards))]
+        del keys, by_key, v, stats
+        pair = _combine(last, w, np.ones(len(w), dtype=np.int64), last)
+        rows += [("pair", *x) for x in _parts(*pair, heavy, shards)]
+        for k in range(0, len(rows), 64):
+            kinds = (pa.string(), pa.int32(), *[pa.binary()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[k : k + 64]), kinds)], names=["kind", *part_names])
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Write how often each word of a shard stands in the text."""
+        blobs = [b for b in batches if b.num_rows]
+        if not blobs:
+            return
+        shard = blobs[0].column("shard")[0].as_py()
+        parts = [(np.frombuffer(v, np.uint64), np.frombuffer(c, np.int64)) for b in blobs for v, c in zip(b.column("v").to_pylist(), b.column("c").to_pylist())]
+        word, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        n = np.zeros(len(word), np.int64)
+        np.add.at(n, at, np.concatenate([p[1] for p in parts]))
+        _save(folder, f"count-{shard:05d}", word)
+        _save(folder, f"count-stats-{shard:05d}", n)
+        yield pa.RecordBatch.from_arrays([pa.array([len(word)], pa.int64())], names=["n"])
+
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [b for b in batches if b.num_rows]
         if not blobs:
@@ -359,7 +467,15 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         rows.append(("tally", 0, b"", np.array(tally, dtype=np.int64).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.binary(), pa.binary()))], names=["kind", "shard", "keys", "numbers"])
 
-    pieces = docs.select(text).mapInArrow(counted, "shard int, v binary, n binary, w binary, c binary")
+    part_schema = "shard int, v binary, n binary, w binary, c binary, last binary"
+    pieces = docs.select(text).mapInArrow(counted, part_schema)
+    few_triples: list[dict] = []
+    if order == 3:
+        triples = materialize(pieces.repartitionById(shards, F.col("shard")).mapInArrow(tripled, f"kind string, {part_schema}"), "triple-parts")
+        few_triples = triples.where(F.col("kind").isin("tally", "heavy")).select("kind", "v", "c").toArrow().to_pylist()
+        word_counts = triples.where(F.col("kind") == "count").repartitionById(shards, F.col("shard"))
+        word_counts.mapInArrow(numbered, "n bigint").agg(F.sum("n")).first()
+        pieces = triples.where(F.col("kind") == "pair").select(*part_names)
     placed = pieces.repartitionById(shards, F.col("shard"))
     # Written at once: the tasks also leave the files of their shards.
     made = materialize(placed.mapInArrow(sharded, "kind string, shard int, keys binary, numbers binary"), "pair-parts")
@@ -384,21 +500,22 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
     # At most 1 / heavy_share contexts a shard, and seven numbers a shard.
     few = made.where(F.col("kind") != "word").select("kind", "keys", "numbers").toArrow().to_pylist()
     empty = np.empty(0, np.uint64)
+    more = [("pair-context", empty), ("pair-context-stats", np.empty((0, 4), np.int64)), ("triple", empty), ("triple-stats", np.empty(0, np.uint32)), ("count", empty), ("count-stats", np.empty(0, np.int64))] if order == 3 else []
     for s in range(shards):  # shards that got no rows
-        for name, none in (("context", empty), ("context-stats", np.empty((0, 4), np.int64)), ("pair", empty), ("pair-stats", np.empty(0, np.uint32)), ("word", empty), ("word-stats", np.empty(0, np.int64))):
+        for name, none in (("context", empty), ("context-stats", np.empty((0, 4), np.int64)), ("pair", empty), ("pair-stats", np.empty(0, np.uint32)), ("word", empty), ("word-stats", np.empty(0, np.int64)), *more):
             if not os.path.exists(f"{folder}/{name}-{s:05d}.npy"):
                 _save(folder, f"{name}-{s:05d}", none)
     tally = sum((np.frombuffer(r["numbers"], np.int64) for r in few if r["kind"] == "tally"), np.zeros(7, np.int64))
-    split = [(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["numbers"], np.int64).reshape(-1, 4)) for r in few if r["kind"] == "heavy"]
-    keys, at = np.unique(np.concatenate([empty, *[k for k, _ in split]]), return_inverse=True)
-    stats = np.zeros((len(keys), 4), np.int64)
-    np.add.at(stats, at, np.concatenate([np.zeros((0, 4), np.int64), *[s for _, s in split]]))
+    merged = lambda split: _merged([(np.frombuffer(k, np.uint64), np.frombuffer(n, np.int64).reshape(-1, 4)) for k, n in split])
+    keys, stats = merged([(r["keys"], r["numbers"]) for r in few if r["kind"] == "heavy"])
+    pair_keys, pair_stats = merged([(r["v"], r["c"]) for r in few_triples if r["kind"] == "heavy"])
+    triple_tally = sum((np.frombuffer(r["c"], np.int64) for r in few_triples if r["kind"] == "tally"), np.zeros(5, np.int64))
     # Every pair is one token; words are the contexts but the start, and the end.
-    tokens = int(tally[0] + stats[:, 0].sum())
+    tokens = int(tally[0] + stats[:, 0].sum()) if order == 2 else int(triple_tally[0])
     words = int(tally[1] + (keys != START).sum() + (tokens > 0))
     own = discounts(word_n[:4])
     shared = (own[1] * word_n[0] + own[2] * word_n[1] + own[3] * word_n[4]) / max(int(tally[2]), 1)
-    return PairModel(folder, shards, tokens, words, discounts(tally[3:7].tolist()), own, int(tally[2]), shared, keys, stats)
+    return PairModel(folder, shards, tokens, words, discounts(tally[3:7].tolist()), own, int(tally[2]), shared, keys, stats, order, discounts(triple_tally[1:].tolist()), pair_keys, pair_stats)
 
 
 def with_scores(df: DataFrame, model: PairModel, text: str = "text") -> DataFrame:

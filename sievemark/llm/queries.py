@@ -93,7 +93,7 @@ def op7_line_dedup(spark, folder):
 def op8_language_model(spark, folder):
     """Learned from the documents whose remainder is not 2; every document is scored."""
     docs = documents(spark, folder)
-    model = kneser_ney.fit_pairs(docs.where(F.coalesce(_remainder(7) != 2, F.lit(True))))
+    model = kneser_ney.fit_pairs(docs.where(F.coalesce(_remainder(7) != 2, F.lit(True))), order=3)
     return kneser_ney.with_scores(docs, model).select(
         ID, (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
