@@ -5,11 +5,16 @@ the bytes by which it lengthens a zstandard frame that already holds the text
 around it, compressed with a dictionary of common identifiers. Names, repeated
 values and placeholders match the dictionary or the surroundings and cost
 little; random strings cost nearly a byte a character.
+
+Only strings of 16 or more characters that end at most REACH characters before
+a sensitive word or begin at most as many after one are measured: shorter
+values and those further off are found by the fixed shapes alone.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +36,7 @@ ASSIGN_HINTS = ("passw", "secret", "token", "api")
 SENSITIVE_HINTS = ("passw", "pwd", "secret", "token", "key", "auth", "credential", "bearer", "private", "signature", "session", "cookie")
 SENSITIVE = re.compile("|".join(SENSITIVE_HINTS), re.ASCII | re.IGNORECASE)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.-][A-Za-z0-9+/_=.-]{15,}")
-REACH = 64  # characters from a sensitive word to the start of a candidate
+REACH = 64  # characters between a sensitive word and a candidate on either side
 AROUND = 256  # characters on either side that the candidate is measured against
 NOVELTY = 0.6  # marginal bytes a character from which a candidate is reported
 
@@ -85,20 +90,25 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Strings of letters and digits that start within REACH of a sensitive word's end."""
+    """Strings of 16 or more characters within REACH of a sensitive word on either side, or in one run with it."""
     lower = text.lower()
     if not any(h in lower for h in SENSITIVE_HINTS):
         return
-    at = 0
-    for word in SENSITIVE.finditer(text):
-        at = max(at, word.end())
-        reach = word.end() + REACH
-        while m := CANDIDATE.search(text, at, reach + 16):  # never past the reach of this word
-            start, end = CANDIDATE.match(text, m.start()).span()
-            value = text[start:end]
-            if start <= reach and any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
-                yield start, end
-            at = end
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    starts, ends = [w[0] for w in words], [w[1] for w in words]
+    for run in CANDIDATE.finditer(text):
+        start, end = run.span()
+        before, within = bisect_right(ends, start), bisect_left(starts, start)
+        after = bisect_left(starts, end)
+        if before and start - ends[before - 1] <= REACH:
+            yield start, end
+        elif within < after:  # the pieces before and after the first word of the run
+            if piece := CANDIDATE.match(text, start, starts[within]):
+                yield piece.span()
+            if piece := CANDIDATE.search(text, ends[within], end):
+                yield piece.span()
+        elif after < len(starts) and starts[after] - end <= REACH:
+            yield start, end
 
 
 def spans(text: str, novelty: Novelty, threshold: float = NOVELTY) -> list[tuple[str, int, int, float]]:
@@ -114,6 +124,9 @@ def spans(text: str, novelty: Novelty, threshold: float = NOVELTY) -> list[tuple
 def find_secrets(df: DataFrame, text: str = "text", out: str = "spans", threshold: float = NOVELTY) -> DataFrame:
     """Add ``out array<struct<kind, start, end, novelty>>``, ordered by start, then kind as in KINDS.
 
+    Novel strings have 16 or more characters of ``A-Z a-z 0-9 + / _ = . -`` and
+    stand within REACH characters of a sensitive word, before or after it.
+
     Offsets count code points, end exclusive. Null and empty texts have no
     spans; texts of any length are scanned whole. Other columns pass through;
     one named ``out`` is replaced. An empty table gives an empty table. No
