@@ -9,7 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sievemark.llm import bpe, decontaminate, kneser_ney, line_dedup, quality_qda, secret_scan, simhash_golay, token_count, toxicity, vector_lsh
+from sievemark.llm import (
+    bpe,
+    decontaminate,
+    filter_audit,
+    kneser_ney,
+    line_dedup,
+    oracle,
+    phrase_graph,
+    quality_qda,
+    secret_scan,
+    simhash_golay,
+    token_count,
+    toxicity,
+    url_filter,
+    vector_lsh,
+)
 from sievemark.storage import materialize
 
 ID = "doc_id"
@@ -119,15 +134,48 @@ def op10_token_counts(spark, folder):
     )
 
 
+def op11_phrases(spark, folder):
+    """The 2,000 best phrases of each language."""
+    return phrase_graph.mine_phrases(spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text"))
+
+
+def op12_filter_audit(spark, folder):
+    """What each of five filters removes in all 120 orders."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(ID, "text", "lang")
+    return filter_audit.audit_filters(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op13_url_filter(spark, folder):
+    """Every page's URL, judged by the rules or by trees that learn from the URLs that a rule decides."""
+    judged = url_filter.judge_urls(spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def pipeline(spark, folder):
     """The corpus pipeline; ``ids`` joined, so that the rows can be compared."""
     return corpus_pipeline.run(spark, folder).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), " "))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_bpe, op2_secrets, op3_simhash, op4_decontaminate, op5_vectors, op6_toxicity, op7_line_dedup, op8_language_model, op9_quality, op10_token_counts, pipeline]
+    listed = [
+        op1_bpe,
+        op2_secrets,
+        op3_simhash,
+        op4_decontaminate,
+        op5_vectors,
+        op6_toxicity,
+        op7_line_dedup,
+        op8_language_model,
+        op9_quality,
+        op10_token_counts,
+        op11_phrases,
+        op12_filter_audit,
+        op13_url_filter,
+        pipeline,
+    ]
     return {query.__name__: query for query in listed}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL can express; tests hold the others against brute force."""
+    return {"op11_phrases": oracle.phrases(), "op12_filter_audit": oracle.filter_audit()}
