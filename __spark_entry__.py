@@ -14,15 +14,14 @@ from sievemark.functions.language import with_language
 from sievemark.operators import anomaly, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
-from sievemark.sources import shards
-from sievemark.sources import tables
+from sievemark.sources import jsonl, shards, tables, wet
 from sievemark.sources.tables import read_pages
 from sievemark.storage import materialize, scratch_path
 
 try:
     import sievemark.llm.queries as llm
-except ModuleNotFoundError as missing:  # the library works without that subpackage
-    if not (missing.name or "").startswith(("sievemark.llm", "corpus_pipeline")):
+except ModuleNotFoundError as missing:  # the library works without that subpackage and what only it needs
+    if (missing.name or "").split(".")[0] == "sievemark" and not missing.name.startswith("sievemark.llm"):
         raise
     llm = None
 
@@ -95,6 +94,48 @@ def page_text(spark, folder):
     return read_pages(spark, folder)
 
 
+SEPARATOR = "\r\n\r\nWARC/1.0\r\nWARC-Type: conversion\r\n\r\n"
+
+
+def wet_records(spark, folder):
+    """Documents written as crawl records, each body with a record separator in it, and read back."""
+    docs = read_documents(spark, folder, ID, "text", "lang")
+    path = scratch_path(spark, "wet")
+    body = F.concat(F.coalesce("text", F.lit("")), F.lit(SEPARATOR), F.coalesce("lang", F.lit("")))
+    url = F.concat(F.lit("http://example.org/"), F.col(ID).cast("string"))
+    wet.write_wet(docs.select(F.col(ID).alias("id"), url.alias("url"), body.alias("text")), path)
+    back = wet.read_wet(spark, path, split=1 << 20)
+    return back.select(F.col("id").cast("long").alias(ID), "url", F.md5(F.col("text").cast("binary")).alias("body_md5"), "length_ok")
+
+
+def _json_lines(spark, folder):
+    """A folder of gzipped JSON lines; of every tenth document a line that breaks off, of every 25th one without a text."""
+    docs = with_language(read_documents(spark, folder, ID, "text")).withColumnRenamed(ID, "id")
+    path = scratch_path(spark, "jsonl")
+    jsonl.write_jsonl(docs.select("id", F.coalesce("text", F.lit("")).alias("text"), "language"), f"{path}/whole")
+    number = F.col("id").cast("string")
+    cut = docs.where(F.pmod("id", F.lit(10)) == 3).select(F.concat(F.lit('{"id": "'), number, F.lit('", "text": "bro')).alias("value"))
+    bare = docs.where(F.pmod("id", F.lit(25)) == 4).select(F.concat(F.lit('{"id": "'), number, F.lit('"}')).alias("value"))
+    cut.unionByName(bare).write.option("compression", "gzip").text(f"{path}/odd")
+    return path
+
+
+def jsonl_round_trip(spark, folder):
+    """The documents that come back from JSON lines."""
+    docs = jsonl.read_jsonl(spark, _json_lines(spark, folder))
+    return docs.select(F.col("id").cast("long").alias(ID), F.md5("text").alias("text_md5"), "language")
+
+
+def jsonl_quarantine(spark, folder):
+    """The lines set aside, by reason, and the documents counted."""
+    path = _json_lines(spark, folder)
+    aside = scratch_path(spark, "quarantine")
+    docs, counts = jsonl.split_jsonl(spark, path, aside)
+    lines = spark.read.text(aside).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("value").alias("n_distinct"))
+    kept = docs.agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("id").alias("n_distinct")).select(F.lit("document").alias("reason"), "*")
+    return lines.join(counts, ["reason", "n_lines"]).unionByName(kept)
+
+
 def minhash_signature(spark, folder):
     signed = minhash.with_signature(read_documents(spark, folder, ID, "text"))
     return signed.where(F.col("signature").isNotNull()).select(ID, F.array_join("signature", ",").alias("signature"))
@@ -312,6 +353,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ingest_clean,
         ingest_summary,
         page_text,
+        wet_records,
+        jsonl_round_trip,
+        jsonl_quarantine,
         minhash_signature,
         minhash_bands,
         dup_components,

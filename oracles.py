@@ -334,6 +334,19 @@ def page_text_sql() -> str:
     return rf"SELECT page_id, url, trim({text}, E' \n') AS text FROM pages"
 
 
+WET_RECORDS = """
+SELECT doc_id, 'http://example.org/' || doc_id AS url,
+       md5(coalesce(text, '') || chr(13) || chr(10) || chr(13) || chr(10) || 'WARC/1.0' || chr(13) || chr(10)
+           || 'WARC-Type: conversion' || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(lang, '')) AS body_md5,
+       true AS length_ok
+FROM documents"""
+
+QUARANTINE = """
+SELECT 'malformed' AS reason, count(*) AS n_lines, count(*) AS n_distinct FROM documents WHERE doc_id % 10 = 3
+UNION ALL SELECT 'no text', count(*), count(*) FROM documents WHERE doc_id % 25 = 4
+UNION ALL SELECT 'document', count(*), count(DISTINCT doc_id) FROM documents"""
+
+
 def all_queries() -> dict[str, str]:
     judged = ingest_ctes()
     dup = f"WITH RECURSIVE {PERMUTATIONS},{dedup_ctes('documents', 'd_')}"
@@ -347,6 +360,9 @@ def all_queries() -> dict[str, str]:
     sizes = "clean_docs_in, deduped_docs_out, clean_docs_in - deduped_docs_out AS near_dups_removed, round((clean_docs_in - deduped_docs_out) / clean_docs_in::DOUBLE * 100, 2) AS near_dups_removed_pct"
     return {
         "lang_score": f"WITH {lang_ctes()} SELECT doc_id, language, round(language_score, 6) AS language_score FROM lang",
+        "wet_records": WET_RECORDS,
+        "jsonl_round_trip": f"WITH {lang_ctes()} SELECT doc_id, md5(coalesce(text, '')) AS text_md5, language FROM lang JOIN documents USING (doc_id)",
+        "jsonl_quarantine": QUARANTINE,
         "gopher_features": f"WITH {gopher_ctes()} SELECT doc_id, n_words, mean_word_length, round(hash_ratio, 6) AS hash_ratio, round(ellipsis_ratio, 6) AS ellipsis_ratio, round(bullet_line_share, 6) AS bullet_line_share, round(ellipsis_line_share, 6) AS ellipsis_line_share, round(letter_word_share, 6) AS letter_word_share, n_stop_words FROM gopher",
         "gopher_keep": f"WITH {gopher_ctes()} SELECT doc_id, gopher_reason FROM gopher",
         "c4_clean_text": f"WITH {c4_ctes()} SELECT doc_id, c4_text, n_sentences, c4_reason FROM c4",

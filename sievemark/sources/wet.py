@@ -2,58 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Between two records stands a blank line, then the version line of the next (1.0 or 1.1).
-SEPARATOR = "\r\n\r\nWARC/1."
-HEAD_END = "\r\n\r\n"
+from sievemark.sources import warc
+
+
+def read_wet(spark: SparkSession, path: str, glob: str = warc.GLOB, split: int = warc.SPLIT) -> DataFrame:
+    """``id, url, date, text, file_path, offset, length_ok, problem``, one row per text record.
+
+    Bodies are as long as their heads declare. ``offset`` is the place of the
+    gzip member in which the record begins. Whatever can't be read is a row
+    with a ``problem`` (``truncated``, ``bad gzip``, ``no head``, ``no length``)
+    and ``length_ok`` false; reading goes on with the next member that begins
+    with a record. Files are read in ranges of ``split`` bytes; in a store that
+    only Spark reaches a file is one row of Spark's ``binaryFile``, so of 2 GB
+    at most, and one task. An unpacked file is one task. A folder without
+    matching files gives no rows.
+    """
+    try:
+        warc.filesystem(path)
+    except ValueError:
+        return _through_spark(spark, path, glob)
+    spark.dataSource.register(warc.WetSource)
+    return spark.read.format("wet").option("glob", glob).option("split", split).load(path)
+
+
+def _through_spark(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = memoryview(content.as_buffer())
+                read = lambda at, n, d=data: bytes(d[at : at + n])
+                yield from warc.batches(warc.records(read, len(data), 0, len(data)), name)
 
-def _header(name: str) -> Column:
-    return F.nullif(F.regexp_extract("_head", rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1), F.lit(""))
+    return files.select("path", "content").mapInArrow(cut, warc.SCHEMA)
 
 
-def read_wet(spark: SparkSession, path: str, glob: str = "*.warc.wet.gz") -> DataFrame:
-    """``id, url, date, text, file_path, length_ok``, one row per text record.
+def write_wet(df: DataFrame, path: str, overwrite: bool = True) -> None:
+    """Write ``id, url, date, text`` (those that are there) as records, each in a gzip member of its own.
 
-    Spark's text source streams each file and cuts it at the record separator,
-    so no file is ever held whole. gzip cannot be split: there are as many
-    tasks as files. ``length_ok`` compares the body with the length its header
-    declares; a body that itself contains the separator fails that test.
+    A null text is an empty body. Files stand in the folder only when all tasks have ended.
     """
-    reader = spark.read.option("lineSep", SEPARATOR).option("pathGlobFilter", glob)
-    raw = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    # What is left of the version line: all of it in the first record of a file, its end in the others.
-    record = F.regexp_replace("value", r"\A\r?\n?(WARC/1\.)?[0-9]\r\n", "")
-    cut = raw.select("file_path", record.alias("_record")).withColumn("_at", F.instr("_record", HEAD_END))
-    # A record with an empty body ends with its head.
-    split = cut.select(
-        "file_path",
-        F.when(F.col("_at") > 0, F.substring("_record", F.lit(1), F.col("_at") - 1)).otherwise(F.col("_record")).alias("_head"),
-        F.when(F.col("_at") > 0, F.substring("_record", F.col("_at") + len(HEAD_END), F.length("_record")))
-        .otherwise(F.lit(""))
-        .alias("_body"),
-    )
-    parsed = split.select(
-        "file_path",
-        "_body",
-        _header("WARC-Type").alias("_type"),
-        _header("WARC-Record-ID").alias("_record_id"),
-        _header("WARC-Target-URI").alias("url"),
-        _header("WARC-Date").alias("date"),
-        _header("Content-Length").cast("long").alias("_length"),
-    ).where(F.col("_type") == "conversion")
-    # Only the last record of a file still has the blank line that closes it.
-    body = F.when(
-        F.octet_length("_body") == F.col("_length") + len(HEAD_END), F.regexp_replace("_body", r"\r\n\r\n\z", "")
-    ).otherwise(F.col("_body"))
-    named = F.coalesce("_record_id", F.md5(F.concat_ws("\n", "url", "date", body)))
-    return parsed.select(
-        F.regexp_replace(named, r"^<|>$", "").alias("id"),
-        "url",
-        "date",
-        body.alias("text"),
-        "file_path",
-        (F.octet_length(body) == F.col("_length")).alias("length_ok"),
-    )
+    df.sparkSession.dataSource.register(warc.WetSource)
+    columns = [F.col(c).cast("string").alias(c) for c in ("id", "url", "date", "text") if c in df.columns]
+    df.select(*columns).write.format("wet").mode("overwrite" if overwrite else "append").save(path)

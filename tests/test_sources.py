@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.html import html_text
 from sievemark.plans.ingest import clean, ingest, rejects
-from sievemark.sources import jsonl, shards, stats, wet
+from sievemark.sources import jsonl, shards, stats, warc, wet
 from texts import FRENCH, records
 
 
@@ -34,10 +34,103 @@ def test_wet_records_come_back_whole(spark, tmp_path):
     assert rows[0].id.startswith("urn:uuid:") and len({r.id for r in rows}) == len(rows)
 
 
-def test_wet_flags_a_body_that_holds_the_separator(spark, tmp_path):
-    write_wet(tmp_path, "a", ["head\r\n\r\nWARC/1.0\r\nWARC-Type: other\r\n\r\ntail", "fine"])
+def test_wet_bodies_that_hold_a_separator_come_back_whole(spark, tmp_path):
+    body = "head\r\n\r\nWARC/1.0\r\nWARC-Type: conversion\r\n\r\ntail"
+    write_wet(tmp_path, "a", [body, "fine"])
     rows = wet.read_wet(spark, str(tmp_path)).orderBy("url").collect()
-    assert [r.length_ok for r in rows] == [False, True]
+    assert [(r.text, r.length_ok, r.problem) for r in rows] == [(body, True, None), ("fine", True, None)]
+
+
+@pytest.mark.parametrize("split", [1, 97, 1000, 1 << 25])
+def test_wet_ranges_share_the_records_of_a_file(spark, tmp_path, split):
+    bodies = [f"{i} " * (i % 40) + "\x1f\x8b\x08 WARC/1.0" for i in range(60 if split > 1 else 3)]
+    write_wet(tmp_path, "a", bodies)
+    rows = wet.read_wet(spark, str(tmp_path), split=split)
+    assert split > 1000 or rows.rdd.getNumPartitions() > 1
+    assert sorted(r.text for r in rows.collect()) == sorted(bodies)
+
+
+def test_wet_members_of_many_records_and_records_over_members(tmp_path):
+    plain = b"".join(gzip.decompress(wet_record("conversion", f"u{i}", f"body {i} " * 50)) for i in range(9))
+    for pieces in ([plain], [plain[:100], plain[100:700], plain[700:]], [plain[k : k + 333] for k in range(0, len(plain), 333)]):
+        data = b"".join(gzip.compress(p) for p in pieces)
+        read = lambda at, n, d=data: d[at : at + n]
+        for split in (50, 211, 10_000):
+            rows = [r for a in range(0, len(data), split) for r in warc.records(read, len(data), a, a + split)]
+            assert [(r[1], r[5], r[6]) for r in rows] == [(f"u{i}", True, None) for i in range(9)]
+
+
+def test_wet_problems_are_rows_and_reading_goes_on(spark, tmp_path):
+    good = [wet_record("conversion", f"http://x/{i}", f"text {i}") for i in range(4)]
+    broken = bytearray(good[1])
+    broken[len(broken) // 2] ^= 0xFF
+    short = gzip.compress(gzip.decompress(good[2])[:-10])
+    no_length = gzip.compress(gzip.decompress(good[2]).replace(b"Content-Length", b"Content-Size"))
+    (tmp_path / "a.warc.wet.gz").write_bytes(good[0] + bytes(broken) + good[3] + short + no_length + b"\0" * 5000 + good[0] + good[1][:-12])
+    (tmp_path / "b.warc.wet.gz").write_bytes(gzip.decompress(good[1]) + b"WARC/1.0\r\nhalf")
+    (tmp_path / "c.warc.wet.gz").write_bytes(b"")
+    (tmp_path / "_half.warc.wet.gz").write_bytes(good[0])
+    rows = wet.read_wet(spark, str(tmp_path)).collect()
+    a = [(r.url, r.length_ok, r.problem) for r in sorted(rows, key=lambda r: r.offset) if r.file_path.endswith("a.warc.wet.gz")]
+    whole = [u for u, ok, _ in a if ok]
+    assert whole == ["http://x/0", "http://x/3", "http://x/0"]
+    assert {p for _, ok, p in a if not ok} == {"bad gzip", "truncated", "no length"}
+    b = [(r.url, r.problem) for r in rows if r.file_path.endswith("b.warc.wet.gz")]
+    assert b == [("http://x/1", None), (None, "truncated")]
+    assert len(rows) == len(a) + len(b)
+
+
+def test_wet_without_files_and_through_spark(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    assert wet.read_wet(spark, str(tmp_path / "none")).collect() == []
+    write_wet(tmp_path, "a", ["x", "", "y\r\n\r\n"])
+    direct, other = wet.read_wet(spark, str(tmp_path)), wet._through_spark(spark, str(tmp_path), warc.GLOB)
+    key = lambda r: (r.id, r.url, r.text, r.offset, r.length_ok)
+    assert sorted(map(key, other.collect())) == sorted(map(key, direct.collect())) and other.count() == 3
+    with pytest.raises(ValueError):
+        warc.filesystem("viewfs://store/in")
+
+
+def test_wet_writer_appends_replaces_and_clears_up(spark, tmp_path):
+    path = str(tmp_path / "w")
+    rows = [("a", "http://x/\r\nWARC-Type: y", None, "t\r\n\r\nWARC/1.0"), (None, None, "2024", None)]
+    docs = spark.createDataFrame(rows, "id string, url string, date string, text string").repartition(2)
+    wet.write_wet(docs, path)
+    wet.write_wet(docs, path, overwrite=False)
+    back = wet.read_wet(spark, path).collect()
+    assert len(back) == 4 and sorted({(r.url or "", r.text) for r in back}) == [("", ""), ("http://x/ WARC-Type: y", rows[0][3])]
+    fails = docs.select(F.when(F.col("id") == "a", F.raise_error(F.lit("stop")).cast("string")).alias("text"))
+    with pytest.raises(Exception, match="stop"):
+        wet.write_wet(fails, path)
+    assert wet.read_wet(spark, path).count() == 4 and not [p for p in (tmp_path / "w").iterdir() if p.name.startswith("_")]
+    wet.write_wet(docs.limit(1), path)
+    assert wet.read_wet(spark, path).count() == 1
+
+
+def test_jsonl_quarantines_lines_that_are_no_document(spark, tmp_path):
+    lines = {
+        '{"id": "1", "text": "good", "metadata": {"url": "u", "topic_cluster": 3}}': None,
+        '  {"id": "2", "text": ""}': None,
+        '{"id": "3", "text": "good", "unknown": [1]}': None,
+        '{"id": "4", "text": "bro': "malformed",
+        '{"id": "5", "text": "x", "metadata": {"topic_cluster": "seven"}}': "malformed",
+        '[{"id": "6", "text": "x"}]': "no object",
+        "plain text": "no object",
+        '"{}"': "no object",
+        '{"text": "x"}': "no id",
+        '{"id": "7", "text": null}': "no text",
+        "{}": "no id",
+    }
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "a.jsonl.gz", "wt") as f:
+        f.write("\n\n".join(lines) + "\n \n")
+    source, aside = str(tmp_path / "in"), str(tmp_path / "aside")
+    assert jsonl.count_docs(spark, source) == 3
+    assert {r.line: r.reason for r in jsonl.read_quarantined(spark, source).collect()} == {k: v for k, v in lines.items() if v}
+    docs, counts = jsonl.split_jsonl(spark, source, aside)
+    assert {(r.id, r.text, r.url, r.topic_cluster) for r in docs.collect()} == {("1", "good", "u", 3), ("2", "", None, None), ("3", "good", None, None)}
+    assert {r.reason: r.n_lines for r in counts.collect()} == {"malformed": 2, "no object": 3, "no id": 2, "no text": 1}
+    assert spark.read.text(aside).where("reason = 'malformed'").count() == 2
 
 
 def test_jsonl_round_trip_and_reject_folders(spark, tmp_path):
