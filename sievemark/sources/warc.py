@@ -49,7 +49,7 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str, str]:
         return fs.LocalFileSystem(), path.rstrip("/") or "/", "file://"
     try:
         found, inner = fs.FileSystem.from_uri(path)
-    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as reason:
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as reason:
         raise ValueError(f"{path} can't be opened directly: {reason}") from reason
     return found, inner.rstrip("/"), path[: path.index("://") + 3]
 
