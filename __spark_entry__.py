@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import oracles
 from sievemark.functions.language import with_language
-from sievemark.operators import anomaly, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, tfidf, token_stream, topics
+from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
 from sievemark.sources import jsonl, shards, tables, wet
@@ -151,6 +151,15 @@ def dup_components(spark, folder):
     return clusters.select(F.col("id").alias(ID), "component")
 
 
+def band_index_groups(spark, folder):
+    """Near copies from an index on disk that three crawls, together all documents, are merged into one after the other."""
+    docs = read_documents(spark, folder, ID, "text")
+    index = band_index.BandIndex(spark, scratch_path(spark, "band-index"), n_buckets=16, id_type="bigint")
+    for crawl in range(3):
+        index.merge(docs.where(F.pmod(F.xxhash64(ID), F.lit(3)) == crawl), ID)
+    return index.components().select(F.col("id").alias(ID), "component")
+
+
 def near_dedup(spark, folder):
     return dedup.near_dedup(read_documents(spark, folder, ID, "text", "n_chars"), ID).select(ID, "n_chars")
 
@@ -359,6 +368,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         minhash_signature,
         minhash_bands,
         dup_components,
+        band_index_groups,
         near_dedup,
         dedup_summary,
         tfidf_terms,

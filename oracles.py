@@ -376,6 +376,7 @@ UNION ALL SELECT 3, 'c4', count(*), count(*) FILTER (stage IS NULL), count(*) FI
         "page_text": page_text_sql(),
         "minhash_signature": f"WITH {PERMUTATIONS},{band_ctes('documents', 'd_')} SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY j) AS signature FROM d_sig GROUP BY doc_id",
         "minhash_bands": f"WITH {PERMUTATIONS},{band_ctes('documents', 'd_')} SELECT doc_id, band, band_hash FROM d_band",
+        "band_index_groups": f"{dup} SELECT id AS doc_id, component FROM d_component WHERE id <> component",
         "dup_components": f"{dup} SELECT id AS doc_id, component FROM d_component WHERE id <> component",
         "near_dedup": f"{dup} SELECT doc_id, n_chars FROM d_kept",
         "dedup_summary": f"{clean_dup} SELECT {sizes} FROM (SELECT (SELECT count(*) FROM i_clean) AS clean_docs_in, (SELECT count(*) FROM d_kept) AS deduped_docs_out)",
