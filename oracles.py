@@ -188,6 +188,49 @@ def dedup_ctes(source: str, p: str) -> str:
 
 # --- M1: TF-IDF ---------------------------------------------------------------------------------
 
+
+
+def topic_ctes(k: int = 8, n_init: int = 10, max_iter: int = 20, seed: int = 42) -> str:
+    """``topic(doc_id, topic_cluster)`` over ``d_kept``: as many rounds as there may be, for all starts at once.
+
+    The term frequencies are those of TFIDF, counted in ``d_kept``.
+    """
+    ctes = TFIDF.replace("documents", "d_kept") + rf""",
+x AS MATERIALIZED (
+  SELECT doc_id, term, floor(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) * 65536 + 0.5)::BIGINT AS q FROM weighted),
+drawn AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER (ORDER BY md5('{seed}:' || doc_id)) - 1 AS place, count(*) OVER () AS n FROM d_kept),
+starts AS (SELECT i, c FROM range({n_init}) AS s(i), range({k}) AS t(c)),
+chosen AS (
+  SELECT i, c, doc_id FROM starts JOIN drawn ON place = (i * {k} + c) % least(n, {n_init * k})),
+m0 AS MATERIALIZED (SELECT i, c, term, q AS v FROM chosen JOIN x USING (doc_id)),
+"""
+    assign = lambda r: f"""
+l{r} AS MATERIALIZED (
+  SELECT i, c, sum(v * v) AS s FROM m{r} GROUP BY i, c),
+a{r} AS MATERIALIZED (
+  SELECT i, doc_id, c, score
+  FROM (SELECT g.i, g.doc_id, g.c, coalesce(l.s, 0) - 2 * coalesce(p.p, 0) AS score,
+               row_number() OVER (PARTITION BY g.i, g.doc_id ORDER BY coalesce(l.s, 0) - 2 * coalesce(p.p, 0), g.c) AS r
+        FROM (SELECT i, c, doc_id FROM starts, d_kept) g
+        LEFT JOIN l{r} l ON l.i = g.i AND l.c = g.c
+        LEFT JOIN (SELECT m.i, m.c, x.doc_id, sum(m.v * x.q) AS p FROM x JOIN m{r} m ON m.term = x.term GROUP BY 1, 2, 3) p
+               ON p.i = g.i AND p.c = g.c AND p.doc_id = g.doc_id)
+  WHERE r = 1)"""
+    for r in range(max_iter):
+        ctes += assign(r) + f""",
+n{r} AS MATERIALIZED (SELECT i, c, count(*) AS n FROM a{r} GROUP BY i, c),
+m{r + 1} AS MATERIALIZED (
+  SELECT a.i, a.c, x.term, (2 * sum(x.q) + n.n) // (2 * n.n) AS v
+  FROM a{r} a JOIN n{r} n ON n.i = a.i AND n.c = a.c JOIN x ON x.doc_id = a.doc_id GROUP BY a.i, a.c, x.term, n.n
+  UNION ALL
+  SELECT m.i, m.c, m.term, m.v FROM m{r} m WHERE NOT EXISTS (SELECT 1 FROM n{r} n WHERE n.i = m.i AND n.c = m.c)),
+"""
+    return ctes + assign(max_iter) + f""",
+cheapest AS (SELECT i FROM a{max_iter} GROUP BY i ORDER BY sum(score), i LIMIT 1),
+topic AS (SELECT doc_id, c::INTEGER AS topic_cluster FROM a{max_iter} JOIN cheapest USING (i))"""
+
+
 TFIDF = rf"""
 term_hit AS (
   SELECT doc_id, term, count(*) AS tf
@@ -378,6 +421,8 @@ UNION ALL SELECT 3, 'c4', count(*), count(*) FILTER (stage IS NULL), count(*) FI
         "minhash_bands": f"WITH {PERMUTATIONS},{band_ctes('documents', 'd_')} SELECT doc_id, band, band_hash FROM d_band",
         "band_index_groups": f"{dup} SELECT id AS doc_id, component FROM d_component WHERE id <> component",
         "dup_components": f"{dup} SELECT id AS doc_id, component FROM d_component WHERE id <> component",
+        "topic_clusters": f"{clean_dup},{topic_ctes()} SELECT doc_id, topic_cluster FROM topic",
+        "topic_sizes": f"{clean_dup},{topic_ctes()} SELECT topic_cluster, count(*) AS n_docs FROM topic GROUP BY topic_cluster",
         "near_dedup": f"{dup} SELECT doc_id, n_chars FROM d_kept",
         "dedup_summary": f"{clean_dup} SELECT {sizes} FROM (SELECT (SELECT count(*) FROM i_clean) AS clean_docs_in, (SELECT count(*) FROM d_kept) AS deduped_docs_out)",
         "tfidf_terms": f"WITH {TFIDF} SELECT doc_id, term, tf::INTEGER AS tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM weighted",

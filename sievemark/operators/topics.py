@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.operators.kmeans import Centres, fit_centres, whole_numbers
 from sievemark.operators.tfidf import TfidfConfig, fit_tfidf, transform_tfidf
-from sievemark.storage import materialize
-
-MAX_PARALLEL_FITS = 4
-
+from sievemark.storage import discard, materialize
 
-def fit_topics(features: DataFrame, k: int, seed: int = 42, n_init: int = 10) -> KMeansModel:
-    """The cheapest of ``n_init`` fits, seeds counting up from ``seed``.
-
-    The fits share the cluster: each is a chain of short jobs that leaves cores
-    idle between them.
-    """
+MAX_ITER = 20
 
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="topic_cluster").fit(features)
 
-    with ThreadPool(min(n_init, MAX_PARALLEL_FITS)) as pool:
-        fits = pool.map(inheritable_thread_target(features.sparkSession)(fit), range(n_init))
-    return min(fits, key=lambda model: model.summary.trainingCost)
+def fit_topics(vectors: DataFrame, width: int, k: int, id_col: str = "id", seed: int = 42, n_init: int = 10, max_iter: int = MAX_ITER) -> Centres:
+    """The cheapest of ``n_init`` starts, drawn by the md5 of ``seed`` and id."""
+    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+    return fit_centres(vectors, drawn, width, k, n_init, max_iter)
 
 
 def topic_clusters(
@@ -38,23 +26,24 @@ def topic_clusters(
     seed: int = 42,
     n_init: int = 10,
     cfg: TfidfConfig = TfidfConfig(),
+    max_iter: int = MAX_ITER,
 ) -> DataFrame:
     """M2: add ``topic_cluster``; every document is kept.
 
     k is the smaller of ``n_clusters`` and the number of documents. The vectors
-    are written once, without the texts, and read by every fit; the labels of a
-    run still depend on how Spark splits the sums. The model is then applied row
-    by row, so ids may repeat and no text is shuffled.
+    are written once, without the texts, and read by every pass; the labels
+    are the same however the rows were dealt out. The centres are then applied
+    row by row, so ids may repeat and no text is shuffled.
     """
     n_docs = df.count()
     if n_docs == 0:
         raise ValueError("no documents to cluster")
     tfidf = fit_tfidf(df, text, cfg)
-    vectors = transform_tfidf(tfidf, df.select(id_col, text), text, cfg).select(id_col, "features")
-    features = materialize(vectors.sortWithinPartitions(id_col), "features")
-    model = fit_topics(features, min(n_clusters, n_docs), seed, n_init)
-    labelled = model.transform(transform_tfidf(tfidf, df, text, cfg))
-    return labelled.select(*df.columns, F.col("topic_cluster").cast("int").alias("topic_cluster"))
+    vectors = materialize(transform_tfidf(tfidf, df.select(id_col, text), text, cfg).select(id_col, *whole_numbers("features")), "features")
+    centres = fit_topics(vectors, len(tfidf.stages[0].vocabulary), min(n_clusters, n_docs), id_col, seed, n_init, max_iter)
+    discard(vectors)
+    numbered = transform_tfidf(tfidf, df, text, cfg).select(*df.columns, *whole_numbers("features"))
+    return numbered.select(*df.columns, centres.label("at", "q").alias("topic_cluster"))
 
 
 def cluster_sizes(labelled: DataFrame) -> DataFrame:
