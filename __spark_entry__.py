@@ -57,6 +57,25 @@ def lang_model(spark, folder):
     return model.score(split.where("is_test")).select(ID, "lang", "language", "language_score")
 
 
+def _softmax_halves(spark, folder):
+    """A model of one half of a hash split, and the other half."""
+    split = scoring.with_split(read_documents(spark, folder, ID, "text", "lang"), ID, 0.5)
+    return language_model.fit_softmax(split.where(~F.col("is_test"))), split.where("is_test").drop("is_test")
+
+
+def lang_softmax(spark, folder):
+    """Held-out documents of each language, and whether 95 in 100 of them are told."""
+    model, held_out = _softmax_halves(spark, folder)
+    told = F.avg((F.col("language") == F.col("lang")).cast("double")) >= 0.95
+    return model.score(held_out).where(F.col("text") != "").groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), told.alias("told"))
+
+
+def ingest_learned(spark, folder):
+    """The funnel of the held-out half with the learned languages in the filter."""
+    model, held_out = _softmax_halves(spark, folder)
+    return plan.funnel(plan.ingest(held_out, cfg=plan.IngestConfig(language_model=model)))
+
+
 def gopher_features(spark, folder):
     measured = quality.with_gopher_features(read_documents(spark, folder, ID, "text"))
     return measured.select(
@@ -354,6 +373,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         lang_score,
         lang_model,
+        lang_softmax,
+        ingest_learned,
         gopher_features,
         gopher_keep,
         c4_clean_text,

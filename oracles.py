@@ -403,6 +403,7 @@ def all_queries() -> dict[str, str]:
     sizes = "clean_docs_in, deduped_docs_out, clean_docs_in - deduped_docs_out AS near_dups_removed, round((clean_docs_in - deduped_docs_out) / clean_docs_in::DOUBLE * 100, 2) AS near_dups_removed_pct"
     return {
         "lang_score": f"WITH {lang_ctes()} SELECT doc_id, language, round(language_score, 6) AS language_score FROM lang",
+        "lang_softmax": f"SELECT lang, count(*) AS n_docs, true AS told FROM documents WHERE {_md5_31(chr(39) + '42:' + chr(39) + ' || doc_id')} / 4294967296.0::DOUBLE < 0.5 AND text <> '' GROUP BY lang",
         "wet_records": WET_RECORDS,
         "jsonl_round_trip": f"WITH {lang_ctes()} SELECT doc_id, md5(coalesce(text, '')) AS text_md5, language FROM lang JOIN documents USING (doc_id)",
         "jsonl_quarantine": QUARANTINE,

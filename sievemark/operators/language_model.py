@@ -1,15 +1,20 @@
-"""Language identification learned from labelled text (F1, variant b)."""
+"""Language identification learned from labelled text (F1): naive Bayes, and softmax over hashed subwords."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
-from pyspark.ml.feature import HashingTF, NGram
+from typing import Protocol
+
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
+from pyspark.ml.feature import HashingTF, NGram, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.functions.text import settle, tokens
+from sievemark.storage import discard, materialize
+
 N_FEATURES = 1 << 14
 SMOOTHING = 0.01  # small, so that the many unused features do not outweigh a short training text
 
@@ -23,6 +28,13 @@ def with_character_grams(df: DataFrame, text: str, out: str) -> DataFrame:
     return grams.withColumn(out, F.concat("_chars", "_run2", "_run3")).drop("_chars", "_run2", "_run3")
 
 
+class Languages(Protocol):
+    """What the language filter asks of a model."""
+
+    def score(self, df: DataFrame, text: str = "text") -> DataFrame:
+        """Add ``language`` and ``language_score``."""
+
+
 @dataclass
 class LanguageModel:
     model: NaiveBayesModel
@@ -48,10 +60,76 @@ MAX_LABELS = 500  # more is no set of languages
 
 def fit_language_model(df: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
     """Naive Bayes over hashed character runs; one aggregation over the text."""
+    languages = _labels(df, label)
+    index = F.array_position(F.lit(languages), F.col(label)) - 1
+    labelled = _hashed(df.select(text, index.cast("double").alias("_label")), text)
+    return LanguageModel(NaiveBayes(smoothing=SMOOTHING, featuresCol="_features", labelCol="_label").fit(labelled), languages)
+
+
+def _labels(df: DataFrame, label: str) -> list[str]:
     found = df.where(F.col(label).isNotNull()).select(label).distinct().limit(MAX_LABELS + 1).collect()
     if len(found) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels in {label}")
-    languages = sorted(row[0] for row in found)
+    return sorted(row[0] for row in found)
+
+
+# --- Softmax over hashed words and subwords ------------------------------------------
+
+N_BUCKETS = 1 << 15  # the weights are this times the number of languages
+PENALTY = 1e-4
+PASSES = 60
+
+
+def with_subwords(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: a vector of length 1 of the text's distinct words and their runs of one to three characters, borders marked.
+
+    Each word counts once, so a long text costs what its vocabulary costs and
+    a repeated line doesn't drown the rest. Null where there is no word.
+    """
+    kept = settle(df, {"_words": F.array_distinct(tokens(F.coalesce(F.col(text), F.lit(""))))})
+    kept = kept.withColumn("_chars", F.split(F.concat(F.lit("_"), F.array_join("_words", "_"), F.lit("_")), ""))
+    for n in (2, 3):
+        kept = NGram(n=n, inputCol="_chars", outputCol=f"_run{n}").transform(kept)
+    marked = F.transform("_words", lambda w: F.concat(F.lit("="), w))
+    kept = kept.withColumn("_parts", F.concat(marked, "_chars", "_run2", "_run3")).drop("_words", "_chars", "_run2", "_run3")
+    hashed = HashingTF(numFeatures=N_BUCKETS, inputCol="_parts", outputCol="_counts").transform(kept)
+    return Normalizer(p=2.0, inputCol="_counts", outputCol=out).transform(hashed).drop("_parts", "_counts")
+
+
+@dataclass
+class SoftmaxLanguages:
+    """One weight for each language and bucket; probabilities by softmax."""
+
+    model: LogisticRegressionModel
+    languages: list[str]
+
+    def score(self, df: DataFrame, text: str = "text") -> DataFrame:
+        """Add ``language`` and ``language_score``, its probability; both null for a text without words."""
+        made = ["_features", "_raw", "_probability", "_prediction"]
+        scored = self.model.transform(with_subwords(df.drop("language", "language_score"), text, "_features"))
+        some = F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[^\p{L}\p{N}]+", "")) > 0
+        named = F.element_at(F.lit(self.languages), F.col("_prediction").cast("int") + 1)
+        best = F.array_max(vector_to_array("_probability"))
+        return settle(scored, {"language": F.when(some, named), "language_score": F.when(some, best)}).drop(*made)
+
+
+def fit_softmax(df: DataFrame, text: str = "text", label: str = "lang", penalty: float = PENALTY, passes: int = PASSES) -> SoftmaxLanguages:
+    """Softmax regression over hashed subwords, fitted by L-BFGS.
+
+    Each pass adds the gradients up in the tasks and then in a tree, so
+    the driver gets one gradient, of N_BUCKETS numbers for each language.
+    Rows without a label or without words are left out.
+    """
+    languages = _labels(df, label)
+    if len(languages) < 2:
+        raise ValueError(f"{label} has {len(languages)} languages: two or more can be told apart")
     index = F.array_position(F.lit(languages), F.col(label)) - 1
-    labelled = _hashed(df.select(text, index.cast("double").alias("_label")), text)
-    return LanguageModel(NaiveBayes(smoothing=SMOOTHING, featuresCol="_features", labelCol="_label").fit(labelled), languages)
+    labelled = with_subwords(df.where(F.col(label).isNotNull()).select(text, index.cast("double").alias("_label")), text, "_features")
+    vectors = materialize(labelled.select("_label", "_features").where(F.size(F.unwrap_udt("_features")["indices"]) > 2), "subwords")
+    learner = LogisticRegression(
+        family="multinomial", maxIter=passes, regParam=penalty, standardization=False, featuresCol="_features", labelCol="_label",
+        rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_prediction",
+    )
+    model = learner.fit(vectors)
+    discard(vectors)
+    return SoftmaxLanguages(model, languages)

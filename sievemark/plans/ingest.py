@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.language import FUNCTION_WORDS, in_languages, with_language
 from sievemark.functions.text import settle
+from sievemark.operators.language_model import Languages
 from sievemark.operators.quality import GOPHER_FEATURES, C4Rules, GopherRules, gopher_reason, with_c4, with_gopher_features
 
 
@@ -18,6 +19,7 @@ class IngestConfig:
     languages: Sequence[str] = ("en",)
     language_threshold: float = 0.65
     profiles: Mapping[str, Sequence[str]] = field(default_factory=lambda: FUNCTION_WORDS)
+    language_model: Languages | None = None  # in place of the profiles
     gopher: GopherRules = GopherRules()
     c4: C4Rules = C4Rules()
 
@@ -32,7 +34,7 @@ def ingest(df: DataFrame, text: str = "text", cfg: IngestConfig = IngestConfig()
     keeps its original. No shuffle.
     """
     known = df.withColumn("_body", F.coalesce(F.col(text), F.lit("")))
-    spoken = with_language(known, "_body", cfg.profiles)
+    spoken = cfg.language_model.score(known, "_body") if cfg.language_model else with_language(known, "_body", cfg.profiles)
     spoken = spoken.withColumn("_in_language", in_languages(cfg.languages, cfg.language_threshold))
     measured = with_gopher_features(spoken, "_body", cfg.gopher, F.col("_in_language"))
     measured = measured.withColumn("_gopher", gopher_reason(cfg.gopher)).drop(*GOPHER_FEATURES)
