@@ -35,7 +35,7 @@ from sievemark.storage import materialize, materialize_with
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
-CHUNK = 3_000_000  # bytes of text handled at once
+CHUNK = 1_500_000  # bytes of text handled at once
 BLOCK = 500_000  # words whose sequences are counted at once; below 2^21, so that three places fit a number
 SHARD = 2_000_000  # words a shard is to hold at most, on average
 HEAVY_SHARE = 5e-4  # share of the distinct sequences from which a prefix is dealt out by its next word
@@ -173,36 +173,46 @@ def _packed(distinct: np.ndarray, places: np.ndarray, counts: np.ndarray, shard:
     return rows
 
 
-def _unpacked(words: bytes, places: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Five columns of word hashes (0: none), and the counts."""
-    c = np.frombuffer(counts, np.uint32)
-    small = np.uint16 if len(places) == 2 * LONGEST * len(c) else np.uint32
-    at = np.frombuffer(places, small).reshape(LONGEST, len(c))
-    return np.append(np.uint64(0), np.frombuffer(words, np.uint64))[at], c.astype(np.int64)
-
+Sequences = tuple[np.ndarray, np.ndarray, np.ndarray]  # word hashes, places among them in five columns (0: none), counts
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sequences of several parts, sorted and added up."""
-    words, counts = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts])
-    order = np.lexsort(words[::-1])
-    words, counts = words[:, order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], (words[:, 1:] != words[:, :-1]).any(axis=0)]))
-    return words[:, first], np.add.reduceat(counts, first)
 
-
-def _flows(words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, prefixes, counts) for 1 to LONGEST words, of sorted sequences.
+def _unpacked(words: bytes, places: bytes, counts: bytes) -> Sequences:
+    c = np.frombuffer(counts, np.uint32)
+    small = np.uint16 if len(places) == 2 * LONGEST * len(c) else np.uint32
+    return np.frombuffer(words, np.uint64), np.frombuffer(places, small).reshape(LONGEST, len(c)), c
+
+
+def _merged(parts: list[Sequences]) -> Sequences:
+    """Sequences of several parts, sorted and added up; ``parts`` is emptied."""
+    words = np.unique(np.concatenate([p[0] for p in parts]))
+    places = np.empty((LONGEST, sum(len(p[2]) for p in parts)), np.uint32)
+    counts = np.empty(places.shape[1], np.int64)
+    stop = 0
+    while parts:
+        w, at, c = parts.pop()
+        start, stop = stop, stop + len(c)
+        places[:, start:stop] = np.append(0, np.searchsorted(words, w) + 1).astype(np.uint32)[at]
+        counts[start:stop] = c
+    pair = lambda i: (places[i].astype(np.uint64) << np.uint64(32)) | places[i + 1]
+    order = np.lexsort((places[4], pair(2), pair(0))).astype(np.uint32)
+    places, counts = places[:, order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], (places[:, 1:] != places[:, :-1]).any(axis=0)]))
+    return words, places[:, first], np.add.reduceat(counts, first)
+
+
+def _flows(places: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, where its prefixes stand first, counts) for 1 to LONGEST words, of sorted sequences.
 
     What leaves a node along its edges and the sequences that end there add up
     to the node's count.
     """
-    new = np.zeros(words.shape[1], dtype=bool)
+    new = np.zeros(len(counts), dtype=bool)
     new[:1] = True
     for k in range(1, LONGEST + 1):
-        new[1:] |= words[k - 1, 1:] != words[k - 1, :-1]
+        new[1:] |= places[k - 1, 1:] != places[k - 1, :-1]
         first = np.flatnonzero(new)
-        there = words[k - 1, first] != 0  # a sequence that ended before has no prefix of this length
-        yield k, words[:k, first[there]], np.add.reduceat(counts, first)[there]
+        there = places[k - 1, first] != 0  # a sequence that ended before has no prefix of this length
+        yield k, first[there], np.add.reduceat(counts, first)[there]
 
 
 def _counted(docs: DataFrame, share: float) -> tuple[DataFrame, int, list[np.ndarray]]:
@@ -269,19 +279,21 @@ def frequent_sequences(docs: DataFrame, min_count: int = MIN_COUNT, shards: int
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 held.append(_unpacked(*row))
-                new += len(held[-1][1])
-                if new >= max(BLOCK, len(held[0][1])):  # so that what is merged again at most doubles each time
+                new += len(held[-1][2])
+                if new >= max(BLOCK, len(held[0][2])):  # so that what is merged at most doubles each time
                     held, new = [_merged(held)], 0
         if not held:
             return
-        for k, words, counts in _flows(*_merged(held)):
-            prefix = mix(words[0]) if k == 1 else _joined(words)
-            some = counts >= min_count
-            if k < LONGEST:
-                some |= np.isin(prefix, heavy[k - 1])  # other shards may have a part of it
-            grams = pa.ListArray.from_arrays(np.arange(0, k * int(some.sum()) + 1, k, dtype=np.int32), pa.array(words[:, some].T.ravel().view(np.int64)))
+        known, places, counts = _merged(held)
+        known = np.append(np.uint64(0), known)
+        for k, first, n in _flows(places, counts):
+            some = n >= min_count
+            if k < LONGEST and len(heavy[k - 1]):
+                some |= np.isin(_joined(known[places[:k, first]]), heavy[k - 1])  # other shards may have a part of it
+            words, n = known[places[:k, first[some]]], n[some]
+            grams = pa.ListArray.from_arrays(np.arange(0, words.size + 1, k, dtype=np.int32), pa.array(words.T.ravel().view(np.int64)))
             for a in range(0, len(grams), 10_000):
-                yield pa.RecordBatch.from_arrays([grams[a : a + 10_000], pa.array(counts[some][a : a + 10_000])], names=["gram", "n"])
+                yield pa.RecordBatch.from_arrays([grams[a : a + 10_000], pa.array(n[a : a + 10_000])], names=["gram", "n"])
 
     pieces = docs.mapInArrow(packed, "shard int, words binary, places binary, counts binary")
     parts = pieces.repartitionById(shards, F.col("shard")).mapInArrow(summed, "gram array<bigint>, n bigint")
