@@ -332,6 +332,13 @@ def token_blocks(spark, folder):
     return blocks.select("variant", "block_id", F.array_join("x", " ").alias("x"), F.array_join("y", " ").alias("y"))
 
 
+def sample_batches(spark, folder):
+    """64 blocks of 128 tokens a mix, each beginning anywhere in its stream."""
+    docs = _mixes(spark, folder).variants()
+    drawn = token_stream.sample_batches(docs, token_stream.document_offsets(docs, ID), 64, 128, id_col=ID)
+    return drawn.select("variant", "draw_id", "start", F.array_join("x", " ").alias("x"), F.array_join("y", " ").alias("y"))
+
+
 def _curve(spark, folder):
     prepared = _mixes(spark, folder)
     return ngram_lm.mix_curve(prepared.variants(), prepared.shared(), ID)
@@ -415,6 +422,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         token_offsets,
         token_budget,
         token_blocks,
+        sample_batches,
         mix_curve,
         report_funnel,
         report_anomaly,

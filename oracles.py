@@ -449,6 +449,13 @@ SELECT count(*) AS n, count(*) FILTER (label = 1) AS n_positive,
         "shared_sets": f"{mixes} SELECT shared_set, doc_id FROM shared_doc",
         "token_offsets": f'{stream} SELECT variant, doc_id, n_tokens::INTEGER AS n_tokens, "offset" FROM placed',
         "token_budget": f"{stream} SELECT variant, n_docs, n_tokens_total, n_train_tokens, n_tokens_total - n_train_tokens AS n_val_tokens, b AS budget FROM size, budget",
+        "sample_batches": f"""{stream},
+stream AS MATERIALIZED (SELECT variant, "offset" + i - 1 AS pos, ts[i] AS cur FROM (SELECT variant, "offset", ts, unnest(range(1, len(ts) + 1)) AS i FROM placed)),
+drawn AS (
+  SELECT variant, draw_id::INTEGER AS draw_id, ('0x' || left(md5('1337:' || variant || ':' || draw_id), 15))::BIGINT % (n_tokens_total - 129) AS start
+  FROM size, range(64) AS r(draw_id))
+SELECT variant, draw_id, start, string_agg(cur, ' ' ORDER BY pos) FILTER (pos < start + 128) AS x, string_agg(cur, ' ' ORDER BY pos) FILTER (pos > start) AS y
+FROM drawn JOIN stream USING (variant) WHERE pos BETWEEN start AND start + 128 GROUP BY variant, draw_id, start""",
         "token_blocks": f"""{stream},
 stream AS (SELECT variant, "offset" + i - 1 AS pos, ts[i] AS cur FROM (SELECT variant, "offset", ts, unnest(range(1, len(ts) + 1)) AS i FROM placed)),
 two AS (SELECT variant, pos // 128 AS block_id, pos, cur FROM stream UNION ALL SELECT variant, pos // 128 - 1, pos, cur FROM stream WHERE pos % 128 = 0 AND pos > 0)

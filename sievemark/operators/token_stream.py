@@ -114,3 +114,52 @@ def sample_blocks(blocks: DataFrame, n: int, seed: int = 1337, by: Sequence[str]
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *by))
     drawn = blocks.select(*by, digest.alias("_draw")).orderBy("_draw").limit(n).drop("_draw")
     return blocks.join(drawn, list(by), "left_semi")
+
+
+def random_starts(sizes: DataFrame, n: int, block: int = 128, seed: int = 1337) -> DataFrame:
+    """``variant, draw_id, start``: ``n`` starts a variant, drawn with replacement, the same ones on every run.
+
+    ``sizes`` is ``(variant, n_tokens_total)``. A start leaves room for the
+    block and the token after it; a stream of ``block + 1`` tokens or fewer has none.
+    """
+    room = sizes.select("variant", (F.col("n_tokens_total") - F.lit(block + 1)).alias("_room")).where(F.col("_room") > 0)
+    drawn = room.select("variant", "_room", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw_id"))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), "variant", F.col("draw_id").cast("string")))
+    # 60 bits of the digest: the remainder favours no start that a corpus could tell.
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    return drawn.select("variant", "draw_id", F.pmod(number, F.col("_room")).alias("start"))
+
+
+def sample_batches(
+    docs: DataFrame, offsets: DataFrame, n: int, block: int = 128, seed: int = 1337, id_col: str = "id", text: str = "text"
+) -> DataFrame:
+    """``(variant, draw_id, start, x, y)``: blocks that begin anywhere in the stream, y = x one token later.
+
+    No block is built that isn't drawn. A start meets the documents that it
+    touches through cells of the stream: a draw lies in one or two cells, a
+    document in as many as it covers, so the join is one on equal cells over the slim table of
+    offsets. Only the documents that are touched are tokenized, and a draw's
+    rows hold its own tokens alone. Draws of the same place are rows of their
+    own. ``offsets`` is the written table of :func:`document_offsets`.
+    """
+    sizes = offsets.groupBy("variant").agg(F.sum("n_tokens").alias("n_tokens_total"))
+    starts = random_starts(sizes, n, block, seed).withColumn("stop", F.col("start") + F.lit(block + 1))
+    cell = F.lit(max(4096, block + 1)).cast("long")
+    floor = lambda c: F.floor(c / cell)
+    wanted = starts.select("*", F.explode(F.sequence(floor(F.col("start")), floor(F.col("stop") - 1))).alias("_cell"))
+    # n draws a variant, in two cells each: bounded by the arguments.
+    wanted = materialize(wanted, "drawn")
+    end = F.col("offset") + F.col("n_tokens")
+    held = offsets.select("variant", id_col, "offset", "n_tokens", F.explode(F.sequence(floor(F.col("offset")), floor(end - 1))).alias("_cell"))
+    met = held.join(F.broadcast(wanted), ["variant", "_cell"]).where((F.col("offset") < F.col("stop")) & (F.col("start") < end))
+    first, last = F.greatest("offset", "start"), F.least(end, F.col("stop"))
+    # A document and a draw meet in two cells at most: only the cell of their first common token counts.
+    once = met.where(floor(first) == F.col("_cell"))
+    cuts = once.select("variant", id_col, "draw_id", "start", first.alias("at"), (first - F.col("offset")).alias("_from"), (last - first).alias("_n"))
+    cuts = materialize(cuts, "cuts")
+    pieces = docs.select("variant", id_col, text).join(cuts, ["variant", id_col]).select(
+        "variant", "draw_id", "start", "at", F.slice(token_sequence(text), (F.col("_from") + 1).cast("int"), F.col("_n").cast("int")).alias("part")
+    )
+    packed = pieces.groupBy("variant", "draw_id", "start").agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("_pieces"))
+    run = packed.select("variant", "draw_id", "start", F.flatten(F.transform("_pieces", lambda p: p["part"])).alias("_run"))
+    return run.select("variant", "draw_id", "start", F.slice("_run", 1, block).alias("x"), F.slice("_run", 2, block).alias("y"))
