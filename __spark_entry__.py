@@ -14,7 +14,7 @@ from sievemark.functions.language import with_language
 from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
-from sievemark.sources import jsonl, shards, tables, wet
+from sievemark.sources import jsonl, published, shards, stats, tables, wet
 from sievemark.sources.tables import read_pages
 from sievemark.storage import materialize, scratch_path
 
@@ -278,6 +278,24 @@ def shard_round_trip(spark, folder):
     return shards.read_shards(spark, path).select("id", "text", "topic_cluster", "crawl")
 
 
+def published_shards(spark, folder):
+    """The files of a crawl that is published after another one and after a first version of itself."""
+    docs = read_documents(spark, folder, ID, "text").withColumnRenamed(ID, "id")
+    path = scratch_path(spark, "published")
+    published.publish_shards(docs, path, "CC-OTHER", 100)
+    published.publish_shards(docs, path, "CC-TEST", 100)
+    files = published.publish_shards(docs, path, "CC-TEST", 64).where(F.col("crawl") == "CC-TEST")
+    return prefix.global_index(files.select("file", "rows"), "file").select(F.col("row_index").alias("file"), "rows")
+
+
+def stage_stats(spark, folder):
+    """The ingest statistics as written and loaded again."""
+    path = scratch_path(spark, "stats")
+    stats.write_stats(plan.ingest_summary(_ingested(spark, folder)), path, "ingest_clean")
+    loaded = [df.select(F.lit(stage).alias("stage"), "*") for stage, df in stats.load_stage_stats(spark, path).items()]
+    return loaded[0]
+
+
 def _shard_stats(spark, folder):
     """Shards in id order; the given quality label and language stand in for score and topic."""
     docs = with_language(read_documents(spark, folder, ID, "text", "lang"))
@@ -372,6 +390,13 @@ def report_loss(spark, folder):
     return report.loss_report(_mix_results(spark, folder))
 
 
+def report_curve(spark, folder):
+    """The loss curves, from the mix results as written and loaded again."""
+    path = scratch_path(spark, "mix-results")
+    stats.write_mix_results(_mix_results(spark, folder), path)
+    return report.curve_report(stats.load_mix_results(spark, path))
+
+
 def report_mix(spark, folder):
     return report.mix_report(_mix_results(spark, folder))
 
@@ -414,6 +439,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         shard_assign,
         shard_files,
         shard_round_trip,
+        published_shards,
+        stage_stats,
         shard_stats,
         shard_flags,
         shard_flag_count,
@@ -427,6 +454,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         report_funnel,
         report_anomaly,
         report_loss,
+        report_curve,
         report_mix,
     ]
     return {query.__name__: query for query in listed} | (llm.queries() if llm else {})

@@ -441,6 +441,9 @@ SELECT count(*) AS n, count(*) FILTER (label = 1) AS n_positive,
         "shard_rows": f"WITH {lang_ctes()} SELECT d.doc_id::VARCHAR AS id, d.text, NULL::VARCHAR AS url, NULL::VARCHAR AS date, l.language, l.language_score::FLOAT AS language_score, -1::INTEGER AS topic_cluster, NULL::FLOAT AS quality_score, 'CC-TEST' AS crawl FROM documents d JOIN lang l USING (doc_id)",
         "shard_assign": f"{shards} SELECT doc_id, shard FROM shard_of",
         "shard_files": "SELECT file, least(64, n - 64 * file) AS rows FROM (SELECT count(*) AS n FROM documents), range(CAST(ceil(n / 64) AS BIGINT)) AS r(file)",
+        "published_shards": "SELECT file, least(64, n - 64 * file) AS rows FROM (SELECT count(*) AS n FROM documents), range(CAST(ceil(n / 64) AS BIGINT)) AS r(file)",
+        "stage_stats": f"WITH {judged} SELECT 'ingest_clean' AS stage, count(*) AS raw_docs, count(*) FILTER (stage IS NULL) AS clean_docs, count(stage) AS dropped, round(count(stage) / count(*)::DOUBLE * 100, 2) AS dropped_pct FROM judged",
+        "report_curve": f"{loss} SELECT {ORDER}, variant, step, tokens, train_loss, val_loss FROM curve",
         "shard_round_trip": "SELECT doc_id::VARCHAR AS id, text, -1::INTEGER AS topic_cluster, '2026' AS crawl FROM documents",
         "shard_stats": f"{shards} SELECT shard, n_docs, round(avg_text_len, 6) AS avg_text_len, round(avg_quality_score, 6) AS avg_quality_score, round(avg_language_score, 6) AS avg_language_score, n_topic_clusters_present FROM stats",
         "shard_flags": f"{shards}, {Z_SCORES} SELECT shard, {', '.join(f'round({m}_z, 6) AS {m}_z' for m in METRICS)}, array_to_string({FLAGS}, '; ') AS flags FROM z",
