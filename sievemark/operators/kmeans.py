@@ -4,9 +4,8 @@ Vectors of length 1 are kept as whole numbers of 1 / SCALE, centres too, and
 every sum is one of whole numbers, so its order doesn't matter and SQL can do
 the same. All starts run in the same passes; a pass reads the vectors once,
 tasks add up their own sums, and what reaches the driver is at most starts x
-clusters x terms numbers, whatever the number of documents. No distances are
-carried from pass to pass: with few clusters, writing a row's bounds would cost more
-than the few products that they can spare.
+clusters x terms numbers, whatever the number of documents. No bounds on
+distances are carried from pass to pass; every pass forms all products.
 """
 
 from __future__ import annotations
