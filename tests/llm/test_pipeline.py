@@ -76,5 +76,5 @@ def test_run_returns_what_the_stages_return(spark, folder):
 
 def test_one_query_for_each_operator():
     names = list(queries.queries())
-    assert [int(n[2:].split("_")[0]) for n in names if n.startswith("op")] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names if n.startswith("op")] == list(range(1, 14))
     assert "pipeline" in names and set(queries.oracle_sql()) <= set(names)
