@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE = 1 << 16  # products of two vectors stay below 2^33
+NAMES = ["part", "sums", "n", "cost"]
+KINDS = [pa.int32(), pa.binary(), pa.int64(), pa.int64()]
 
 
 def whole_numbers(features: Column | str) -> list[Column]:
@@ -67,27 +69,33 @@ def _pass(vectors: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple
                 np.add.at(sums[i], (best[row], place), value)
                 rows[i] += np.bincount(best, minlength=k)
                 cost[i] += int(distance.sum())
+        # A row for each cluster: its sums as one piece of bytes, its rows; the first one's carries the cost.
         for i in centres:
-            cluster, term = np.nonzero(sums[i])
-            few = np.arange(k)
-            made = (
-                np.concatenate([cluster, few, [0]]),
-                np.concatenate([term, np.full(k, -1), [-2]]),
-                np.concatenate([sums[i][cluster, term], rows[i], [cost[i]]]),
-            )
-            columns = [np.full(len(made[0]), i), *made]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["start", "cluster", "term", "n"])
-
-    parts = vectors.select("at", "q").mapInArrow(run, "start bigint, cluster bigint, term bigint, n bigint")
-    total = parts.groupBy("start", "cluster", "term").agg(F.sum("n").alias("n")).toArrow()
-    start, cluster, term, n = (total.column(c).to_numpy() for c in ("start", "cluster", "term", "n"))
-    out = {}
-    for i in centres:
-        sums, rows = np.zeros((k, width), np.int64), np.zeros(k, np.int64)
-        mine, inner = start == i, term >= 0
-        sums[cluster[mine & inner], term[mine & inner]] = n[mine & inner]
-        rows[cluster[mine & (term == -1)]] = n[mine & (term == -1)]
-        out[i] = sums, rows, int(n[mine & (term == -2)].sum())
+            for c in range(k):
+                columns = [[i * k + c], [sums[i][c].tobytes()], [int(rows[i][c])], [cost[i] if c == 0 else 0]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, KINDS)], names=NAMES)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            for group, data, n, distance in zip(*(c.to_pylist() for c in batch.columns)):
+                mine = total.setdefault(group, [np.zeros(width, np.int64), 0, 0])
+                mine[0] += np.frombuffer(data, np.int64)
+                mine[1] += n
+                mine[2] += distance
+        for group, (data, n, distance) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip([[group], [data.tobytes()], [n], [distance]], KINDS)], names=NAMES)
+
+    schema = "part int, sums binary, n bigint, cost bigint"
+    parts = vectors.select("at", "q").mapInArrow(run, schema)
+    tasks = min(max(centres) * k + k, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts.repartitionById(tasks, F.pmod("part", F.lit(tasks)))
+    out = {i: (np.zeros((k, width), np.int64), np.zeros(k, np.int64), 0) for i in centres}
+    for row in parts.mapInArrow(added, schema).toArrow().to_pylist():
+        i, c = divmod(row["part"], k)
+        sums, rows, cost = out[i]
+        sums[c], rows[c] = np.frombuffer(row["sums"], np.int64), row["n"]
+        out[i] = sums, rows, cost + row["cost"]
     return out
 
 
