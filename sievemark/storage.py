@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: str = "8", partitions: str = "8", memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -44,15 +48,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of queries started inside as soon as each has ended.
+
+    Otherwise they lie on the executors' disks until the driver happens to
+    collect their plans. Until the end of a query they stay, for lost tasks.
+    """
+    before = spark.conf.get(REMOVE_SHUFFLES, "false")
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a result that is used more than once and read it back.
 
     The table outlives lost executors, ends the lineage, keeps its columns
-    prunable, and tells the optimizer its true size for the next join.
+    prunable, and tells the optimizer its true size for the next join. The
+    shuffles that made it are deleted.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
