@@ -116,7 +116,10 @@ class QualityDiscriminant:
         return parts[1] - parts[0]
 
     def score(self, df: DataFrame, features: str = "features", out: str = "score") -> DataFrame:
-        """Add ``out double`` between 0 and 1 from a column of :func:`with_statistics`."""
+        """Add ``out double`` between 0 and 1 from a column of :func:`with_statistics`.
+
+        A null list gives a null score; an empty table gives an empty table.
+        """
         schema = T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.DoubleType())])
         self.factors  # noqa: B018  cached before the model is sent out
         model = df.sparkSession.sparkContext.broadcast(self)
@@ -124,15 +127,18 @@ class QualityDiscriminant:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 names = [n for n in batch.schema.names if n != out]
-                x = batch.column(features).flatten().to_numpy().reshape(batch.num_rows, -1)
-                made = 1 / (1 + np.exp(-np.clip(model.value.evidence(x), -500, 500)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(made)], names=[*names, out])
+                given = batch.column(features)
+                known = given.is_valid().to_numpy(zero_copy_only=False)
+                x = given.drop_null().flatten().to_numpy().reshape(int(known.sum()), len(FEATURES))
+                made = np.zeros(batch.num_rows)
+                made[known] = 1 / (1 + np.exp(-np.clip(model.value.evidence(x), -500, 500)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(made, mask=~known)], names=[*names, out])
 
         return df.mapInArrow(run, schema)
 
 
 def fit_discriminant(labelled: DataFrame, features: str = "features", label: str = "label", shrinkage: float = SHRINKAGE) -> QualityDiscriminant:
-    """Class moments of all rows with label 0 or 1; other rows are left out.
+    """Class moments of all rows with features and label 0 or 1; other rows are left out.
 
     Each task sums its rows about fixed origins and the sums meet by place: the
     driver gets one number per class and place, whatever the table's size. A
@@ -153,7 +159,7 @@ def fit_discriminant(labelled: DataFrame, features: str = "features", label: str
             place = pa.array(np.arange(sums.shape[1], dtype=np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(place), c, np.int32)), place, pa.array(sums[c])], names=["y", "place", "value"])
 
-    rows = labelled.select(features, F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1))
+    rows = labelled.select(features, F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & F.col(features).isNotNull())
     totals = rows.mapInArrow(summed, "y int, place int, value double").groupBy("y", "place").agg(F.sum("value").alias("value"))
     sums = np.zeros((2, 1 + d + d * d))
     for row in totals.collect():  # 2 x (1 + d + d * d) numbers

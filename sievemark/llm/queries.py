@@ -96,7 +96,7 @@ def op6_toxicity(spark, folder):
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(_remainder(5) != 0)
     scored = toxicity.fit_toxicity(docs, labels).score(docs)
     return scored.select(
-        ID, (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        ID, F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
@@ -110,7 +110,7 @@ def op8_language_model(spark, folder):
     docs = documents(spark, folder)
     model = kneser_ney.fit_pairs(docs.where(F.coalesce(_remainder(7) != 2, F.lit(True))), order=3)
     return kneser_ney.with_scores(docs, model).select(
-        ID, (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+        ID, F.coalesce(_remainder(7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
 
 
@@ -120,7 +120,7 @@ def op9_quality(spark, folder):
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(_remainder(3) != 1).select(ID, F.col("quality").alias("label"))
     scored = quality_qda.fit_discriminant(measured.join(labels, ID)).score(measured)
     return scored.select(
-        ID, (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        ID, F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
