@@ -3,7 +3,7 @@
 Chen and Goodman, "An empirical study of smoothing techniques for language
 modeling", 1999, for word pairs (order 2) or triples (order 3). Pairs are counted in Spark: tasks combine
 their own pairs, pieces meet by shard, and each shard becomes sorted arrays of
-64-bit hashes with their counts, in files below a shared folder. Workers map
+64-bit hashes with their counts, a byte each and larger ones apart, in files below a shared folder. Workers map
 these files into memory and look batches of sorted hashes up in them.
 
 Every word is a context exactly as often as it stands in the text, so the
@@ -28,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievemark.storage import materialize, scratch_path
+from sievemark.storage import discard, materialize, scratch_path, shuffles_removed
 
 CHUNK = 1_500_000  # bytes of text handled at once
 HELD = 1_500_000  # pairs a task combines before it hands them on
 HEAVY_SHARE = 1e-3  # share of all words from which a context is dealt out; so there are fewer than 1 / HEAVY_SHARE
+FULL = 255  # a count's byte that says: look in the file of large counts
 START = np.uint64(0x5DEECE66D1234567)
 END = np.uint64(0x2545F4914F6CDD1D)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -157,11 +158,21 @@ def _parts(v: np.ndarray, w: np.ndarray, c: np.ndarray, last: np.ndarray, heavy:
     rows = []
     for s, a, b in _runs(shard):
         first = np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1]]))
-        n = np.diff(np.append(first, b - a)).astype(np.uint32)
-        rows.append((s, v[a:b][first].tobytes(), n.tobytes(), _six(w[a:b]), c[a:b].astype(np.uint32).tobytes(), last[a:b][first].tobytes()))
+        n = np.diff(np.append(first, b - a))
+        rows.append((s, v[a:b][first].tobytes(), _narrow(n), _six(w[a:b]), _narrow(c[a:b]), last[a:b][first].tobytes()))
     return rows
 
 
+def _narrow(n: np.ndarray) -> bytes:
+    """Counts with as many bytes each as the largest needs."""
+    return n.astype(np.min_scalar_type(int(n.max()))).tobytes() if len(n) else b""
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` counts of :func:`_narrow`."""
+    return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+
+
 def _six(w: np.ndarray) -> bytes:
     """48-bit numbers as six bytes each."""
     return np.ascontiguousarray(w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
@@ -189,6 +200,14 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(aside, f"{folder}/{name}.npy")
 
 
+def _save_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    """A byte each; those of FULL or more lie whole in a second file, by place."""
+    flat = counts.ravel()
+    large = np.flatnonzero(flat >= FULL)
+    _save(folder, name, np.minimum(counts, FULL).astype(np.uint8))
+    _save(folder, f"{name}-large", np.stack([large, flat[large]]).astype(np.int64))
+
+
 def local_path(folder: str) -> str:
     """The folder as files to map. Only a mounted one can be mapped into memory."""
     if folder.startswith("file:"):
@@ -240,7 +259,7 @@ class PairModel:
         """Rows of ``values`` for keys in ascending shards; zeros where a key is not there."""
         out = None
         for s, a, b in _runs(shard):
-            known, rows = self._map(f"{name}-{s:05d}"), self._map(f"{values}-{s:05d}")
+            known, rows, large = (self._map(f) for f in (f"{name}-{s:05d}", f"{values}-{s:05d}", f"{values}-{s:05d}-large"))
             if out is None:
                 out = np.zeros((len(keys), *rows.shape[1:]), dtype=np.int64)
             if not len(known):
@@ -249,7 +268,13 @@ class PairModel:
             wanted = keys[a:b][order]
             at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
             hit = known[at] == wanted
-            out[a + order[hit]] = rows[at[hit]]
+            found = rows[at[hit]].astype(np.int64)
+            full = np.flatnonzero(found == FULL)
+            if len(full):
+                width = found.size // len(found)
+                place = at[hit][full // width] * width + full % width
+                found.ravel()[full] = large[1][np.searchsorted(large[0], place)]
+            out[a + order[hit]] = found
         return out if out is not None else np.zeros((len(keys),), dtype=np.int64)
 
     def contexts(self, v: np.ndarray, name: str = "context") -> np.ndarray:
@@ -395,21 +420,21 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         if not blobs:
             return
         shard = blobs[0].column(0)[0].as_py()
-        parts = [(np.frombuffer(v, np.uint64), np.frombuffer(n, np.uint32), _from_six(w), np.frombuffer(c, np.uint32), np.frombuffer(x, np.uint64)) for b in blobs for v, n, w, c, x in zip(*(b.column(k).to_pylist() for k in range(1, 6)))]
+        parts = [(np.frombuffer(v, np.uint64), _wide(n, len(v) // 8), _from_six(w), _wide(c, len(w) // 6), np.frombuffer(x, np.uint64)) for b in blobs for v, n, w, c, x in zip(*(b.column(k).to_pylist() for k in range(1, 6)))]
         v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         last = np.concatenate([np.repeat(p[4], p[1]) for p in parts])
-        v, w, c, last = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]).astype(np.int64), last)
+        v, w, c, last = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]), last)
         del parts, blobs
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (c, c == 1, c == 2, c > 2)], axis=1)
         context = v[first]
         own = ~np.isin(context, heavy_pairs)
         _save(folder, f"pair-context-{shard:05d}", context[own])
-        _save(folder, f"pair-context-stats-{shard:05d}", stats[own])
+        _save_counts(folder, f"pair-context-stats-{shard:05d}", stats[own])
         keys = pair_hash(v, w)
         by_key = np.argsort(keys)
         _save(folder, f"triple-{shard:05d}", keys[by_key])
-        _save(folder, f"triple-stats-{shard:05d}", c[by_key].astype(np.uint32))
+        _save_counts(folder, f"triple-stats-{shard:05d}", c[by_key])
         tally = np.array([int(c.sum()), *[int((c == k).sum()) for k in (1, 2, 3, 4)]], dtype=np.int64)
         split = stats[~own]
         rows = [("tally", 0, b"", b"", b"", tally.tobytes(), b""), ("heavy", 0, context[~own].tobytes(), b"", b"", split.tobytes(), b"")]
@@ -434,7 +459,7 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         n = np.zeros(len(word), np.int64)
         np.add.at(n, at, np.concatenate([p[1] for p in parts]))
         _save(folder, f"count-{shard:05d}", word)
-        _save(folder, f"count-stats-{shard:05d}", n)
+        _save_counts(folder, f"count-stats-{shard:05d}", n)
         yield pa.RecordBatch.from_arrays([pa.array([len(word)], pa.int64())], names=["n"])
 
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -442,24 +467,24 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         if not blobs:
             return
         shard = blobs[0].column(0)[0].as_py()
-        parts = [(np.frombuffer(v, np.uint64), np.frombuffer(n, np.uint32), _from_six(w), np.frombuffer(c, np.uint32)) for b in blobs for v, n, w, c in zip(*(b.column(k).to_pylist() for k in range(1, 5)))]
+        parts = [(np.frombuffer(v, np.uint64), _wide(n, len(v) // 8), _from_six(w), _wide(c, len(w) // 6)) for b in blobs for v, n, w, c in zip(*(b.column(k).to_pylist() for k in range(1, 5)))]
         v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-        v, w, c = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]).astype(np.int64))
+        v, w, c = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
         del parts, blobs
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (c, c == 1, c == 2, c > 2)], axis=1)
         context = v[first]
         own = ~np.isin(context, heavy)
         _save(folder, f"context-{shard:05d}", context[own])
-        _save(folder, f"context-stats-{shard:05d}", stats[own])
+        _save_counts(folder, f"context-stats-{shard:05d}", stats[own])
         keys = pair_hash(v, w)
         order = np.argsort(keys)
         _save(folder, f"pair-{shard:05d}", keys[order])
-        _save(folder, f"pair-stats-{shard:05d}", c[order].astype(np.uint32))
+        _save_counts(folder, f"pair-stats-{shard:05d}", c[order])
         followers, types = np.unique(w, return_counts=True)
         rows = []
         for s, a, b in _runs(shard_of(followers << np.uint64(16), shards)):
-            rows.append(("word", s, _six(followers[a:b]), types[a:b].astype(np.uint32).tobytes()))
+            rows.append(("word", s, _six(followers[a:b]), _narrow(types[a:b])))
         split = context[~own]
         rows.append(("heavy", 0, split.tobytes(), stats[~own].tobytes()))
         known = own & (context != START)
@@ -474,37 +499,43 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         triples = materialize(pieces.repartitionById(shards, F.col("shard")).mapInArrow(tripled, f"kind string, {part_schema}"), "triple-parts")
         few_triples = triples.where(F.col("kind").isin("tally", "heavy")).select("kind", "v", "c").toArrow().to_pylist()
         word_counts = triples.where(F.col("kind") == "count").repartitionById(shards, F.col("shard"))
-        word_counts.mapInArrow(numbered, "n bigint").agg(F.sum("n")).first()
+        with shuffles_removed(spark):
+            word_counts.mapInArrow(numbered, "n bigint").agg(F.sum("n")).first()
         pieces = triples.where(F.col("kind") == "pair").select(*part_names)
     placed = pieces.repartitionById(shards, F.col("shard"))
     # Written at once: the tasks also leave the files of their shards.
     made = materialize(placed.mapInArrow(sharded, "kind string, shard int, keys binary, numbers binary"), "pair-parts")
+    if order == 3:
+        discard(triples)
 
     def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [b for b in batches if b.num_rows]
         if not blobs:
             return
         shard = blobs[0].column("shard")[0].as_py()
-        parts = [(_from_six(k), np.frombuffer(n, np.uint32)) for b in blobs for k, n in zip(b.column("keys").to_pylist(), b.column("numbers").to_pylist())]
+        parts = [(_from_six(k), _wide(n, len(k) // 6)) for b in blobs for k, n in zip(b.column("keys").to_pylist(), b.column("numbers").to_pylist())]
         w, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        n = np.bincount(at, weights=np.concatenate([p[1] for p in parts]), minlength=len(w)).astype(np.int64)
+        n = np.zeros(len(w), np.int64)
+        np.add.at(n, at, np.concatenate([p[1] for p in parts]))
         _save(folder, f"word-{shard:05d}", w)
-        _save(folder, f"word-stats-{shard:05d}", n)
+        _save_counts(folder, f"word-stats-{shard:05d}", n)
         tally = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [int((n > 2).sum())]
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in tally], names=["n1", "n2", "n3", "n4", "more"])
 
     followers = made.where(F.col("kind") == "word").repartitionById(shards, F.col("shard"))
     names = ("n1", "n2", "n3", "n4", "more")
     word_tally = followers.mapInArrow(worded, ", ".join(f"{c} bigint" for c in names))
-    word_n = [x or 0 for x in word_tally.agg(*[F.sum(c).alias(c) for c in names]).first()]
+    with shuffles_removed(spark):
+        word_n = [x or 0 for x in word_tally.agg(*[F.sum(c).alias(c) for c in names]).first()]
     # At most 1 / heavy_share contexts a shard, and seven numbers a shard.
     few = made.where(F.col("kind") != "word").select("kind", "keys", "numbers").toArrow().to_pylist()
+    discard(made)
     empty = np.empty(0, np.uint64)
-    more = [("pair-context", empty), ("pair-context-stats", np.empty((0, 4), np.int64)), ("triple", empty), ("triple-stats", np.empty(0, np.uint32)), ("count", empty), ("count-stats", np.empty(0, np.int64))] if order == 3 else []
     for s in range(shards):  # shards that got no rows
-        for name, none in (("context", empty), ("context-stats", np.empty((0, 4), np.int64)), ("pair", empty), ("pair-stats", np.empty(0, np.uint32)), ("word", empty), ("word-stats", np.empty(0, np.int64)), *more):
+        for name in ("context", "pair", "word", *(("pair-context", "triple", "count") if order == 3 else ())):
             if not os.path.exists(f"{folder}/{name}-{s:05d}.npy"):
-                _save(folder, f"{name}-{s:05d}", none)
+                _save(folder, f"{name}-{s:05d}", empty)
+                _save_counts(folder, f"{name}-stats-{s:05d}", np.empty((0, 4) if name.endswith("context") else 0, np.int64))
     tally = sum((np.frombuffer(r["numbers"], np.int64) for r in few if r["kind"] == "tally"), np.zeros(7, np.int64))
     merged = lambda split: _merged([(np.frombuffer(k, np.uint64), np.frombuffer(n, np.int64).reshape(-1, 4)) for k, n in split])
     keys, stats = merged([(r["keys"], r["numbers"]) for r in few if r["kind"] == "heavy"])
