@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import oracles
 from sievemark.functions.language import with_language
-from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, tfidf, token_stream, topics
+from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, sketches, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
 from sievemark.sources import jsonl, published, shards, stats, tables, wet
@@ -250,6 +250,15 @@ def score_quantiles(spark, folder):
     return points.select(*[F.round(c, 6).alias(c) for c in points.columns])
 
 
+def shard_quantiles(spark, folder):
+    """Quantiles of every shard and of the corpus, from the same sketches."""
+    placed = shards.with_shard(_language_scores(spark, folder), ID, 64)
+    made = materialize(sketches.quantile_sketches(placed, ["shard"], "language_score"), "sketches")
+    scopes = made.withColumn("scope", F.col("shard").cast("string")).drop("shard").unionByName(sketches.merge_sketches(made).withColumn("scope", F.lit("corpus")))
+    points = sketches.sketch_quantiles(scopes)
+    return points.select("scope", "n", *[F.round(c, 6).alias(c) for c in scoring.QUANTILES])
+
+
 def quality_threshold(spark, folder):
     scored = _language_scores(spark, folder).withColumnRenamed("language_score", "quality_score")
     return scoring.above(scored, 0.9).select(ID, F.round("quality_score", 6).alias("quality_score"))
@@ -434,6 +443,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         quality_measures,
         score_auc,
         score_quantiles,
+        shard_quantiles,
         quality_threshold,
         shard_rows,
         shard_assign,

@@ -437,6 +437,11 @@ SELECT count(*) AS n, count(*) FILTER (label = 1) AS n_positive,
        round((sum(r) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2.0)::DOUBLE
              / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0))::DOUBLE, 6) AS roc_auc FROM ranked""",
         "score_quantiles": f"WITH {lang_ctes()} SELECT round(min(language_score), 6) AS min, round(quantile_cont(language_score, 0.25), 6) AS p25, round(quantile_cont(language_score, 0.5), 6) AS median, round(quantile_cont(language_score, 0.75), 6) AS p75, round(max(language_score), 6) AS max FROM lang",
+        "shard_quantiles": f"""{shards},
+v AS (SELECT s.shard::VARCHAR AS scope, l.language_score AS s FROM shard_of s JOIN lang l USING (doc_id)
+      UNION ALL SELECT 'corpus', language_score FROM lang WHERE language_score IS NOT NULL)
+SELECT scope, count(s) AS n, round(min(s), 6) AS min, round(quantile_disc(s, 0.25), 6) AS p25, round(quantile_disc(s, 0.5), 6) AS median,
+       round(quantile_disc(s, 0.75), 6) AS p75, round(max(s), 6) AS max FROM v GROUP BY scope""",
         "quality_threshold": f"WITH {lang_ctes()} SELECT doc_id, round(language_score, 6) AS quality_score FROM lang WHERE language_score >= 0.9",
         "shard_rows": f"WITH {lang_ctes()} SELECT d.doc_id::VARCHAR AS id, d.text, NULL::VARCHAR AS url, NULL::VARCHAR AS date, l.language, l.language_score::FLOAT AS language_score, -1::INTEGER AS topic_cluster, NULL::FLOAT AS quality_score, 'CC-TEST' AS crawl FROM documents d JOIN lang l USING (doc_id)",
         "shard_assign": f"{shards} SELECT doc_id, shard FROM shard_of",
