@@ -14,6 +14,7 @@ from sievemark.functions.language import with_language
 from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, sketches, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
+from sievemark.plans.steps import Step
 from sievemark.sources import jsonl, published, shards, stats, tables, wet
 from sievemark.sources.tables import read_pages
 from sievemark.storage import materialize, scratch_path
@@ -109,6 +110,32 @@ def ingest_summary(spark, folder):
     return plan.ingest_summary(_ingested(spark, folder))
 
 
+def _three_lines(text: str) -> list[str]:
+    lines = text.split("\n")
+    return ["\n".join(lines[k : k + 3]) for k in range(0, len(lines), 3)]
+
+
+# Steps that split, drop and rewrite.
+STEPS = (
+    Step("three_lines", _three_lines),
+    Step("short", lambda text: [text] if len(text) >= 200 else []),
+    Step("no_digits", lambda text: ["".join("#" if "0" <= c <= "9" else c for c in text)]),
+)
+
+
+def _stepped(spark, folder):
+    return plan.ingest(read_documents(spark, folder, ID, "text"), cfg=plan.IngestConfig(steps=STEPS))
+
+
+def ingest_steps(spark, folder):
+    """Documents as three steps of the user's leave them."""
+    return plan.clean(_stepped(spark, folder)).select(ID, F.col("parts")[0].alias("part"), "text")
+
+
+def ingest_steps_funnel(spark, folder):
+    return plan.funnel(_stepped(spark, folder), STEPS)
+
+
 def page_text(spark, folder):
     return read_pages(spark, folder)
 
@@ -423,6 +450,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ingest_rejects,
         ingest_clean,
         ingest_summary,
+        ingest_steps,
+        ingest_steps_funnel,
         page_text,
         wet_records,
         jsonl_round_trip,

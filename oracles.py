@@ -390,6 +390,11 @@ UNION ALL SELECT 'no text', count(*), count(*) FROM documents WHERE doc_id % 25
 UNION ALL SELECT 'document', count(*), count(DISTINCT doc_id) FROM documents"""
 
 
+FUNNEL = """SELECT 1 AS stage_order, 'language' AS stage, count(*) AS docs_in, count(*) FILTER (stage IS NULL OR stage <> 'language') AS docs_out, count(*) FILTER (stage = 'language') AS dropped FROM judged
+UNION ALL SELECT 2, 'gopher', count(*), count(*) FILTER (stage IS NULL OR stage <> 'gopher'), count(*) FILTER (stage = 'gopher') FROM judged WHERE stage IS NULL OR stage <> 'language'
+UNION ALL SELECT 3, 'c4', count(*), count(*) FILTER (stage IS NULL), count(*) FILTER (stage = 'c4') FROM judged WHERE stage IS NULL OR stage = 'c4'"""
+
+
 def all_queries() -> dict[str, str]:
     judged = ingest_ctes()
     dup = f"WITH RECURSIVE {PERMUTATIONS},{dedup_ctes('documents', 'd_')}"
@@ -400,6 +405,10 @@ def all_queries() -> dict[str, str]:
     mixes = f"WITH RECURSIVE {mix_ctes()}"
     stream = f"{mixes},{STREAM}"
     loss = f"{stream},{LOSS}"
+    stepped = f"""WITH {judged},
+piece AS (SELECT doc_id, part::INTEGER AS part, array_to_string(l[3 * part + 1 : 3 * part + 3], E'\\n') AS t
+          FROM (SELECT doc_id, l, unnest(range((len(l) + 2) // 3)) AS part FROM (SELECT doc_id, string_split(text, E'\\n') AS l FROM clean))),
+long AS (SELECT doc_id, part, regexp_replace(t, '[0-9]', '#', 'g') AS text FROM piece WHERE length(t) >= 200)"""
     sizes = "clean_docs_in, deduped_docs_out, clean_docs_in - deduped_docs_out AS near_dups_removed, round((clean_docs_in - deduped_docs_out) / clean_docs_in::DOUBLE * 100, 2) AS near_dups_removed_pct"
     return {
         "lang_score": f"WITH {lang_ctes()} SELECT doc_id, language, round(language_score, 6) AS language_score FROM lang",
@@ -410,10 +419,12 @@ def all_queries() -> dict[str, str]:
         "gopher_features": f"WITH {gopher_ctes()} SELECT doc_id, n_words, mean_word_length, round(hash_ratio, 6) AS hash_ratio, round(ellipsis_ratio, 6) AS ellipsis_ratio, round(bullet_line_share, 6) AS bullet_line_share, round(ellipsis_line_share, 6) AS ellipsis_line_share, round(letter_word_share, 6) AS letter_word_share, n_stop_words FROM gopher",
         "gopher_keep": f"WITH {gopher_ctes()} SELECT doc_id, gopher_reason FROM gopher",
         "c4_clean_text": f"WITH {c4_ctes()} SELECT doc_id, c4_text, n_sentences, c4_reason FROM c4",
-        "ingest_funnel": f"""WITH {judged}
-SELECT 1 AS stage_order, 'language' AS stage, count(*) AS docs_in, count(*) FILTER (stage IS NULL OR stage <> 'language') AS docs_out, count(*) FILTER (stage = 'language') AS dropped FROM judged
-UNION ALL SELECT 2, 'gopher', count(*), count(*) FILTER (stage IS NULL OR stage <> 'gopher'), count(*) FILTER (stage = 'gopher') FROM judged WHERE stage IS NULL OR stage <> 'language'
-UNION ALL SELECT 3, 'c4', count(*), count(*) FILTER (stage IS NULL), count(*) FILTER (stage = 'c4') FROM judged WHERE stage IS NULL OR stage = 'c4'""",
+        "ingest_funnel": f"WITH {judged} {FUNNEL}",
+        "ingest_steps": f"{stepped} SELECT doc_id, part, text FROM long",
+        "ingest_steps_funnel": f"""{stepped}, n AS (SELECT (SELECT count(*) FROM clean) AS docs, (SELECT count(*) FROM piece) AS pieces, (SELECT count(*) FROM long) AS longs)
+{FUNNEL}
+UNION ALL SELECT 4, 'three_lines', docs, pieces, 0 FROM n UNION ALL SELECT 5, 'short', pieces, longs, pieces - longs FROM n
+UNION ALL SELECT 6, 'no_digits', longs, longs, 0 FROM n""",
         "ingest_rejects": f"WITH {judged} SELECT doc_id, stage AS reject_stage, reason AS reject_reason, text FROM judged WHERE stage IN ('gopher', 'c4')",
         "ingest_clean": f"WITH {judged} SELECT doc_id, text, language, round(language_score, 6) AS language_score FROM judged WHERE stage IS NULL",
         "ingest_summary": f"WITH {judged} SELECT count(*) AS raw_docs, count(*) FILTER (stage IS NULL) AS clean_docs, count(stage) AS dropped, round(count(stage) / count(*)::DOUBLE * 100, 2) AS dropped_pct FROM judged",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sievemark.operators.dedup import dedup_summary, near_dedup
@@ -12,6 +12,7 @@ from sievemark.operators.minhash import MinhashConfig
 from sievemark.operators.scoring import fit_quality, score_quality, score_quantiles, training_set, with_split
 from sievemark.operators.topics import cluster_sizes, topic_clusters
 from sievemark.plans.ingest import IngestConfig, counted, ingest
+from sievemark.plans.steps import with_part_ids
 from sievemark.sources.shards import write_shards
 from sievemark.sources.stats import SHARD_FILES, write_stats
 
@@ -27,14 +28,19 @@ class BuildConfig:
 
 
 def run_ingest(docs: DataFrame, folder: str, cfg: BuildConfig) -> tuple[DataFrame, DataFrame]:
-    """Judge and write once; returns the clean documents and the Gopher / C4 rejects.
+    """Judge and write once; returns the clean documents and the rejects of all filters but the first.
 
     One pass writes a folder per outcome and counts the input, so neither side
-    is computed twice. Language rejects are counted, not kept.
+    is computed twice. Language rejects are counted, not kept. Parts that steps
+    split off get ids of their own.
     """
     spark = docs.sparkSession
     seen, raw = counted(docs, "raw")
     judged = ingest(seen, cfg=cfg.ingest)
+    if cfg.ingest.steps:
+        judged = with_part_ids(judged)
+    tally = Observation("judged")
+    judged = judged.observe(tally, F.count("reject_stage").alias("dropped"))
     outcome = F.coalesce("reject_stage", F.lit("clean"))
     kept = judged.where(outcome != "language").withColumn("outcome", outcome).drop("reject_stage")
     kept.write.mode("overwrite").partitionBy("outcome").parquet(f"{folder}/ingested")
@@ -42,9 +48,9 @@ def run_ingest(docs: DataFrame, folder: str, cfg: BuildConfig) -> tuple[DataFram
     written = spark.read.schema(schema).parquet(f"{folder}/ingested")
     clean = written.where(F.col("outcome") == "clean").drop("outcome", "reject_reason")
     dropped = written.where(F.col("outcome") != "clean").withColumnRenamed("outcome", "reject_stage")
-    n_raw, n_clean = raw.get["n"], clean.count()
-    pct = round((n_raw - n_clean) / n_raw * 100, 2) if n_raw else 0.0
-    stats = [(n_raw, n_clean, n_raw - n_clean, pct)]
+    n_raw, n_clean, n_dropped = raw.get["n"], clean.count(), tally.get["dropped"]
+    pct = round(n_dropped / n_raw * 100, 2) if n_raw else 0.0
+    stats = [(n_raw, n_clean, n_dropped, pct)]
     fields = "raw_docs long, clean_docs long, dropped long, dropped_pct double"
     write_stats(spark.createDataFrame(stats, fields), f"{folder}/stats", "ingest_clean")
     return clean, dropped

@@ -12,6 +12,10 @@ from sievemark.functions.language import FUNCTION_WORDS, in_languages, with_lang
 from sievemark.functions.text import settle
 from sievemark.operators.language_model import Languages
 from sievemark.operators.quality import GOPHER_FEATURES, C4Rules, GopherRules, gopher_reason, with_c4, with_gopher_features
+from sievemark.plans.steps import PARTS, Step, whole, with_step
+
+# The filters, in order.
+STAGES = ("language", "gopher", "c4")
 
 
 @dataclass(frozen=True)
@@ -22,6 +26,12 @@ class IngestConfig:
     language_model: Languages | None = None  # in place of the profiles
     gopher: GopherRules = GopherRules()
     c4: C4Rules = C4Rules()
+    steps: Sequence[Step] = ()  # run after the filters, in order
+
+    def __post_init__(self):
+        names = [*STAGES, *[s.name for s in self.steps]]
+        if len(set(names)) < len(names):
+            raise ValueError(f"stages need names of their own: {names}")
 
 
 def ingest(df: DataFrame, text: str = "text", cfg: IngestConfig = IngestConfig()) -> DataFrame:
@@ -32,6 +42,10 @@ def ingest(df: DataFrame, text: str = "text", cfg: IngestConfig = IngestConfig()
     charged to the first stage it fails, and later stages do no work on it. A
     kept document has its text replaced by the lines C4 keeps; a rejected one
     keeps its original. No shuffle.
+
+    With ``cfg.steps`` kept documents then go through these steps; each of the
+    texts they are split into becomes a row, and ``parts`` (its place in each
+    step's output) is added.
     """
     known = df.withColumn("_body", F.coalesce(F.col(text), F.lit("")))
     spoken = cfg.language_model.score(known, "_body") if cfg.language_model else with_language(known, "_body", cfg.profiles)
@@ -51,7 +65,10 @@ def ingest(df: DataFrame, text: str = "text", cfg: IngestConfig = IngestConfig()
     )
     final = F.when(stage.isNull(), F.col("c4_text")).otherwise(F.col(text))
     judged = settle(cleaned, {text: final, "reject_stage": stage, "reject_reason": reason})
-    return judged.drop("_body", "_in_language", "_gopher", "c4_text", "n_sentences", "c4_reason")
+    judged = judged.drop("_body", "_in_language", "_gopher", "c4_text", "n_sentences", "c4_reason")
+    for step in cfg.steps:
+        judged = with_step(judged, step, text)
+    return judged
 
 
 def clean(ingested: DataFrame) -> DataFrame:
@@ -60,7 +77,7 @@ def clean(ingested: DataFrame) -> DataFrame:
 
 def rejects(ingested: DataFrame) -> DataFrame:
     """Documents for the reject sinks (S4). Language rejects are not kept."""
-    return ingested.where(F.col("reject_stage").isin("gopher", "c4"))
+    return ingested.where(F.col("reject_stage") != "language")
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -74,37 +91,49 @@ def passed(stages: Sequence[str]) -> Column:
     return ~F.coalesce(F.col("reject_stage").isin(list(stages)), F.lit(False))
 
 
-def funnel(ingested: DataFrame) -> DataFrame:
-    """documents in, out and dropped at each stage, from one aggregate."""
-    n_in = {
-        "language": F.count(F.lit(1)),
-        "gopher": F.count_if(passed(["language"])),
-        "c4": F.count_if(passed(["language", "gopher"])),
-    }
-    n_drop = {stage: F.count_if(F.col("reject_stage") == stage) for stage in n_in}
+def funnel(ingested: DataFrame, steps: Sequence[Step] = ()) -> DataFrame:
+    """documents in, out and dropped at each stage, from one aggregate.
+
+    ``steps`` are those of the configuration that ``ingested`` was made with. A
+    step that splits documents lets more out than came in.
+    """
+    stages = [*STAGES, *[s.name for s in steps]]
+
+    def entered(n: int) -> Column:
+        """Documents that the first ``n`` stages let through."""
+        kept = passed(stages[:n]) if n else F.lit(True)
+        return F.count_if(kept & whole(max(n - len(STAGES), 0)) if steps else kept)
+
     one = ingested.agg(
-        *[n.alias(f"in_{s}") for s, n in n_in.items()], *[n.alias(f"drop_{s}") for s, n in n_drop.items()]
+        *[entered(n).alias(f"n_{n}") for n in range(len(stages) + 1)],
+        *[F.count_if((F.col("reject_stage") == s) & (whole(max(n - len(STAGES), 0)) if steps else F.lit(True))).alias(f"drop_{n}") for n, s in enumerate(stages)],
     )
     rows = F.array(
         *[
             F.struct(
-                F.lit(i).alias("stage_order"),
+                F.lit(n + 1).alias("stage_order"),
                 F.lit(s).alias("stage"),
-                F.col(f"in_{s}").alias("docs_in"),
-                (F.col(f"in_{s}") - F.col(f"drop_{s}")).alias("docs_out"),
-                F.col(f"drop_{s}").alias("dropped"),
+                F.col(f"n_{n}").alias("docs_in"),
+                F.col(f"n_{n + 1}").alias("docs_out"),
+                F.col(f"drop_{n}").alias("dropped"),
             )
-            for i, s in enumerate(n_in, 1)
+            for n, s in enumerate(stages)
         ]
     )
     return one.select(F.inline(rows))
 
 
 def ingest_summary(ingested: DataFrame) -> DataFrame:
-    """raw and clean documents, dropped, and dropped percent (0 for no input)."""
+    """raw and clean documents, dropped, and dropped percent (0 for no input).
+
+    Where steps split documents, the parts count as clean documents of their own,
+    and a dropped part counts as dropped.
+    """
+    first = whole() if PARTS in ingested.columns else F.lit(True)
     one = ingested.agg(
-        F.count(F.lit(1)).alias("raw_docs"), F.count_if(F.col("reject_stage").isNull()).alias("clean_docs")
+        F.count_if(first).alias("raw_docs"),
+        F.count_if(F.col("reject_stage").isNull()).alias("clean_docs"),
+        F.count("reject_stage").alias("dropped"),
     )
-    dropped = F.col("raw_docs") - F.col("clean_docs")
-    pct = F.when(F.col("raw_docs") > 0, F.round(dropped / F.col("raw_docs") * 100, 2)).otherwise(F.lit(0.0))
-    return one.withColumns({"dropped": dropped, "dropped_pct": pct})
+    pct = F.when(F.col("raw_docs") > 0, F.round(F.col("dropped") / F.col("raw_docs") * 100, 2)).otherwise(F.lit(0.0))
+    return one.withColumn("dropped_pct", pct)
