@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import oracles
 from sievemark.functions.language import with_language
-from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, sketches, tfidf, token_stream, topics
+from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, sentences, sketches, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
 from sievemark.plans.steps import Step
@@ -93,6 +93,20 @@ def c4_clean_text(spark, folder):
     return quality.with_c4(read_documents(spark, folder, ID, "text")).select(ID, "c4_text", "n_sentences", "c4_reason")
 
 
+def sentence_words(spark, folder):
+    """Every word seen before a full stop, with its counts and its score as an abbreviation."""
+    counts = materialize(sentences.type_counts(read_documents(spark, folder, ID, "text")), "sentence-words")
+    total = counts.agg(F.sum("n").alias("n"), F.sum("n_dotted").alias("dots")).first()
+    scored = sentences.abbreviation_scores(counts, total.n or 0, total.dots or 0)
+    return scored.select("type", "n", "n_dotted", F.round("score", 6).alias("score"))
+
+
+def sentence_counts(spark, folder):
+    """Sentences of the cleaned texts, by boundaries learned from all documents."""
+    docs = read_documents(spark, folder, ID, "text")
+    return quality.with_c4(docs, sentences=sentences.fit_sentences(docs)).select(ID, "n_sentences", "c4_reason")
+
+
 def ingest_funnel(spark, folder):
     return plan.funnel(_ingested(spark, folder))
 
@@ -446,6 +460,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         gopher_features,
         gopher_keep,
         c4_clean_text,
+        sentence_words,
+        sentence_counts,
         ingest_funnel,
         ingest_rejects,
         ingest_clean,

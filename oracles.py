@@ -116,6 +116,72 @@ def c4_ctes(source: str = "documents", p: str = "") -> str:
     FROM {source} d LEFT JOIN {p}c4_joined USING (doc_id)))"""
 
 
+# --- F3: learned sentence boundaries -------------------------------------------------------
+
+SENTENCE_TOKEN = r"""regexp_replace(regexp_replace(tok, '^["''(\[]+', ''), '["'')\],;:!?]+$', '')"""
+
+
+def _sentence_type(bare: str) -> str:
+    cut = f"regexp_replace(lower({bare}), '\\.$', '')"
+    return rf"CASE WHEN regexp_matches({cut}, '^[0-9]+$') THEN '##' WHEN regexp_matches({cut}, '^\p{{L}}[\p{{L}}.''-]*$') THEN {cut} END"
+
+
+def _hits(k: str, n: str, p: str) -> str:
+    return f"(CASE WHEN {k} = 0 THEN 0 ELSE {k} * ln({p}) END + CASE WHEN {n} = {k} THEN 0 ELSE ({n} - ({k})) * ln(1 - {p}) END)"
+
+
+def _pair_likelihood(a: str, b: str, ab: str, n: str) -> str:
+    rest = f"(({b} - {ab})::DOUBLE / ({n} - {a}))"
+    return f"-2 * ({_hits(ab, a, f'({b}::DOUBLE / {n})')} + {_hits(f'({b} - {ab})', f'({n} - {a})', f'({b}::DOUBLE / {n})')} - {_hits(ab, a, f'({ab}::DOUBLE / {a})')} - {_hits(f'({b} - {ab})', f'({n} - {a})', rest)})"
+
+
+SENTENCE_WORDS = rf"""
+s_token AS MATERIALIZED (
+  SELECT doc_id, ln, i, tok, b, b LIKE '%.' AND b NOT LIKE '%..' AS dotted, {_sentence_type("b")} AS type, regexp_matches(b, '^\p{{Lu}}') AS upper
+  FROM (SELECT doc_id, ln, i, toks[i] AS tok, {SENTENCE_TOKEN.replace("tok", "toks[i]")} AS b
+        FROM (SELECT doc_id, ln, toks, unnest(range(1, len(toks) + 1)) AS i
+              FROM (SELECT doc_id, ln, list_filter(regexp_split_to_array(string_split(text, E'\n')[ln], '[ \t\r]+'), lambda w: w <> '') AS toks
+                    FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, E'\n')) + 1)) AS ln FROM documents))))),
+s_count AS (SELECT type, count(*) AS n, count(*) FILTER (dotted) AS k FROM s_token GROUP BY type),
+s_total AS (SELECT sum(n)::DOUBLE AS n_all, sum(k)::DOUBLE AS k_all FROM s_count),
+s_scored AS (
+  SELECT type, n, k, -2 * ({_hits('k', 'n', '(k_all / n_all)')} - {_hits('k', 'n', '0.99::DOUBLE')}) * exp(-letters) * (length(type) - letters + 1) * pow(letters::DOUBLE, k - n) AS score
+  FROM (SELECT *, length(replace(type, '.', '')) AS letters FROM s_count) JOIN s_total ON k > 0 AND type <> '##')"""
+
+SENTENCE_MODEL = rf"""
+s_short AS (SELECT type FROM s_scored WHERE score >= 0.3 ORDER BY n DESC, type LIMIT 5000),
+s_place AS MATERIALIZED (
+  SELECT t.*, p.tok AS p_tok, p.type AS p_type, p.dotted AS p_dotted,
+         coalesce(p.type = '##' OR length(p.type) = 1 OR p.type IN (FROM s_short), false) AS p_short
+  FROM s_token t LEFT JOIN s_token p ON p.doc_id = t.doc_id AND p.ln = t.ln AND p.i = t.i - 1),
+s_state AS (
+  SELECT type, upper, CASE WHEN p_tok IS NULL OR regexp_matches(p_tok, '[!?]["'')\]]*$') OR (p_dotted AND NOT p_short) THEN 0 WHEN p_dotted THEN 1 ELSE 2 END AS state FROM s_place),
+s_used AS (
+  SELECT type, count(*) AS n, count(*) FILTER (state = 0 AND upper) AS n_start, count(*) FILTER (state = 2 AND upper) AS n_inside, count(*) FILTER (NOT upper) AS n_lower
+  FROM s_state WHERE type IS NOT NULL AND type <> '##' GROUP BY type),
+s_starts AS (SELECT count(*)::DOUBLE AS breaks FROM s_state WHERE state = 0),
+s_first AS (
+  SELECT type FROM s_used, s_starts, s_total WHERE n_start > 0
+    AND ((n_lower > 0 AND n_inside = 0) OR (n_all * n_start > breaks * n AND {_pair_likelihood('breaks', 'n', 'n_start', 'n_all')} >= 30))
+  ORDER BY n DESC, type LIMIT 5000),
+s_met AS (SELECT p_type AS a, type AS b, count(*) AS n FROM s_place WHERE p_dotted AND p_short AND type IS NOT NULL GROUP BY 1, 2),
+s_bound AS (
+  SELECT a, b FROM (SELECT m.*, x.n AS na, y.n AS nb FROM s_met m JOIN s_count x ON x.type = a JOIN s_count y ON y.type = b), s_total
+  WHERE n_all * n > na * nb AND {_pair_likelihood('na', 'nb', 'n', 'n_all')} >= 7.88 ORDER BY n DESC, a || ' ' || b LIMIT 5000),
+s_piece AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(l, '[ \t]+'), lambda w: w <> '') AS toks, row_number() OVER () AS piece
+  FROM (SELECT doc_id, unnest(regexp_split_to_array(c4_text, '[\r\n]')) AS l FROM c4)),
+s_pair AS (
+  SELECT doc_id, p_b, b, {_sentence_type("p_b")} AS p_type, {_sentence_type("b")} AS type
+  FROM (SELECT doc_id, {SENTENCE_TOKEN.replace("tok", "toks[i]")} AS p_b, {SENTENCE_TOKEN.replace("tok", "toks[i + 1]")} AS b
+        FROM (SELECT doc_id, toks, unnest(range(1, len(toks))) AS i FROM s_piece) WHERE toks[i] LIKE '%.')
+  WHERE p_b LIKE '%.' AND p_b NOT LIKE '%..'),
+s_held AS (
+  SELECT doc_id, count(*) AS held FROM s_pair
+  WHERE (p_type IN (FROM s_short) AND NOT (regexp_matches(b, '^\p{{Lu}}') AND coalesce(type IN (FROM s_first), false)))
+     OR ((p_type, type) IN (SELECT (a, b) FROM s_bound) AND NOT coalesce(type IN (FROM s_first), false)) GROUP BY doc_id)"""
+
+
 # --- F5: ingest ---------------------------------------------------------------------------
 
 
@@ -480,6 +546,11 @@ stream AS (SELECT variant, "offset" + i - 1 AS pos, ts[i] AS cur FROM (SELECT va
 two AS (SELECT variant, pos // 128 AS block_id, pos, cur FROM stream UNION ALL SELECT variant, pos // 128 - 1, pos, cur FROM stream WHERE pos % 128 = 0 AND pos > 0)
 SELECT variant, block_id, string_agg(cur, ' ' ORDER BY pos) FILTER (pos < (block_id + 1) * 128) AS x, string_agg(cur, ' ' ORDER BY pos) FILTER (pos > block_id * 128) AS y
 FROM two GROUP BY variant, block_id HAVING count(*) = 129""",
+        "sentence_words": f"WITH {SENTENCE_WORDS} SELECT type, n, k AS n_dotted, round(score, 6) + 0.0 AS score FROM s_scored",
+        "sentence_counts": f"""WITH {c4_ctes()},{SENTENCE_WORDS},{SENTENCE_MODEL}
+SELECT doc_id, (n_sentences - coalesce(held, 0))::INTEGER AS n_sentences,
+       CASE WHEN c4_reason IN ('curly_bracket', 'lorem_ipsum') THEN c4_reason WHEN n_sentences - coalesce(held, 0) < 5 THEN 'too_few_sentences' END AS c4_reason
+FROM c4 LEFT JOIN s_held USING (doc_id)""",
         "mix_curve": f"{loss} SELECT * FROM curve",
         "report_funnel": f"""{clean_dup},
 n AS (SELECT (SELECT count(*) FROM documents) AS raw, (SELECT count(*) FROM i_clean) AS clean, (SELECT count(*) FROM d_kept) AS deduped)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import lines, occurrences, settle, share, strip, words
+from sievemark.operators.sentences import Sentences
 
 
 @dataclass(frozen=True)
@@ -108,10 +109,10 @@ def gopher_reason(rules: GopherRules = GopherRules()) -> Column:
     return F.coalesce(*[F.when(test, F.lit(name)) for name, test in broken.items()])
 
 
-def with_c4(df: DataFrame, text: str = "text", rules: C4Rules = C4Rules(), given: Column | None = None) -> DataFrame:
+def with_c4(df: DataFrame, text: str = "text", rules: C4Rules = C4Rules(), given: Column | None = None, sentences: Sentences | None = None) -> DataFrame:
     """Add ``c4_text`` (kept lines), ``n_sentences`` and ``c4_reason``.
 
-    The line rules rewrite the text; the document rules then look at the whole
+    With ``sentences`` full stops that end none by that model don't count. The line rules rewrite the text; the document rules then look at the whole
     original (braces, filler) and at what is left of it (sentences).
     """
     body = F.col(text) if given is None else F.when(given, F.col(text))
@@ -140,7 +141,7 @@ def with_c4(df: DataFrame, text: str = "text", rules: C4Rules = C4Rules(), given
     has_phrase = _any([low.contains(p) for p in rules.line_phrases])
     kept = settle(cut, {"c4_text": F.array_join(F.when(has_phrase, allowed).otherwise(ended), "\n")}).drop("_lines")
     breaks = F.regexp_count("c4_text", F.lit(rules.sentence_break))
-    n_sentences = F.when(F.length("c4_text") == 0, 0).when(F.col("c4_text").isNotNull(), breaks + 1)
+    n_sentences = F.when(F.length("c4_text") == 0, 0).when(F.col("c4_text").isNotNull(), breaks + 1 - (sentences.n_held("c4_text") if sentences else 0))
     counted = settle(kept, {"n_sentences": n_sentences})
     broken = {
         "curly_bracket": body.contains("{"),

@@ -12,6 +12,7 @@ from sievemark.functions.language import FUNCTION_WORDS, in_languages, with_lang
 from sievemark.functions.text import settle
 from sievemark.operators.language_model import Languages
 from sievemark.operators.quality import GOPHER_FEATURES, C4Rules, GopherRules, gopher_reason, with_c4, with_gopher_features
+from sievemark.operators.sentences import Sentences
 from sievemark.plans.steps import PARTS, Step, whole, with_step
 
 # The filters, in order.
@@ -26,6 +27,7 @@ class IngestConfig:
     language_model: Languages | None = None  # in place of the profiles
     gopher: GopherRules = GopherRules()
     c4: C4Rules = C4Rules()
+    sentences: Sentences | None = None  # learned boundaries in place of any full stop
     steps: Sequence[Step] = ()  # run after the filters, in order
 
     def __post_init__(self):
@@ -52,7 +54,7 @@ def ingest(df: DataFrame, text: str = "text", cfg: IngestConfig = IngestConfig()
     spoken = spoken.withColumn("_in_language", in_languages(cfg.languages, cfg.language_threshold))
     measured = with_gopher_features(spoken, "_body", cfg.gopher, F.col("_in_language"))
     measured = measured.withColumn("_gopher", gopher_reason(cfg.gopher)).drop(*GOPHER_FEATURES)
-    cleaned = with_c4(measured, "_body", cfg.c4, F.col("_in_language") & F.col("_gopher").isNull())
+    cleaned = with_c4(measured, "_body", cfg.c4, F.col("_in_language") & F.col("_gopher").isNull(), cfg.sentences)
     stage = (
         F.when(~F.col("_in_language"), F.lit("language"))
         .when(F.col("_gopher").isNotNull(), F.lit("gopher"))
