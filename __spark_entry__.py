@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import oracles
 from sievemark.functions.language import with_language
+from sievemark.functions.word_breaks import WordBreaks
 from sievemark.operators import anomaly, band_index, dedup, language_model, minhash, mixes, ngram_lm, prefix, quality, scoring, sentences, sketches, tfidf, token_stream, topics
 from sievemark.plans import ingest as plan
 from sievemark.plans import report
@@ -89,6 +90,18 @@ def gopher_keep(spark, folder):
     return measured.select(ID, quality.gopher_reason().alias("gopher_reason"))
 
 
+def unicode_words(spark, folder):
+    """How many words Unicode's boundaries give, and a digest of all of them in order."""
+    cut = read_documents(spark, folder, ID, "text").select(ID, WordBreaks().words(F.coalesce("text", F.lit(""))).alias("words"))
+    return cut.select(ID, F.size("words").alias("n_words"), F.md5(F.array_join("words", " ").cast("binary")).alias("words_md5"))
+
+
+def gopher_unicode(spark, folder):
+    """The first rule a document breaks, with words by Unicode's boundaries."""
+    measured = quality.with_gopher_features(read_documents(spark, folder, ID, "text"), breaks=WordBreaks())
+    return measured.select(ID, "n_words", F.round("mean_word_length", 6).alias("mean_word_length"), quality.gopher_reason().alias("gopher_reason"))
+
+
 def c4_clean_text(spark, folder):
     return quality.with_c4(read_documents(spark, folder, ID, "text")).select(ID, "c4_text", "n_sentences", "c4_reason")
 
@@ -459,6 +472,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ingest_learned,
         gopher_features,
         gopher_keep,
+        unicode_words,
+        gopher_unicode,
         c4_clean_text,
         sentence_words,
         sentence_counts,

@@ -42,12 +42,13 @@ def lang_ctes(source: str = "documents", p: str = "") -> str:
 # --- F2: Gopher ------------------------------------------------------------------------
 
 
-def gopher_ctes(source: str = "documents", p: str = "") -> str:
-    """``{p}gopher(doc_id, features..., gopher_reason)``."""
+def gopher_ctes(source: str = "documents", p: str = "", cut: str = "") -> str:
+    """``{p}gopher(doc_id, features..., gopher_reason)``; words stand between blanks or in the table ``cut``."""
+    cut = cut or rf"(SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS w FROM {source})"
     return rf"""
 {p}word AS (
   SELECT doc_id, w, lower(regexp_replace(w, '[^\p{{L}}]', '', 'g')) AS bare
-  FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS w FROM {source}) WHERE w <> ''),
+  FROM {cut} WHERE w <> ''),
 {p}per_word AS (
   SELECT doc_id, count(*) AS n_words, sum(length(w)) AS chars, count(*) FILTER (bare <> '') AS letters,
          count(DISTINCT bare) FILTER (bare IN ('the','be','to','of','and','that','have','with')) AS stops
@@ -85,6 +86,49 @@ def gopher_ctes(source: str = "documents", p: str = "") -> str:
   FROM {p}measured)"""
 
 
+# --- F2: words by Unicode's boundaries ---------------------------------------------------
+#
+# The rules letter by letter, over windows: a letter begins a new piece unless the letters around it forbid that.
+# Texts with Hebrew are not covered (their rules on quotes are left out).
+
+UNICODE_WORDS = r"""
+u_char AS MATERIALIZED (
+  SELECT doc_id, i, c, CASE
+    WHEN regexp_matches(c, '[\p{M}\x{200C}\x{200D}\x{AD}\x{2060}-\x{2064}\x{FEFF}\x{1F3FB}-\x{1F3FF}]') THEN 'X'
+    WHEN regexp_matches(c, '[\p{Katakana}\x{30FC}\x{FF70}\x{3031}-\x{3035}\x{309B}\x{309C}\x{30A0}]') THEN 'K'
+    WHEN regexp_matches(c, '[\p{Han}\p{Hiragana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]') THEN 'U'
+    WHEN regexp_matches(c, '[\p{L}\p{Nl}]') THEN 'A'
+    WHEN regexp_matches(c, '\p{Nd}') THEN 'N'
+    WHEN regexp_matches(c, '[\p{Pc}\x{202F}]') THEN 'E'
+    WHEN regexp_matches(c, '[:\x{B7}\x{387}\x{55F}\x{5F4}\x{2027}\x{FE13}\x{FE55}\x{FF1A}]') THEN 'ML'
+    WHEN regexp_matches(c, '[,;\x{37E}\x{589}\x{60C}\x{60D}\x{66C}\x{7F8}\x{2044}\x{FE10}\x{FE14}\x{FE50}\x{FE54}\x{FF0C}\x{FF1B}]') THEN 'MN'
+    WHEN regexp_matches(c, '[.''\x{2018}\x{2019}\x{2024}\x{FE52}\x{FF07}\x{FF0E}]') THEN 'MB'
+    WHEN c IN (' ', E'\t', E'\n', E'\r') THEN 'S' ELSE 'O' END AS cls
+  FROM (SELECT doc_id, i, cs[i] AS c FROM (SELECT doc_id, cs, unnest(range(1, len(cs) + 1)) AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '(?s).') AS cs FROM documents)))),
+u_near AS (
+  SELECT *, lag(cls) OVER w AS p, lag(cls, 2) OVER w AS pp, lead(cls) OVER w AS f FROM u_char WHERE cls <> 'X'
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+u_break AS (
+  SELECT doc_id, i, coalesce(NOT (
+    (p IN ('A', 'N') AND cls IN ('A', 'N')) OR (p = 'K' AND cls = 'K')
+    OR (p IN ('A', 'N', 'K', 'E') AND cls = 'E') OR (p = 'E' AND cls IN ('A', 'N', 'K'))
+    OR (p = 'A' AND cls IN ('ML', 'MB') AND f = 'A') OR (pp = 'A' AND p IN ('ML', 'MB') AND cls = 'A')
+    OR (p = 'N' AND cls IN ('MN', 'MB') AND f = 'N') OR (pp = 'N' AND p IN ('MN', 'MB') AND cls = 'N')), true) AS opens
+  FROM u_near),
+u_piece AS (
+  SELECT doc_id, i, c, cls, sum(coalesce(opens, false)::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS piece
+  FROM u_char LEFT JOIN u_break USING (doc_id, i)),
+u_mark AS (
+  SELECT doc_id, min(i) AS pos, string_agg(c, '' ORDER BY i) AS w
+  FROM (SELECT *, sum((cls = 'S')::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS blank FROM u_char) WHERE cls <> 'S'
+  GROUP BY doc_id, blank HAVING NOT regexp_matches(w, '[\p{L}\p{N}]')),
+u_word AS (
+  SELECT doc_id, min(i) AS pos, string_agg(c, '' ORDER BY i) AS w FROM u_piece
+  GROUP BY doc_id, piece HAVING count(*) FILTER (cls IN ('A', 'N', 'K', 'U')) > 0
+  UNION ALL SELECT * FROM u_mark)"""
+
+
 # --- F3: C4 ------------------------------------------------------------------------------
 
 
@@ -546,6 +590,10 @@ stream AS (SELECT variant, "offset" + i - 1 AS pos, ts[i] AS cur FROM (SELECT va
 two AS (SELECT variant, pos // 128 AS block_id, pos, cur FROM stream UNION ALL SELECT variant, pos // 128 - 1, pos, cur FROM stream WHERE pos % 128 = 0 AND pos > 0)
 SELECT variant, block_id, string_agg(cur, ' ' ORDER BY pos) FILTER (pos < (block_id + 1) * 128) AS x, string_agg(cur, ' ' ORDER BY pos) FILTER (pos > block_id * 128) AS y
 FROM two GROUP BY variant, block_id HAVING count(*) = 129""",
+        "unicode_words": f"""WITH {UNICODE_WORDS}
+SELECT doc_id, coalesce(n, 0)::INTEGER AS n_words, md5(coalesce(ws, '')) AS words_md5
+FROM documents LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY pos) AS ws FROM u_word GROUP BY doc_id) USING (doc_id)""",
+        "gopher_unicode": f"WITH {UNICODE_WORDS},{gopher_ctes(cut='u_word')} SELECT doc_id, n_words, mean_word_length, gopher_reason FROM gopher",
         "sentence_words": f"WITH {SENTENCE_WORDS} SELECT type, n, k AS n_dotted, round(score, 6) + 0.0 AS score FROM s_scored",
         "sentence_counts": f"""WITH {c4_ctes()},{SENTENCE_WORDS},{SENTENCE_MODEL}
 SELECT doc_id, (n_sentences - coalesce(held, 0))::INTEGER AS n_sentences,

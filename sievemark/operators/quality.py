@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import lines, occurrences, settle, share, strip, words
+from sievemark.functions.word_breaks import WordBreaks
 from sievemark.operators.sentences import Sentences
 
 
@@ -50,9 +51,11 @@ class C4Rules:
     sentence_break: str = r"""[.!?]["')\]]*[ \t]+|\n"""
 
 
-def with_gopher_features(df: DataFrame, text: str = "text", rules: GopherRules = GopherRules(), given: Column | None = None) -> DataFrame:
+def with_gopher_features(df: DataFrame, text: str = "text", rules: GopherRules = GopherRules(), given: Column | None = None, breaks: WordBreaks | None = None) -> DataFrame:
     """Add the measures the rules test.
 
+    Words stand between blanks, or are those of ``breaks``.
+
     Where ``given`` is false the features are null and cost nothing: the text
     is never split for a document that an earlier filter has rejected.
     """
@@ -60,7 +63,11 @@ def with_gopher_features(df: DataFrame, text: str = "text", rules: GopherRules =
     # Words cut down to their letters, in one pass over the text; a word without
     # letters disappears.
     bare = words(F.regexp_replace(F.lower(body), r"[^\p{L} \t\n\r]+", ""))
-    split = df.withColumns({"_words": words(body), "_bare": bare, "_lines": lines(body)})
+    if breaks:
+        df = settle(df, {"_words": breaks.words(body)})
+        letters = F.transform("_words", lambda w: F.regexp_replace(F.lower(w), r"[^\p{L}]+", ""))
+        bare = F.filter(letters, lambda w: w != "")
+    split = df.withColumns({"_words": F.col("_words") if breaks else words(body), "_bare": bare, "_lines": lines(body)})
     n_words, n_lines = F.size("_words"), F.size("_lines")
     ellipses = occurrences(body, "...") + occurrences(body, "…")
     bullets = F.size(F.filter("_lines", lambda line: line.startswith("•") | line.startswith("-")))

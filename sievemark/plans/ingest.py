@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.language import FUNCTION_WORDS, in_languages, with_language
 from sievemark.functions.text import settle
+from sievemark.functions.word_breaks import WordBreaks
 from sievemark.operators.language_model import Languages
 from sievemark.operators.quality import GOPHER_FEATURES, C4Rules, GopherRules, gopher_reason, with_c4, with_gopher_features
 from sievemark.operators.sentences import Sentences
@@ -26,6 +27,7 @@ class IngestConfig:
     profiles: Mapping[str, Sequence[str]] = field(default_factory=lambda: FUNCTION_WORDS)
     language_model: Languages | None = None  # in place of the profiles
     gopher: GopherRules = GopherRules()
+    word_breaks: WordBreaks | None = None  # words by Unicode's rules in place of blanks
     c4: C4Rules = C4Rules()
     sentences: Sentences | None = None  # learned boundaries in place of any full stop
     steps: Sequence[Step] = ()  # run after the filters, in order
@@ -52,7 +54,7 @@ def ingest(df: DataFrame, text: str = "text", cfg: IngestConfig = IngestConfig()
     known = df.withColumn("_body", F.coalesce(F.col(text), F.lit("")))
     spoken = cfg.language_model.score(known, "_body") if cfg.language_model else with_language(known, "_body", cfg.profiles)
     spoken = spoken.withColumn("_in_language", in_languages(cfg.languages, cfg.language_threshold))
-    measured = with_gopher_features(spoken, "_body", cfg.gopher, F.col("_in_language"))
+    measured = with_gopher_features(spoken, "_body", cfg.gopher, F.col("_in_language"), cfg.word_breaks)
     measured = measured.withColumn("_gopher", gopher_reason(cfg.gopher)).drop(*GOPHER_FEATURES)
     cleaned = with_c4(measured, "_body", cfg.c4, F.col("_in_language") & F.col("_gopher").isNull(), cfg.sentences)
     stage = (
