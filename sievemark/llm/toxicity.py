@@ -139,9 +139,9 @@ def kneser_ney(rows: dict[str, np.ndarray], order: int = ORDER) -> Ratios:
         counts = []
         for c in ("n0", "n1"):
             n = r[c].astype(np.float64)
-            if k < order:  # how many letters stand before it, except at a word's start
+            if k < order:  # how many letters stand before it, the mark of the start among them; at a word's start its own counts
                 above = by[k + 1]
-                types = _sum_by(above["suffix"], (above[c] > 0) & (above["left"] == 1) | (above[c] > 0), r["gram"])
+                types = _sum_by(above["suffix"], above[c] > 0, r["gram"])
                 n = np.where(r["left"] == 1, types, n)
             counts.append(n)
         if k <= SHARED:
