@@ -14,6 +14,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sievemark.storage import materialize
+from sievemark.storage import discard, materialize
 
 WORD = re.compile(r"[^\W_]+")
 BLOCK = 12  # words; passages are 2 and 4 blocks long and begin at every block, or every second
@@ -31,12 +32,12 @@ PART = 64  # words; longer items are searched in parts
 RANK = 96
 OVERSAMPLE = 16
 ROUNDS = 2  # power iterations
-FIT_DOCS = 2_000  # documents whose passages the projection is fitted on, beside all items
 MAX_ITEMS = 100_000  # bound of what is sent to every task
 COSINE = 0.5
 LCS = 0.6  # share of an item's words that stand in the passage in order
 ANSWERS = 0.6  # share of its answer words
 ROWS = 1 << 14
+TILE = 32  # passages multiplied at once, as a dense block over their own terms
 
 
 def words_of(text: str) -> list[str]:
@@ -164,71 +165,149 @@ def _parts(texts: list[str | None]) -> list[Part]:
     return out
 
 
-def _document_counts(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term stands, and the number of documents."""
+def _passage_terms(docs: DataFrame, text: str, terms: dict[str, int]) -> DataFrame:
+    """One row ``terms, counts, ends`` per document, null and empty ones too: known terms of its consecutive passages of 4 blocks.
+
+    A passage's terms are distinct, ``counts`` says how often each stands in it,
+    and ``ends`` where its terms end in the lists; passages without one are left out.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(terms)
+    names = ["terms", "counts", "ends"]
+
+    def of(texts: list[np.ndarray], width: int) -> pa.RecordBatch:
+        sizes = np.array([len(x) for x in texts])
+        ids = np.concatenate(texts)
+        # Passages are numbered on through the texts, each of which begins with a new one.
+        some = -(-sizes // (4 * BLOCK))
+        first, begin = np.cumsum(some) - some, np.cumsum(sizes) - sizes
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        passage = (np.arange(len(ids)) - begin[doc]) // (4 * BLOCK) + first[doc]
+        at = ids < width
+        keys, counts = np.unique(passage[at] * width + ids[at], return_counts=True)
+        number = keys // width
+        last = np.append(number[1:] != number[:-1], True)[: len(keys)]
+        owner = np.searchsorted(np.cumsum(some), number, side="right")
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+        ends = (np.arange(len(keys)) + 1 - offsets[owner])[last]
+        closed = np.concatenate([[0], np.cumsum(np.bincount(owner[last], minlength=len(texts)))])
+        columns = [(offsets, keys % width), (offsets, counts), (closed, ends)]
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(v, pa.int32())) for o, v in columns], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        counts = np.zeros(len(known) + 1, dtype=np.int64)
+        width, get = len(known), known.get
         for batch in batches:
-            counts[-1] += batch.num_rows
+            texts, n = [], 0
             for t in batch.column(0):
-                counts[[known[w] for w in known.keys() & set(words_of(t.as_py() or ""))]] += 1
+                words = words_of(t.as_py() or "")
+                texts.append(np.fromiter(map(get, words, repeat(width)), np.int64, len(words)))
+                n += len(words)
+                if n >= ROWS:
+                    yield of(texts, width)
+                    texts, n = [], 0
+            if texts:
+                yield of(texts, width)
+
+    return docs.select(text).mapInArrow(run, ", ".join(f"{n} array<int>" for n in names))
+
+
+def _document_counts(passages: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term stands, and the number of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(n_terms + 1, dtype=np.int64)
+        for batch in batches:
+            counts[-1] += batch.num_rows
+            found, row, _ = _flat(batch.column(0))
+            counts += np.bincount(np.unique(row * n_terms + found) % n_terms, minlength=n_terms + 1)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["term", "n"])
 
-    totals = docs.select(text).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    counts = np.zeros(len(terms) + 1, dtype=np.int64)
+    totals = passages.select("terms").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = np.zeros(n_terms + 1, dtype=np.int64)
     for row in totals.collect():  # one row a term of the benchmark
         counts[row["term"]] = row["n"]
     return counts[:-1], int(counts[-1])
 
 
-def _rows(ids: np.ndarray, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Unit TF-IDF vectors (terms, weights) of consecutive passages of 4 blocks."""
-    out = []
-    for a in range(0, len(ids), 4 * BLOCK):
-        known, n = np.unique(ids[a : a + 4 * BLOCK], return_counts=True)
-        n, known = n[known < len(idf)], known[known < len(idf)]
-        weight = n * idf[known]
-        if len(known) and weight.any():
-            out.append((known, weight / np.sqrt((weight * weight).sum())))
-    return out
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values of all lists, the list that each belongs to, and where each list begins."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(lists)), sizes), np.cumsum(sizes) - sizes
 
 
-def randomised_svd(passages: DataFrame, own: list[tuple[np.ndarray, np.ndarray]], n_terms: int, rank: int, seed: int = 4) -> np.ndarray:
-    """(n_terms, rank) right singular vectors of the rows of ``passages(terms, weights)`` and of ``own`` rows.
+def _gram(out: np.ndarray, terms: np.ndarray, weights: np.ndarray, starts: np.ndarray, block: np.ndarray) -> int:
+    """Add A'A ``block`` to ``out`` for the unit rows of A that begin at ``starts``, in tiles; returns the rows with any weight."""
+    if not len(starts):
+        return 0
+    ends = np.append(starts[1:], len(terms))
+    norm = np.sqrt(np.add.reduceat(weights * weights, starts))
+    weights = np.divide(weights, np.repeat(norm, ends - starts), out=np.zeros_like(weights), where=np.repeat(norm, ends - starts) > 0).astype(block.dtype)
+    row = np.repeat(np.arange(len(starts)), ends - starts)
+    for first in range(0, len(starts), TILE):
+        last = min(first + TILE, len(starts))
+        a, b = starts[first], ends[last - 1]
+        some, at = np.unique(terms[a:b], return_inverse=True)
+        tile = np.zeros((last - first, len(some)), block.dtype)
+        tile[row[a:b] - first, at] = weights[a:b]
+        out[some] += tile.T @ (tile @ block[some])
+    return int((norm > 0).sum())
+
+
+def randomised_svd(passages: DataFrame, own: list[np.ndarray], idf: np.ndarray, rank: int, seed: int = 4) -> np.ndarray:
+    """(n_terms, rank) right singular vectors of the unit TF-IDF rows of all ``passages`` and of the items' ``own`` passages.
 
     Each round multiplies a random block by A'A: tasks multiply their rows,
     sums meet by term, and the block is made orthonormal on the driver. Both
     sets of rows count alike, whatever their numbers. The block has
-    n_terms x (rank + OVERSAMPLE) numbers.
+    n_terms x (rank + OVERSAMPLE) numbers, and so has what a task hands on.
     """
+    n_terms = len(idf)
     width = min(rank + OVERSAMPLE, n_terms)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0]
     context = passages.sparkSession.sparkContext
+    schema = "term bigint, sums binary"
 
-    def gram(rows, block: np.ndarray) -> np.ndarray:
-        out = np.zeros_like(block)
-        for terms, weights in rows:
-            out[terms] += np.outer(weights, weights @ block[terms])
-        return out
+    def packed(totals: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        rows = [(int(t), x.tobytes()) for t, x in totals]
+        return pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["term", "sums"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for term, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[term] = total.get(term, 0) + np.frombuffer(data)
+        yield packed(total.items())
 
-    n_rows = max(passages.count(), 1)
     for _ in range(ROUNDS):
-        sent = context.broadcast(basis)
+        sent = context.broadcast((basis.astype(np.float32), idf))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            rows = ((np.array(t), np.array(w)) for b in batches for t, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-            made = gram(rows, sent.value)
+            block, weight_of = sent.value
+            made, n_rows = np.zeros(block.shape), 0
+            for batch in batches:
+                terms, _, begin = _flat(batch.column(0))
+                counts = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                ends, row, _ = _flat(batch.column(2))
+                ends = ends + begin[row]
+                n_rows += _gram(made, terms, counts * weight_of[terms], np.append(0, ends[:-1]) if len(ends) else ends, block)
+            # The last row, of no term, carries the number of passages.
             some = np.flatnonzero(made.any(axis=1))
-            at, column = np.repeat(some, made.shape[1]), np.tile(np.arange(made.shape[1]), len(some))
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(column), pa.array(made[some].ravel())], names=["term", "column", "value"])
-
-        sums = passages.mapInArrow(run, "term bigint, column bigint, value double").groupBy("term", "column").agg(F.sum("value").alias("value")).toArrow()
-        product = gram(own, basis) / max(len(own), 1)
-        product[sums.column("term").to_numpy(), sums.column("column").to_numpy()] += sums.column("value").to_numpy() / n_rows
+            yield packed([*((t, made[t]) for t in some), (len(weight_of), np.array([float(n_rows)]))])
+
+        sums = passages.mapInArrow(run, schema).repartition("term").mapInArrow(added, schema).toArrow()
+        product, n_rows = np.zeros_like(basis), 1.0
+        for term, data in zip(sums.column("term").to_pylist(), sums.column("sums").to_pylist()):
+            if term == n_terms:
+                n_rows = max(float(np.frombuffer(data)[0]), 1.0)
+            else:
+                product[term] = np.frombuffer(data)
+        product /= n_rows
+        mine, n_own = np.zeros_like(basis), 0
+        for ids in own:
+            known, counts = np.unique(ids, return_counts=True)
+            n_own += _gram(mine, known, counts * idf[known], np.zeros(1, np.int64), basis)
+        product += mine / max(n_own, 1)
         basis, last = np.linalg.qr(product)[0], (basis, product)
     # The last product gives A'A on the last block: its eigenvectors order the directions.
     before, product = last
@@ -238,13 +317,13 @@ def randomised_svd(passages: DataFrame, own: list[tuple[np.ndarray, np.ndarray]]
 
 def latent_index(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", id_col: str = "doc_id",
-    rank: int = RANK, cosine: float = COSINE, min_lcs: float = LCS, min_answers: float = ANSWERS, fit_docs: int = FIT_DOCS,
+    rank: int = RANK, cosine: float = COSINE, min_lcs: float = LCS, min_answers: float = ANSWERS,
 ) -> LatentIndex:
     """Fit the projection and place the items.
 
-    Document counts of the terms cover all of ``docs``; the projection is
-    fitted on all items and on the passages of at most ``fit_docs`` documents,
-    drawn by a hash of their id. All of ``docs`` can then be searched. The
+    Document counts of the terms cover all of ``docs``, and the projection is
+    fitted on all items and on the passages of all of ``docs``: texts are read
+    once, and their known terms written, which the rounds then read. The
     benchmark must have at most MAX_ITEMS rows; null and wordless items are
     never found.
     """
@@ -254,33 +333,17 @@ def latent_index(
     items, texts = [r["i"] for r in rows], [r["t"] for r in rows]
     parts = _parts(texts)
     terms = {w: k for k, w in enumerate(sorted({w for p in parts for w in p.words}))}
-    counts, n_docs = _document_counts(docs, text, terms)
+    if not terms:
+        return LatentIndex(items, [], {}, np.zeros((1, 1), np.float32), np.zeros((0, 1), np.float32), cosine, min_lcs, min_answers)
+    passages = materialize(_passage_terms(docs, text, terms), "passages")
+    counts, n_docs = _document_counts(passages, len(terms))
     idf = np.log((1 + n_docs) / (1 + counts)) + 0.1
     for part in parts:
         distinct = sorted(set(part.words), key=lambda w: (-idf[terms[w]], w))
         part.answers = distinct[: max(1, math.ceil(len(distinct) / 4))]
-    own = [_rows(np.array([terms[w] for w in p.words]), idf) for p in parts]
-    own = [row for rows_ in own for row in rows_]
-    if not terms:
-        return LatentIndex(items, [], {}, np.zeros((1, 1), np.float32), np.zeros((0, 1), np.float32), cosine, min_lcs, min_answers)
-    drawn = docs.select(id_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(fit_docs)
-    chosen = docs.select(id_col, F.col(text).alias("_text")).join(F.broadcast(drawn), id_col, "left_semi").select("_text")
-    sent = docs.sparkSession.sparkContext.broadcast((terms, idf))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weights = sent.value
-        for batch in batches:
-            made = []
-            for t in batch.column(0):
-                words = words_of(t.as_py() or "")
-                made += _rows(np.fromiter((known.get(w, len(known)) for w in words), np.int64, len(words)), weights)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t.tolist() for t, _ in made], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in made], pa.list_(pa.float64()))],
-                names=["terms", "weights"],
-            )
-
-    passages = materialize(chosen.mapInArrow(run, "terms array<bigint>, weights array<double>"), "passages")
-    latent = randomised_svd(passages, own, len(terms), rank)
+    own = [np.array([terms[w] for w in p.words[a : a + 4 * BLOCK]]) for p in parts for a in range(0, len(p.words), 4 * BLOCK)]
+    latent = randomised_svd(passages, own, idf, rank)
+    discard(passages)
     projection = np.concatenate([latent * idf[:, None], np.zeros((1, latent.shape[1]))]).astype(np.float32)
     vectors = np.stack([projection[[terms[w] for w in p.words]].sum(axis=0) for p in parts])
     norm = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))

@@ -62,3 +62,25 @@ def test_empty_tables(spark):
     docs, benchmark, _ = _tables(spark)
     assert all(r["leaks"] == [] for r in decontaminate.with_leaks(docs, benchmark.limit(0)).collect())
     assert decontaminate.with_leaks(docs.limit(0), benchmark).collect() == []
+
+
+def test_the_projection_follows_every_document(spark):
+    """More documents than the 2,000 that were once drawn: the directions are those of all passages and items."""
+    import numpy as np
+
+    vocabulary = [f"w{k}" for k in range(12)]
+    benchmark = spark.createDataFrame([(0, " ".join(vocabulary))], "item_id int, text string")
+    docs = spark.createDataFrame([(k, f"{vocabulary[k % 11]} {vocabulary[k % 7]} other") for k in range(3_000)] + [(5_000, None)], "doc_id bigint, text string")
+    index = decontaminate.latent_index(docs, benchmark, rank=2)
+    rows = [[w for w in (t or "").split() if w in index.terms] for _, t in docs.collect()]
+    counts = np.array([sum(w in r for r in rows) for w in index.terms])
+    idf = np.log(3_002 / (1 + counts)) + 0.1
+    dense = np.array([[r.count(w) for w in index.terms] for r in rows if r]) * idf
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    item = idf / np.linalg.norm(idf)
+    gram = dense.T @ dense / len(dense) + np.outer(item, item)
+    # With a block as wide as the terms the rounds give the eigenvectors themselves.
+    values, vectors = np.linalg.eigh(gram)
+    want = vectors[:, np.argsort(values)[::-1][:2]]
+    found = index.projection[:-1] / idf[:, None]
+    assert np.allclose(np.abs(want), np.abs(found), atol=1e-5)
