@@ -54,16 +54,27 @@ def _mod_prime(values: np.ndarray) -> np.ndarray:
     return np.minimum(folded, folded - np.uint64(PRIME))
 
 
+def _token_hashes(docs: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """All tokens as numbers of a batch's distinct tokens, and the hash of each of these."""
+    encoded = docs.flatten().dictionary_encode()  # each distinct token is hashed once per batch
+    table = np.fromiter((_md5_31(t.as_py()) % PRIME for t in encoded.dictionary), dtype=np.uint64, count=len(encoded.dictionary))
+    return encoded.indices, table
+
+
+def _lengths(docs: pa.ListArray) -> np.ndarray:
+    if docs.null_count:
+        return np.fromiter((len(d) if d.is_valid else 0 for d in docs), dtype=np.int64, count=len(docs))
+    return np.diff(docs.offsets.to_numpy()).astype(np.int64)
+
+
 def _shingle_hashes(docs: pa.ListArray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-token windows, and how many each document has."""
-    flat = docs.flatten()
-    encoded = flat.dictionary_encode()  # each distinct token is hashed once per batch
-    table = np.fromiter(
-        (_md5_31(t) % PRIME for t in encoded.dictionary.to_pylist()), dtype=np.uint64, count=len(encoded.dictionary)
-    )
-    hashed = table[encoded.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.empty(0, dtype=np.uint64)
-    lengths = np.fromiter((len(d) if d.is_valid else 0 for d in docs), dtype=np.int64, count=len(docs)) \
-        if docs.null_count else np.diff(docs.offsets.to_numpy())
+    indices, table = _token_hashes(docs)
+    lengths = _lengths(docs)
+    return _windows(table[indices.to_numpy(zero_copy_only=False)] if len(indices) else np.empty(0, dtype=np.uint64), lengths, n)
+
+
+def _windows(hashed: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.maximum(lengths - n + 1, 0)
     if counts.sum() == 0:
         return np.empty(0, dtype=np.uint64), counts
@@ -77,6 +88,34 @@ def _shingle_hashes(docs: pa.ListArray, n: int) -> tuple[np.ndarray, np.ndarray]
     return rolled[whole[:width]], counts
 
 
+def _runs(lengths: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Runs (first, end) of documents with at most ``size`` tokens each, or of one longer document."""
+    ends, out, first = np.cumsum(lengths), [], 0
+    while first < len(lengths):
+        before = ends[first] - lengths[first]
+        end = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
+        out.append((first, end))
+        first = end
+    return out
+
+
+def _signatures(docs: pa.ListArray, n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Minima (documents with a shingle x permutations), and which documents those are.
+
+    Beside four bytes a token of the batch, memory is bounded by a run of TILE tokens or the longest document.
+    """
+    indices, table = _token_hashes(docs)
+    lengths = _lengths(docs)
+    ends = np.cumsum(lengths)
+    found = [np.empty((0, len(a)), np.int32)]
+    for first, end in _runs(lengths, TILE):
+        begin = int(ends[first] - lengths[first])
+        piece = indices.slice(begin, int(ends[end - 1]) - begin).to_numpy(zero_copy_only=False)
+        hashes, counts = _windows(table[piece], lengths[first:end], n)
+        found.append(_minima(hashes, counts[counts > 0], a, b).astype(np.int32))
+    return np.concatenate(found), lengths >= n
+
+
 def _minima(hashes: np.ndarray, counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """(documents, permutations) minima; every count is positive."""
     ends = np.cumsum(counts)
@@ -100,9 +139,7 @@ def signature(token_list: Column, cfg: MinhashConfig) -> Column:
 
     @F.arrow_udf("array<int>")
     def minhash(docs: pa.Array) -> pa.Array:
-        hashes, counts = _shingle_hashes(docs, n)
-        has = counts > 0
-        minima = _minima(hashes, counts[has], a, b).astype(np.int32)
+        minima, has = _signatures(docs, n, a, b)
         offsets = np.concatenate([[0], np.cumsum(np.where(has, len(a), 0))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(minima.ravel()), mask=pa.array(~has))
 

@@ -125,3 +125,24 @@ def test_held_out_copies_are_left_out(spark):
     train = materialize(band_table(frame(spark, GOOD[:3])), "train")
     fresh = without_near_copies(frame(spark, [NEAR_COPY, GOOD[1], GOOD[4], "short"]), [train])
     assert sorted(r.id for r in fresh.collect()) == [2, 3]
+
+
+def test_signatures_come_from_bounded_runs(monkeypatch):
+    """Windows are built for a run of documents at a time, and give the same minima as one run over all."""
+    import numpy as np
+    import pyarrow as pa
+
+    from sievemark.operators import minhash
+
+    rng = random.Random(3)
+    texts = [[rng.choice("abcdefgh") for _ in range(rng.choice((0, 3, 5, 20, 70)))] for _ in range(300)] + [None, ["a"] * 500, None, []]
+    docs = pa.array(texts, pa.list_(pa.string())).slice(7)
+    a, b = MinhashConfig().permutations()
+    hashes, counts = minhash._shingle_hashes(docs, 5)
+    want = minhash._minima(hashes, counts[counts > 0], a, b)
+    monkeypatch.setattr(minhash, "TILE", 100)
+    sizes, whole = [], minhash._windows
+    monkeypatch.setattr(minhash, "_windows", lambda hashed, *rest: sizes.append(len(hashed)) or whole(hashed, *rest))
+    got, has = minhash._signatures(docs, 5, a, b)
+    assert np.array_equal(got, want) and np.array_equal(has, counts > 0)
+    assert sorted(sizes)[-1] == 500 and sorted(sizes)[-2] <= 100
