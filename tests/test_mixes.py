@@ -116,3 +116,16 @@ def test_mixes_and_held_out_sets(spark):
         ("unfiltered", 12),
     ]
     assert re.match("array|string", dict(made.shared().dtypes)["text"])
+
+
+def test_blocks_move_strings_without_a_sort_of_texts(spark):
+    from sievemark.operators import token_stream
+
+    docs = spark.createDataFrame([("raw", 1, "a b c d"), ("raw", 2, None), ("raw", 3, "e f")], "variant string, id long, text string")
+    blocks = token_stream.token_blocks(docs, token_stream.document_offsets(docs), 2)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "array_join" in plan
+    made = {r.block_id: (r.x, r.y) for r in blocks.collect()}
+    order = sorted([1, 2, 3], key=lambda i: __import__("hashlib").md5(f"1234:{i}".encode()).hexdigest())
+    stream = [t for i in order for t in ({1: ["a", "b", "c", "d"], 2: [], 3: ["e", "f"]}[i] + [token_stream.END])]
+    assert all(x == stream[2 * k : 2 * k + 2] and y == stream[2 * k + 1 : 2 * k + 3] for k, (x, y) in made.items())
