@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import settle, tokens
-from sievemark.storage import discard, materialize
+from sievemark.storage import discard, materialize, scratch_path
 
 N_FEATURES = 1 << 14
 SMOOTHING = 0.01  # small, so that the many unused features do not outweigh a short training text
@@ -130,6 +130,9 @@ def fit_softmax(df: DataFrame, text: str = "text", label: str = "lang", penalty:
         family="multinomial", maxIter=passes, regParam=penalty, standardization=False, featuresCol="_features", labelCol="_label",
         rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_prediction",
     )
-    model = learner.fit(vectors)
+    # Read back, the model no longer holds its training data and session, which
+    # a task could not be sent with.
+    path = scratch_path(df.sparkSession, "language-weights")
+    learner.fit(vectors).save(path)
     discard(vectors)
-    return SoftmaxLanguages(model, languages)
+    return SoftmaxLanguages(LogisticRegressionModel.load(path), languages)
