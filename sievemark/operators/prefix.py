@@ -47,5 +47,21 @@ def prefix_sum(
 def global_index(
     df: DataFrame, order_by: str, by: Sequence[str] = (), out: str = "row_index", ranges: int | None = None
 ) -> DataFrame:
-    """Add the 0-based position of each row within its ``by`` group."""
-    return prefix_sum(df, order_by, F.lit(1).cast("long"), by, out, ranges)
+    """Add the 0-based position of each row within its ``by`` group.
+
+    Without groups each range is written in its order, so that a row's place in
+    its file is its position inside the range: rows move once, and the totals,
+    one a file, are all that is joined.
+    """
+    if by:
+        return prefix_sum(df, order_by, F.lit(1).cast("long"), by, out, ranges)
+    placed = df.repartitionByRange(ranges, order_by) if ranges else df.repartitionByRange(order_by)
+    in_order = placed.withColumn("_range", F.spark_partition_id()).sortWithinPartitions(order_by)
+    written = materialize(in_order, "ranges")
+    # A task leaves several files where files are limited; their names go on in order.
+    rows = written.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_inside"))
+    earlier = Window.orderBy("_range", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("_range", "_file").agg(F.count(F.lit(1)).alias("_total"))
+    starts = totals.select("_range", "_file", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    numbered = rows.join(F.broadcast(starts), ["_range", "_file"])
+    return numbered.select(*df.columns, (F.col("_start") + F.col("_inside")).alias(out))

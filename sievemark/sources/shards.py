@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemark.operators.prefix import global_index
-from sievemark.storage import discard, materialize
+from sievemark.storage import discard
 
 # The columns of a shard file.
 SHARD = T.StructType(
@@ -57,7 +57,7 @@ def write_shards(
     written files with their rows.
     """
     spark = df.sparkSession
-    rows = materialize(global_index(to_shard_rows(df, crawl), "id", out="_position"), "shard-rows")
+    rows = global_index(to_shard_rows(df, crawl), "id", out="_position")  # written by it
     n_runs = -(-rows.count() // (rows_per_shard * shards_per_task))
     if not n_runs:
         return spark.createDataFrame([], "shard string, rows long, size_bytes long")

@@ -44,3 +44,20 @@ def test_no_single_partition_exchange_over_rows(spark):
     plan = global_index(df, "id", ranges=10)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SinglePartition") <= 1  # the range totals only
     assert "hashpartitioning(_range" in plan
+
+
+def test_positions_move_rows_once(spark):
+    """No window over the rows; exact too where a range leaves several files, keys repeat or are null."""
+    rows = [(k % 37 if k % 11 else None, "x" * 50) for k in range(1_000)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "30")
+    try:
+        indexed = global_index(df, "id", ranges=4)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    plan = indexed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(_range#" not in plan.split("BroadcastExchange")[0]
+    got = sorted(indexed.collect(), key=lambda r: r.row_index)
+    assert [r.row_index for r in got] == list(range(1_000))
+    keys = [-1 if r.id is None else r.id for r in got]
+    assert keys == sorted(keys) and len(keys) == len(rows)
