@@ -124,7 +124,6 @@ def with_c4(df: DataFrame, text: str = "text", rules: C4Rules = C4Rules(), given
     """
     body = F.col(text) if given is None else F.when(given, F.col(text))
     phrase = "(?i)" + "|".join(rules.line_phrases)
-    low = F.lower(body)
 
     def overlong(line: Column) -> Column:
         limit = rules.max_word_length
@@ -142,21 +141,23 @@ def with_c4(df: DataFrame, text: str = "text", rules: C4Rules = C4Rules(), given
     # tests. Chosen outside the lambdas: inside, it would be redone per line.
     all_lines = lines(body)
     uncited = F.transform(all_lines, lambda line: strip(F.regexp_replace(line, rules.citation, "")))
-    cut = df.withColumn("_lines", F.when(body.contains("["), uncited).otherwise(all_lines))
+    # Lower-cased once: the phrases are looked for one after the other.
+    cut = df.withColumns({"_lines": F.when(body.contains("["), uncited).otherwise(all_lines), "_low": F.lower(body)})
     ended = F.filter("_lines", keep)
     allowed = F.filter(ended, lambda line: ~line.rlike(phrase))
-    has_phrase = _any([low.contains(p) for p in rules.line_phrases])
-    kept = settle(cut, {"c4_text": F.array_join(F.when(has_phrase, allowed).otherwise(ended), "\n")}).drop("_lines")
+    has_phrase = _any([F.col("_low").contains(p) for p in rules.line_phrases])
+    c4_text = F.array_join(F.when(has_phrase, allowed).otherwise(ended), "\n")
+    kept = settle(cut, {"c4_text": c4_text, "_filler": F.col("_low").contains("lorem ipsum")}).drop("_lines", "_low")
     breaks = F.regexp_count("c4_text", F.lit(rules.sentence_break))
     n_sentences = F.when(F.length("c4_text") == 0, 0).when(F.col("c4_text").isNotNull(), breaks + 1 - (sentences.n_held("c4_text") if sentences else 0))
     counted = settle(kept, {"n_sentences": n_sentences})
     broken = {
         "curly_bracket": body.contains("{"),
-        "lorem_ipsum": low.contains("lorem ipsum"),
+        "lorem_ipsum": F.col("_filler"),
         "too_few_sentences": F.col("n_sentences") < rules.min_sentences,
     }
     reason = F.coalesce(*[F.when(test, F.lit(name)) for name, test in broken.items()])
-    return counted.withColumn("c4_reason", reason)
+    return counted.withColumn("c4_reason", reason).drop("_filler")
 
 
 def _any(tests: list[Column]) -> Column:

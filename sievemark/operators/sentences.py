@@ -8,11 +8,12 @@ corpus; no language's word list is built in.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.functions.text import BLANK, lines
+from sievemark.functions.text import BLANK, lines, settle
 from sievemark.storage import discard, materialize
 
 # Brackets and quotes before a word; the same and the marks that may follow it.
@@ -41,12 +42,19 @@ def bare(token: Column) -> Column:
 
 
 def dotted(token: Column) -> Column:
-    return bare(token).endswith(".") & ~bare(token).endswith("..")
+    return _dotted(bare(token))
+
+
+def _dotted(word: Column) -> Column:
+    return word.endswith(".") & ~word.endswith("..")
 
 
 def word_type(token: Column) -> Column:
     """Lower-case word without its final full stop; ``##`` for a number, null for anything else."""
-    word = F.regexp_replace(F.lower(bare(token)), r"\.$", "")
+    return _type(F.regexp_replace(F.lower(bare(token)), r"\.$", ""))
+
+
+def _type(word: Column) -> Column:
     return F.when(word.rlike(NUMBER), F.lit(ANY_NUMBER)).when(word.rlike(WORD), word)
 
 
@@ -65,10 +73,42 @@ def token_places(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(F.inline(F.flatten(F.transform(lines(text), pairs))))
 
 
+def place_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """Distinct ``(prev, cur)`` of :func:`token_places` with their number ``times``.
+
+    ``prev`` is blank where it holds no mark that could end a sentence: which
+    word that was, nothing asks. Patterns are then tried on distinct rows only.
+    """
+    ends = _any_of(F.col("prev"), ".!?")
+    places = token_places(df, text).select(F.when(F.col("prev").isNull() | ends, F.col("prev")).otherwise(F.lit("")).alias("prev"), "cur")
+    return places.groupBy("prev", "cur").agg(F.count(F.lit(1)).alias("times"))
+
+
+def _any_of(token: Column, marks: str) -> Column:
+    return reduce(Column.__or__, [token.contains(mark) for mark in marks])
+
+
 def type_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """``type``, its occurrences ``n`` and those before a full stop ``n_dotted``; other tokens under a null type."""
-    slim = token_places(df, text).select(word_type(F.col("cur")).alias("type"), dotted(F.col("cur")).alias("dotted"))
-    return slim.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if("dotted").alias("n_dotted"))
+    return _typed(token_places(df, text).groupBy("cur").agg(F.count(F.lit(1)).alias("times")))
+
+
+def _typed(words: DataFrame) -> DataFrame:
+    """:func:`type_counts` from distinct ``cur`` and their ``times``."""
+    slim = _described(words)
+    return slim.groupBy("type").agg(F.sum("times").alias("n"), _times("dotted").alias("n_dotted"))
+
+
+def _described(words: DataFrame) -> DataFrame:
+    """Add ``type``, ``dotted`` and ``capital`` of ``cur``; each pattern is tried once a row."""
+    slim = settle(words, {"_bare": bare(F.col("cur"))})
+    slim = settle(slim, {"_word": F.regexp_replace(F.lower("_bare"), r"\.$", "")})
+    return settle(slim, {"type": _type(F.col("_word")), "dotted": _dotted(F.col("_bare")), "capital": F.col("_bare").rlike(r"^\p{Lu}")}).drop("_bare", "_word")
+
+
+def _times(test: Column | str) -> Column:
+    """How many of the counted tokens pass."""
+    return F.sum(F.when(F.col(test) if isinstance(test, str) else test, F.col("times")).otherwise(F.lit(0)))
 
 
 def _weighed(k: Column, n: Column, p: Column) -> Column:
@@ -137,32 +177,40 @@ def _most(df: DataFrame, key: str, rules: SentenceRules) -> frozenset[str]:
 def fit_sentences(df: DataFrame, text: str = "text", rules: SentenceRules = SentenceRules()) -> Sentences:
     """Learn boundaries from all of ``df``.
 
-    Three aggregates with map-side combine: words, words by what precedes them,
-    and pairs across a full stop. Of each list the ``max_words`` most frequent
+    The texts are read once, for one aggregate with map-side combine: distinct
+    tokens by what precedes them. Words, words by what precedes them and pairs
+    across a full stop are counted from that table. Of each list the ``max_words`` most frequent
     entries reach the driver. An empty table gives empty lists, with which every
     full stop ends a sentence.
     """
-    counts = materialize(type_counts(df, text), "sentence-words")
+    seen = settle(place_counts(df, text), {"_bare": bare(F.col("prev"))})
+    seen = settle(seen, {"_word": F.regexp_replace(F.lower("_bare"), r"\.$", "")})
+    mark = F.col("prev").rlike(r"""[!?]["')\]]*$""")
+    known = {"begins": F.col("prev").isNull(), "first": _type(F.col("_word")), "stop": _dotted(F.col("_bare")), "mark": mark}
+    seen = materialize(settle(seen, known).drop("prev", "_bare", "_word"), "sentence-places")
+    counts = materialize(_typed(seen.groupBy("cur").agg(F.sum("times").alias("times"))), "sentence-words")
     total = counts.agg(F.sum("n").alias("n"), F.sum("n_dotted").alias("dots")).first()
     if not total.n or not total.dots:
+        discard(seen)
         discard(counts)
         return Sentences()
     scored = abbreviation_scores(counts, total.n, total.dots, rules)
     model = Sentences(_most(scored.where(F.col("score") >= rules.min_abbreviation), "type", rules))
 
-    first, second = word_type(F.col("prev")), word_type(F.col("cur"))
+    first = F.col("first")
     # Numbers and initials may end a sentence or not: what follows them tells nothing about starts.
     short = _within(first, model.abbreviations) | F.coalesce((first == ANY_NUMBER) | (F.length(first) == 1), F.lit(False))
-    stop, mark = dotted(F.col("prev")), F.col("prev").rlike(r"""[!?]["')\]]*$""")
-    state = F.when(F.col("prev").isNull() | mark | (stop & ~short), "start").when(stop, "abbreviation").otherwise("inside")
-    places = token_places(df, text).select(state.alias("state"), second.alias("type"), capital(F.col("cur")).alias("capital"))
+    ended = F.when(F.col("mark") | (F.col("stop") & ~short), "start").when(F.col("stop"), "abbreviation").otherwise("inside")
+    state = F.when(F.col("begins"), "start").otherwise(ended)
+    states = settle(seen, {"state": state}).groupBy("state", "cur").agg(F.sum("times").alias("times"))
+    places = _described(states)
     upper = F.coalesce(F.col("capital"), F.lit(False))
     used = places.groupBy("type").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((F.col("state") == "start") & upper).alias("n_start"),
-        F.count_if((F.col("state") == "inside") & upper).alias("n_inside"),
-        F.count_if(~upper).alias("n_lower"),
-        F.count_if(F.col("state") == "start").alias("at_start"),
+        F.sum("times").alias("n"),
+        _times((F.col("state") == "start") & upper).alias("n_start"),
+        _times((F.col("state") == "inside") & upper).alias("n_inside"),
+        _times(~upper).alias("n_lower"),
+        _times(F.col("state") == "start").alias("at_start"),
     )
     used = materialize(used, "sentence-starts")
     starts = F.lit(used.agg(F.sum("at_start")).first()[0] or 0)
@@ -172,14 +220,15 @@ def fit_sentences(df: DataFrame, text: str = "text", rules: SentenceRules = Sent
     words = used.where((F.col("n_start") > 0) & F.col("type").isNotNull() & (F.col("type") != ANY_NUMBER))
     model = Sentences(model.abbreviations, _most(words.where(often | only), "type", rules))
 
-    across = token_places(df, text).where(stop & short).select(first.alias("first"), second.alias("second")).dropna()
-    met = across.groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"))
+    across = _described(seen.where("stop").where(short & first.isNotNull()).select("first", "cur", "times"))
+    across = across.withColumnRenamed("type", "second").where(F.col("second").isNotNull())
+    met = across.groupBy("first", "second").agg(F.sum("times").alias("n"))
     n_of = counts.select("type", F.col("n").alias("n_of"))
     met = met.join(n_of.withColumnsRenamed({"type": "first", "n_of": "n_first"}), "first")
     met = met.join(n_of.withColumnsRenamed({"type": "second", "n_of": "n_second"}), "second")
     bound = pair_likelihood(F.col("n_first"), F.col("n_second"), F.col("n"), n) >= rules.min_collocation
     met = met.where(bound & (n * F.col("n") > F.col("n_first") * F.col("n_second")))
     pairs = _most(met.withColumn("pair", F.concat_ws(" ", "first", "second")), "pair", rules)
-    discard(counts)
-    discard(used)
+    for made in (seen, counts, used):
+        discard(made)
     return Sentences(model.abbreviations, model.starters, pairs)

@@ -100,3 +100,17 @@ def test_ingest_uses_the_model(spark, model):
     df = spark.createDataFrame([(1, text)], "id long, text string")
     assert ingest(df).first().reject_reason is None
     assert ingest(df, cfg=IngestConfig(sentences=model)).first().reject_reason == "too_few_sentences"
+
+
+def test_texts_are_read_once_and_patterns_tried_on_distinct_tokens(spark, corpus, monkeypatch):
+    from sievemark.operators import sentences
+
+    passes = []
+    places = sentences.token_places
+    monkeypatch.setattr(sentences, "token_places", lambda *a: passes.append(1) or places(*a))
+    fit_sentences(corpus)
+    assert len(passes) == 1
+    rows = sentences.place_counts(spark.createDataFrame([("a b. C d! e\nf b. C",), (None,)], "text string")).collect()
+    assert sorted((str(r.prev), r.cur, r.times) for r in rows) == sorted(
+        [("None", "a", 1), ("", "b.", 2), ("b.", "C", 2), ("", "d!", 1), ("d!", "e", 1), ("None", "f", 1)]
+    )
