@@ -42,11 +42,30 @@ class LossConfig:
 SHARED = {"filtered": "shared_eval_loss", "unfiltered": "shared_raw_loss"}
 
 
-def _pairs(text: str) -> Column:
-    """(prev, cur) for every token of a document; the end marker precedes the first."""
-    seq = token_sequence(text)
-    before = F.concat(F.array(F.lit(END)), seq)
-    return F.arrays_zip(F.slice(before, F.lit(1), F.size(seq)).alias("prev"), seq.alias("cur"))
+def _with_pairs(df: DataFrame, text: str) -> DataFrame:
+    """Add ``_pairs``: (prev, cur) for every token of a document; the end marker precedes the first."""
+    seq = settle(df, {"_seq": token_sequence(text)}).drop(text)
+    before = F.concat(F.array(F.lit(END)), F.col("_seq"))
+    pairs = F.arrays_zip(F.slice(before, F.lit(1), F.size("_seq")).alias("prev"), F.col("_seq").alias("cur"))
+    return settle(seq, {"_pairs": pairs}).drop("_seq")
+
+
+def _touched(cuts: list, steps: int) -> Column:
+    """Documents that begin before the budget's end or reach the validation part, by their draw alone.
+
+    ``cuts`` has a row for each mix. Tokens decide exactly later; the draw comes
+    from the id, so this goes below the joins that made the mix, and a document
+    between the two parts is never tokenized, nor its text moved.
+    """
+    draw, kept = F.col("draw"), F.col("draw").isNull()
+    for row in cuts:
+        at = {cut["i"]: cut["draw"] for cut in row["cuts"]}
+        last, val = at.get(steps - 1, ""), at.get(steps, "")
+        # No cut: the limit is past the end. A cut in a document without a draw lies before all others.
+        train = F.lit(last == "") if not last else draw <= F.lit(last)
+        checked = F.lit(val is None) if not val else draw >= F.lit(val)
+        kept = kept | ((F.col("variant") == row["variant"]) & (train | checked))
+    return kept
 
 
 def pair_counts(
@@ -58,47 +77,52 @@ def pair_counts(
     id_col: str,
     text: str,
     cfg: LossConfig,
-) -> DataFrame:
-    """``(variant, prev, cur)`` with its count up to each step, in validation and in the shared sets.
+) -> tuple[DataFrame, list[str]]:
+    """``(prev, cur)`` with its counts, and the names of the mixes.
 
-    Training, validation and shared pairs meet in one aggregation, combined on
-    the map side; no table of pairs is joined with another.
+    The mix ``v`` has the counts ``c{v}_{k}`` up to step k and ``val{v}``; those
+    of the shared sets stand once for all mixes. Training, validation and shared
+    pairs meet in one aggregation, combined on the map side; no table of pairs
+    is joined with another.
     """
     steps = range(1, cfg.steps + 1)
     limits = sizes.select(
         "variant", F.array(*[F.lit(budget * k // cfg.steps) for k in steps], F.col("n_train_tokens")).alias("limits")
     )
-    cuts = token_cuts(offsets, limits)
+    cuts = materialize(token_cuts(offsets, limits), "token-cuts")
     # One row per mix.
-    docs = variants.withColumn("draw", shuffle_key(id_col, cfg.seed)).join(F.broadcast(cuts), "variant")
+    names = sorted({*VARIANTS, *(row["variant"] for row in sizes.select("variant").collect())})
+    docs = variants.withColumn("draw", shuffle_key(id_col, cfg.seed)).where(_touched(cuts.collect(), cfg.steps))
+    docs = docs.join(F.broadcast(cuts), "variant")
     # Settled, so that the filters below repeat neither the tokens nor the cuts.
-    docs = settle(docs.select("variant", "draw", "cuts", text), {"_pairs": _pairs(text)}).drop(text)
+    docs = _with_pairs(docs.select("variant", "draw", "cuts", text), text)
     before = tokens_before(cfg.steps + 1, F.size("_pairs"))
     docs = settle(docs, {f"_t{k}": b for k, b in zip([*steps, "val"], before)}).drop("draw", "cuts")
     # Documents between the budget and the validation part take no further work.
     docs = docs.where((F.col(f"_t{cfg.steps}") > 0) | (F.col("_tval") < F.size("_pairs")))
     rows = docs.select("variant", F.posexplode("_pairs").alias("_i", "_pair"), *[f"_t{k}" for k in [*steps, "val"]])
     rows = rows.where((F.col("_i") < F.col(f"_t{cfg.steps}")) | (F.col("_i") >= F.col("_tval")))
-    own = rows.select(
-        "variant",
-        F.col("_pair.prev").alias("prev"),
-        F.col("_pair.cur").alias("cur"),
-        *[(F.col("_i") < F.col(f"_t{k}")).cast("long").alias(f"c{k}") for k in steps],
-        (F.col("_i") >= F.col("_tval")).cast("long").alias("val"),
-        *[F.lit(0).cast("long").alias(name) for name in SHARED],
-    )
-    tallied = shared.select("shared_set", F.inline(_pairs(text))).groupBy("prev", "cur")
-    tallied = tallied.agg(*[F.count_if(F.col("shared_set") == name).alias(name) for name in SHARED])
-    tallied = tallied.select(
-        F.explode(F.lit(list(VARIANTS))).alias("variant"),
-        "prev",
-        "cur",
-        *[F.lit(0).cast("long").alias(f"c{k}") for k in steps],
-        F.lit(0).cast("long").alias("val"),
-        *SHARED,
-    )
-    counts = [f"c{k}" for k in steps] + ["val", *SHARED]
-    return own.unionByName(tallied).groupBy("variant", "prev", "cur").agg(*[F.sum(c).alias(c) for c in counts])
+    # A pair's first step, 0 for none, doubled, and one more in validation.
+    step = F.coalesce(*[F.when(F.col("_i") < F.col(f"_t{k}"), F.lit(2 * k)) for k in steps], F.lit(0))
+    place = step + (F.col("_i") >= F.col("_tval")).cast("int")
+    mix = F.coalesce(*[F.when(F.col("variant") == v, F.lit(i)) for i, v in enumerate(names)])
+    width = 2 * cfg.steps + 2
+    own = rows.select(F.col("_pair.prev").alias("prev"), F.col("_pair.cur").alias("cur"), (mix * width + place).alias("place"))
+    held = _with_pairs(shared.select("shared_set", text), text).select("shared_set", F.inline("_pairs"))
+    at = F.coalesce(*[F.when(F.col("shared_set") == name, F.lit(-1 - i)) for i, name in enumerate(SHARED)])
+    held = held.select("prev", "cur", at.alias("place"))
+    counted = own.unionByName(held).groupBy("prev", "cur", "place").agg(F.count(F.lit(1)).alias("n"))
+
+    def sum_at(test: Column) -> Column:
+        return F.sum(F.when(test, F.col("n")).otherwise(F.lit(0)))
+
+    sums = [sum_at(F.col("place") == -1 - i).alias(name) for i, name in enumerate(SHARED)]
+    for i, v in enumerate(names):
+        begin, here = i * width, F.col("place") - F.lit(i * width)
+        inside = here.between(0, width - 1)
+        sums += [sum_at((F.col("place") >= begin + 2) & (here < 2 * k + 2)).alias(f"c{i}_{k}") for k in steps]
+        sums.append(sum_at(inside & (here % 2 == 1)).alias(f"val{i}"))
+    return counted.groupBy("prev", "cur").agg(*sums), names
 
 
 def mix_curve(
@@ -111,42 +135,57 @@ def mix_curve(
     offsets = document_offsets(variants, id_col, text, cfg.seed)
     sizes = materialize(stream_sizes(offsets, cfg.val_fraction), "stream-sizes")
     budget = equal_budget(sizes, cfg.budget)
-    pairs = materialize(pair_counts(variants, shared, offsets, sizes, budget, id_col, text, cfg), "pair-counts")
+    counted, names = pair_counts(variants, shared, offsets, sizes, budget, id_col, text, cfg)
+    pairs = materialize(counted, "pair-counts")
     n_pairs = pairs.count()
     n_vocabulary = pairs.select("cur").distinct().count()
 
     steps = range(1, cfg.steps + 1)
+    trained = [f"{i}_{k}" for i in range(len(names)) for k in steps]
 
     def totals(word: str, prefix: str) -> DataFrame:
-        sums = [F.sum(f"c{k}").alias(f"{prefix}{k}") for k in steps]
-        return pairs.groupBy("variant", word).agg(*sums, F.count(F.lit(1)).alias("n_rows"))
-
-    known = join_groups(pairs, totals("prev", "h"), ["variant", "prev"], n_pairs)
-    known = join_groups(known, totals("cur", "u"), ["variant", "cur"], n_pairs)
-    per_step = F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("step"),
-                F.lit(budget * k // cfg.steps).cast("long").alias("tokens"),
-                F.col(f"c{k}").alias("c"),
-                F.col(f"h{k}").alias("h"),
-                F.col(f"u{k}").alias("u"),
-            )
-            for k in steps
-        ]
-    )
-    long = known.select("variant", "val", *SHARED, F.inline(per_step))
-    low = (F.col("u") + 1) / (F.col("tokens") + F.lit(n_vocabulary))
-    p = F.when(F.col("h") > 0, cfg.weight * F.col("c") / F.col("h") + (1 - cfg.weight) * low).otherwise(low)
-    long = long.withColumn("_nll", -F.log(p))
-
-    def loss(n: str) -> Column:
-        return F.round(F.when(F.sum(n) > 0, F.sum(F.col(n) * F.col("_nll")) / F.sum(n)), 6)
-
-    curve = long.groupBy("variant", "step", "tokens").agg(
-        loss("c").alias("train_loss"), loss("val").alias("val_loss"), *[loss(n).alias(c) for n, c in SHARED.items()]
-    )
-    return materialize(curve, "mix-curve"), sizes
+        sums = [F.sum(f"c{at}").alias(f"{prefix}{at}") for at in trained]
+        return pairs.groupBy(word).agg(*sums, F.count(F.lit(1)).alias("n_rows"))
+
+    known = join_groups(pairs, totals("prev", "h"), ["prev"], n_pairs)
+    known = join_groups(known, totals("cur", "u"), ["cur"], n_pairs)
+    mixes = [
+        F.struct(
+            F.lit(v).alias("variant"),
+            F.col(f"val{i}").alias("val"),
+            *[(F.col(name) if v in VARIANTS else F.lit(0).cast("long")).alias(name) for name in SHARED],
+            *[F.col(f"{prefix}{i}_{k}").alias(f"{prefix}{k}") for prefix in "chu" for k in steps],
+        )
+        for i, v in enumerate(names)
+    ]
+    parts = ["val", *SHARED]
+    # A pair that a mix neither trains nor is judged on adds nothing to its losses.
+    wide = known.select(F.inline(F.array(*mixes)))
+    wide = wide.where((F.col(f"c{cfg.steps}") > 0) | (F.col("val") > 0) | (F.col("filtered") > 0) | (F.col("unfiltered") > 0))
+
+    def nll(k: int) -> Column:
+        low = (F.col(f"u{k}") + 1) / (F.lit(budget * k // cfg.steps).cast("long") + F.lit(n_vocabulary))
+        p = F.when(F.col(f"h{k}") > 0, cfg.weight * F.col(f"c{k}") / F.col(f"h{k}") + (1 - cfg.weight) * low).otherwise(low)
+        return -F.log(p)
+
+    scored = wide.select("variant", *parts, *[f"c{k}" for k in steps], *[nll(k).alias(f"nll{k}") for k in steps])
+    weighed = [F.sum(F.col(n) * F.col(f"nll{k}")).alias(f"{n}_{k}") for k in steps for n in [f"c{k}", *parts]]
+    sums = scored.groupBy("variant").agg(*weighed, *[F.sum(n).alias(n) for n in [*parts, *[f"c{k}" for k in steps]]])
+
+    def loss(n: str, k: int) -> Column:
+        return F.round(F.when(F.col(n) > 0, F.col(f"{n}_{k}") / F.col(n)), 6)
+
+    points = [
+        F.struct(
+            F.lit(k).alias("step"),
+            F.lit(budget * k // cfg.steps).cast("long").alias("tokens"),
+            loss(f"c{k}", k).alias("train_loss"),
+            loss("val", k).alias("val_loss"),
+            *[loss(n, k).alias(c) for n, c in SHARED.items()],
+        )
+        for k in steps
+    ]
+    return materialize(sums.select("variant", F.inline(F.array(*points))), "mix-curve"), sizes
 
 
 def mix_results(curve: DataFrame, sizes: DataFrame, steps: int = LossConfig.steps) -> DataFrame:

@@ -129,3 +129,30 @@ def test_blocks_move_strings_without_a_sort_of_texts(spark):
     order = sorted([1, 2, 3], key=lambda i: __import__("hashlib").md5(f"1234:{i}".encode()).hexdigest())
     stream = [t for i in order for t in ({1: ["a", "b", "c", "d"], 2: [], 3: ["e", "f"]}[i] + [token_stream.END])]
     assert all(x == stream[2 * k : 2 * k + 2] and y == stream[2 * k + 1 : 2 * k + 3] for k, (x, y) in made.items())
+
+
+def test_a_mix_is_tokenized_only_where_its_cuts_need_it(spark):
+    rows = [("raw", f"d{i}", "a b c") for i in range(400)]
+    df = spark.createDataFrame(rows, "variant string, id string, text string")
+    offsets = token_stream.document_offsets(df)
+    limits = spark.createDataFrame([("raw", [40, 80, 1440])], "variant string, limits array<long>")
+    cuts = token_stream.token_cuts(offsets, limits).collect()
+    drawn = df.withColumn("draw", token_stream.shuffle_key("id"))
+    # 80 of 1,600 tokens before the budget's end, 160 in validation, four a document; one that a cut falls on.
+    assert drawn.where(ngram_lm._touched(cuts, 2)).count() == 21 + 40
+    # No cut: all before the end. A cut in a document without a draw: all after it.
+    assert drawn.where(ngram_lm._touched([{"variant": "raw", "cuts": []}], 2)).count() == 400
+    none = [{"i": 1, "draw": None}, {"i": 2, "draw": "g"}]
+    assert drawn.where(ngram_lm._touched([{"variant": "raw", "cuts": none}], 2)).count() == 0
+    assert drawn.withColumn("draw", F.lit(None).cast("string")).where(ngram_lm._touched(cuts, 2)).count() == 400
+
+
+def test_a_pair_of_all_mixes_and_sets_is_one_row(spark):
+    df = spark.createDataFrame([(v, "d", "a b") for v in mixes.VARIANTS], "variant string, id string, text string")
+    shared = spark.createDataFrame([("filtered", "x", "a b")], "shared_set string, id string, text string")
+    offsets = token_stream.document_offsets(df)
+    sizes = token_stream.stream_sizes(offsets)
+    counted, names = ngram_lm.pair_counts(df, shared, offsets, sizes, 2, "id", "text", LossConfig(steps=2))
+    assert names == sorted(mixes.VARIANTS) and counted.count() == 3
+    r = counted.where("cur = 'b'").first()
+    assert (r.prev, r.filtered, r.unfiltered, r.c0_1, r.c0_2, r.val0, r.c2_2) == ("a", 1, 0, 0, 1, 0, 1)
