@@ -44,19 +44,34 @@ def _flat(at: pa.ListArray, q: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np
 
 def _nearest(place: np.ndarray, value: np.ndarray, row: np.ndarray, n_rows: int, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nearest centre of each row (of equally near ones the first), and the squared distance to it."""
-    scores = np.empty((len(centres), n_rows), dtype=np.int64)
+    best, distance = _nearest_of_each(place, value, row, n_rows, centres[None])
+    return best[0], distance[0]
+
+
+def _nearest_of_each(place: np.ndarray, value: np.ndarray, row: np.ndarray, n_rows: int, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_nearest` for each start (starts x rows); a term's places in all centres lie side by side.
+
+    Doubles hold the products and their sums exactly: whole numbers below 2^53.
+    """
+    starts, k, width = centres.shape
+    by_term = np.ascontiguousarray(centres.reshape(starts * k, width).T).astype(np.float64)
     ends = np.searchsorted(row, np.arange(n_rows + 1))
-    for k, centre in enumerate(centres):
-        products = np.concatenate([np.zeros(1, np.int64), np.cumsum(value * centre[place])])
-        scores[k] = int((centre.astype(np.int64) ** 2).sum()) - 2 * (products[ends[1:]] - products[ends[:-1]])
+    weights = value.astype(np.float64)
+    products = np.empty((n_rows, starts * k))
+    for r, (begin, end) in enumerate(zip(ends[:-1], ends[1:])):
+        np.dot(weights[begin:end], by_term[place[begin:end]], out=products[r])
+    lengths = (centres.reshape(starts * k, width).astype(np.int64) ** 2).sum(axis=1)
+    scores = (lengths - 2 * products.astype(np.int64)).reshape(n_rows, starts, k)
+    best = scores.argmin(axis=2)
     squares = np.concatenate([np.zeros(1, np.int64), np.cumsum(value * value)])
-    best = scores.argmin(axis=0)
-    return best, scores[best, np.arange(n_rows)] + squares[ends[1:]] - squares[ends[:-1]]
+    own = squares[ends[1:]] - squares[ends[:-1]]
+    return best.T, np.take_along_axis(scores, best[:, :, None], 2)[:, :, 0].T + own
 
 
 def _pass(vectors: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
     """For each start: sums (clusters x terms), rows of each cluster, and the summed squared distances."""
     k, width = next(iter(centres.values())).shape
+    stacked = np.stack(list(centres.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {i: np.zeros((k, width), np.int64) for i in centres}
@@ -64,9 +79,11 @@ def _pass(vectors: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple
         cost = dict.fromkeys(centres, 0)
         for batch in batches:
             place, value, row = _flat(batch.column(0), batch.column(1))
-            for i, c in centres.items():
-                best, distance = _nearest(place, value, row, batch.num_rows, c)
-                np.add.at(sums[i], (best[row], place), value)
+            found = _nearest_of_each(place, value, row, batch.num_rows, stacked)
+            for i, best, distance in zip(centres, *found):
+                # Whole numbers below 2^53, so exact in doubles.
+                added_up = np.bincount(best[row] * width + place, weights=value, minlength=k * width)
+                sums[i] += added_up.reshape(k, width).astype(np.int64)
                 rows[i] += np.bincount(best, minlength=k)
                 cost[i] += int(distance.sum())
         # A row for each cluster: its sums as one piece of bytes, its rows; the first one's carries the cost.

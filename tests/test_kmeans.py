@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from sievemark.operators import kmeans, topics
@@ -65,3 +67,18 @@ def test_equal_vectors_and_empty_clusters(spark):
     frame = spark.createDataFrame([(i, [0], [kmeans.SCALE]) for i in range(5)], "id long, at array<int>, q array<int>")
     got = kmeans.fit_centres(frame, F.col("id"), 2, 3, 2)
     assert got.cost == 0 and frame.select(got.label("at", "q").alias("c")).distinct().collect()[0].c == 0
+
+
+def test_all_starts_are_compared_at_once():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(0, 9, 50)
+    sizes[[0, 49]], sizes[7] = 0, 20_000
+    row = np.repeat(np.arange(50), sizes)
+    place, value = rng.integers(0, 40, len(row)), rng.integers(1, kmeans.SCALE, len(row))
+    centres = rng.integers(0, kmeans.SCALE, (3, 4, 40)).astype(np.int32)
+    best, distance = kmeans._nearest_of_each(place, value, row, 50, centres)
+    for i in range(3):
+        for r in range(50):
+            p, v = place[row == r], value[row == r]
+            far = [int((c.astype(int) ** 2).sum()) - 2 * int((c[p].astype(int) * v).sum()) + int((v * v).sum()) for c in centres[i]]
+            assert (best[i, r], distance[i, r]) == (int(np.argmin(far)), min(far))
