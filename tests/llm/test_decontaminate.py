@@ -84,3 +84,17 @@ def test_the_projection_follows_every_document(spark):
     want = vectors[:, np.argsort(values)[::-1][:2]]
     found = index.projection[:-1] / idf[:, None]
     assert np.allclose(np.abs(want), np.abs(found), atol=1e-5)
+
+
+def test_words_of_ascii_texts_are_cut_without_matching(monkeypatch):
+    texts = ["".join(map(chr, range(128))) * 2, "It's a_b, X-1.5\tY\x1fz\n", "", "Ünïcode_and ²½ 水 x", "K b", "İ x"]
+    want = [decontaminate.WORD.findall(t.lower()) for t in texts]
+    assert [decontaminate.words_of(t) for t in texts] == want
+
+    class Never:
+        def findall(self, text):
+            assert not text.isascii()
+            return []
+
+    monkeypatch.setattr(decontaminate, "WORD", Never())
+    assert decontaminate.words_of(texts[1]) == want[1] != []
