@@ -3,7 +3,8 @@
 Chen and Goodman, "An empirical study of smoothing techniques for language
 modeling", 1999, for word pairs (order 2) or triples (order 3). Pairs are counted in Spark: tasks combine
 their own pairs, pieces meet by shard, and each shard becomes sorted arrays of
-64-bit hashes with their counts, a byte each and larger ones apart, in files below a shared folder. Workers map
+64-bit hashes, six bytes each behind the places where their first 16 bits change, with their counts, a byte each
+and larger ones apart, in files below a shared folder. Workers map
 these files into memory and look batches of sorted hashes up in them.
 
 Every word is a context exactly as often as it stands in the text, so the
@@ -150,19 +151,28 @@ def _combine(v: np.ndarray, w: np.ndarray, c: np.ndarray, *last: np.ndarray) ->
     return v[first], w[first], np.add.reduceat(c, first) if len(v) else c, *(x[first] for x in last)
 
 
-def _parts(v: np.ndarray, w: np.ndarray, c: np.ndarray, last: np.ndarray, heavy: np.ndarray, shards: int) -> list[tuple]:
-    """(shard, contexts, how many words each has, words, counts, last words of the contexts) of combined counts."""
+def _parts(v: np.ndarray, w: np.ndarray, c: np.ndarray, last: np.ndarray, heavy: np.ndarray, shards: int, order: int = 2) -> list[tuple]:
+    """(shard, contexts, how many words each has, words, counts, last words of the contexts) of combined counts.
+
+    With order 2 the contexts are words themselves, and the last words are left out.
+    """
     shard = np.where(np.isin(v, heavy), shard_of(pair_hash(v, w), shards), shard_of(v, shards))
-    order = np.argsort(shard, kind="stable")  # within a shard still by context
-    v, w, c, last, shard = v[order], w[order], c[order], last[order], shard[order]
+    dealt = np.argsort(shard, kind="stable")  # within a shard still by context
+    v, w, c, last, shard = v[dealt], w[dealt], c[dealt], last[dealt], shard[dealt]
     rows = []
     for s, a, b in _runs(shard):
         first = np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1]]))
         n = np.diff(np.append(first, b - a))
-        rows.append((s, v[a:b][first].tobytes(), _narrow(n), _six(w[a:b]), _narrow(c[a:b]), last[a:b][first].tobytes()))
+        rows.append((s, _bound(_split(v[a:b][first])), _narrow(n), _coded(w[a:b]), _narrow(c[a:b]), _coded(last[a:b][first]) if order == 3 else b""))
     return rows
 
 
+def _from_part(v: bytes, n: bytes, w: bytes, c: bytes, last: bytes = b"") -> tuple[np.ndarray, ...]:
+    """What a row of :func:`_parts` holds but its shard."""
+    contexts, words = _whole(*_unbound(v)), _decoded(w)
+    return contexts, _wide(n, len(contexts)), words, _wide(c, len(words)), _decoded(last) if last else contexts
+
+
 def _narrow(n: np.ndarray) -> bytes:
     """Counts with as many bytes each as the largest needs."""
     return n.astype(np.min_scalar_type(int(n.max()))).tobytes() if len(n) else b""
@@ -184,6 +194,82 @@ def _from_six(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
+def _bound(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of unsigned numbers as one run of bytes, each at a multiple of eight."""
+    head = np.array([len(arrays), *[x for a in arrays for x in (a.itemsize, *a.shape, -1)[:3]]], dtype=np.int64)
+    return b"".join([head.tobytes(), *[x for a in arrays for x in (a.tobytes(), bytes(-a.nbytes % 8))]])
+
+
+def _unbound(data: np.ndarray | bytes) -> list[np.ndarray]:
+    """The arrays of :func:`_bound`, as views."""
+    data = np.frombuffer(data, np.uint8) if isinstance(data, bytes) else data
+    n = int(data[:8].view(np.int64)[0])
+    out, at = [], 8 + 24 * n
+    for size, rows, columns in data[8:at].view(np.int64).reshape(n, 3).tolist():
+        length = size * rows * abs(columns)
+        found = data[at : at + length].view(f"u{size}")
+        out.append(found if columns < 0 else found.reshape(rows, columns))
+        at += length + -length % 8
+    return out
+
+
+def _coded(x: np.ndarray) -> bytes:
+    """Numbers of which many repeat: the distinct ones, and their places among these."""
+    known, at = np.unique(x, return_inverse=True)
+    six = not len(known) or int(known[-1]) < 1 << 48
+    known = np.frombuffer(_six(known), np.uint8) if six else known
+    return _bound([known, at.astype(np.min_scalar_type(max(len(x) and int(at.max()), 0)))])
+
+
+def _decoded(data: bytes) -> np.ndarray:
+    known, at = _unbound(data)
+    return (_from_six(known.tobytes()) if known.itemsize == 1 else known)[at]
+
+
+def _split(keys: np.ndarray) -> list[np.ndarray]:
+    """Sorted hashes as their last 48 bits, 32 and 16, and where each value of the first 16 begins; whole if that is shorter."""
+    top = (keys >> np.uint64(48)).astype(np.int64)
+    first = int(top[0]) if len(top) else 0
+    begins = np.cumsum(np.bincount(top - first + 1)) if len(top) else np.zeros(1, np.int64)
+    if len(keys) <= 2 * len(begins):
+        return [keys, np.empty(0, np.uint32), np.empty(0, np.uint32), np.empty(0, np.uint16)]
+    return [np.array([first], np.uint64), begins.astype(np.uint32), (keys >> np.uint64(16)).astype(np.uint32), keys.astype(np.uint16)]
+
+
+def _whole(keys: np.ndarray, begins: np.ndarray, middle: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The hashes of :func:`_split`."""
+    if not len(begins):
+        return keys
+    top = np.repeat(np.arange(len(begins) - 1, dtype=np.uint64) + keys[0], np.diff(begins.astype(np.int64)))
+    return top << np.uint64(48) | middle.astype(np.uint64) << np.uint64(16) | low.astype(np.uint64)
+
+
+def _places(keys: np.ndarray, begins: np.ndarray, middle: np.ndarray, low: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``wanted`` hashes stand among those of :func:`_split`, and whether they do."""
+    if not len(begins):
+        if not len(keys):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return at, keys[at] == wanted
+    bucket = (wanted >> np.uint64(48)).astype(np.int64) - int(keys[0])
+    inside = (bucket >= 0) & (bucket < len(begins) - 1)
+    bucket = np.where(inside, bucket, 0)
+    begin, stop = begins[bucket].astype(np.int64), begins[bucket + 1].astype(np.int64)
+    end, last = np.where(inside, stop, begin), len(middle) - 1
+    stop, part, rest = end, (wanted >> np.uint64(16)).astype(np.uint32), wanted.astype(np.uint16)
+    while (some := begin < end).any():  # halve each one's range, which holds few
+        at = (begin + end) >> 1
+        below = some & (middle[np.minimum(at, last)] < part)
+        begin, end = np.where(below, at + 1, begin), np.where(some & ~below, at, end)
+    while True:  # hashes with the same 48 bits in front are next to each other
+        near = np.minimum(begin, last)
+        same = (begin < stop) & (middle[near] == part)
+        ahead = same & (low[near] < rest)
+        if not ahead.any():
+            return near, same & (low[near] == rest)
+        begin = begin + ahead
+
+
 def _runs(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(value, begin, end) of the runs of a sorted array."""
     if len(shard):
@@ -192,20 +278,62 @@ def _runs(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(shard[a]), a, b
 
 
-def _save(folder: str, name: str, array: np.ndarray) -> None:
+def _short(counts: np.ndarray) -> list[np.ndarray]:
+    """A byte each; those of FULL or more lie whole in a second array, by place.
+
+    Rows of statistics are a byte too, the place of the row among the most
+    frequent ones, which are a third array; other rows lie in the second.
+    """
+    if counts.ndim == 1:
+        large = np.flatnonzero(counts >= FULL)
+        return [np.minimum(counts, FULL).astype(np.uint8), np.stack([large, counts[large]]).astype(np.uint64)]
+    small = (counts < 1 << 16).all(axis=1)
+    codes = counts @ np.array([1 << 48, 1 << 32, 1 << 16, 1], dtype=np.int64)  # those of other rows are not used
+    known, at, n = np.unique(codes[small], return_inverse=True, return_counts=True)
+    often = np.sort(np.argsort(-n, kind="stable")[:FULL])
+    place = np.full(len(known), FULL, dtype=np.int64)
+    place[often] = np.arange(len(often))
+    short = np.full(len(counts), FULL, dtype=np.uint8)
+    short[small] = place[at]
+    large = np.flatnonzero(short == FULL)
+    whole = np.concatenate([large[None, :], counts[large].T])
+    kinds = np.stack([known[often].astype(np.uint64) >> np.uint64(k) & np.uint64(0xFFFF) for k in (48, 32, 16, 0)], axis=1)
+    return [short, whole.astype(np.min_scalar_type(int(whole.max(initial=0)))), kinds.astype(np.uint64)]
+
+
+def _longer(at: np.ndarray, short: np.ndarray, large: np.ndarray, *kinds: np.ndarray) -> np.ndarray:
+    """The counts or rows of :func:`_short` at some places."""
+    found = short[at]
+    full = np.flatnonzero(found == FULL)
+    if not kinds:
+        out = found.astype(np.int64)
+        if len(full):
+            out[full] = large[1][np.searchsorted(large[0], at[full])]
+        return out
+    out = np.zeros((len(at), 4), dtype=np.int64)
+    known = found < FULL
+    out[known] = kinds[0][found[known]]
+    if len(full):
+        out[full] = large[1:, np.searchsorted(large[0], at[full])].T
+    return out
+
+
+def _written(folder: str, name: str, arrays: list[np.ndarray]) -> None:
     """Written aside and renamed, so a repeated task replaces the file as a whole."""
     aside = f"{folder}/.{name}-{os.getpid()}-{os.urandom(4).hex()}"
     with open(aside, "wb") as file:
-        np.save(file, array)
+        np.save(file, np.frombuffer(_bound(arrays), np.uint8))
     os.replace(aside, f"{folder}/{name}.npy")
 
 
+def _save(folder: str, name: str, keys: np.ndarray) -> None:
+    """Sorted hashes, one file."""
+    _written(folder, name, _split(keys))
+
+
 def _save_counts(folder: str, name: str, counts: np.ndarray) -> None:
-    """A byte each; those of FULL or more lie whole in a second file, by place."""
-    flat = counts.ravel()
-    large = np.flatnonzero(flat >= FULL)
-    _save(folder, name, np.minimum(counts, FULL).astype(np.uint8))
-    _save(folder, f"{name}-large", np.stack([large, flat[large]]).astype(np.int64))
+    """Counts or rows of statistics, one file."""
+    _written(folder, name, _short(counts))
 
 
 def local_path(folder: str) -> str:
@@ -250,38 +378,25 @@ class PairModel:
     def __getstate__(self):
         return self.__dict__ | {"_open": {}}
 
-    def _map(self, name: str) -> np.ndarray:
+    def _map(self, name: str) -> list[np.ndarray]:
         if name not in self._open:
-            self._open[name] = np.load(f"{self.folder}/{name}.npy", mmap_mode="r")
+            self._open[name] = _unbound(np.load(f"{self.folder}/{name}.npy", mmap_mode="r").view(np.ndarray))
         return self._open[name]
 
     def _look(self, keys: np.ndarray, shard: np.ndarray, name: str, values: str) -> np.ndarray:
-        """Rows of ``values`` for keys in ascending shards; zeros where a key is not there."""
-        out = None
+        """Counts or statistics ``values`` of keys in ascending shards; zeros where a key is not there."""
+        out = np.zeros((len(keys), 4) if name.endswith("context") else len(keys), dtype=np.int64)
         for s, a, b in _runs(shard):
-            known, rows, large = (self._map(f) for f in (f"{name}-{s:05d}", f"{values}-{s:05d}", f"{values}-{s:05d}-large"))
-            if out is None:
-                out = np.zeros((len(keys), *rows.shape[1:]), dtype=np.int64)
-            if not len(known):
-                continue
+            known, rows = self._map(f"{name}-{s:05d}"), self._map(f"{values}-{s:05d}")
             order = np.argsort(keys[a:b])  # ascending keys walk the file once
-            wanted = keys[a:b][order]
-            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-            hit = known[at] == wanted
-            found = rows[at[hit]].astype(np.int64)
-            full = np.flatnonzero(found == FULL)
-            if len(full):
-                width = found.size // len(found)
-                place = at[hit][full // width] * width + full % width
-                found.ravel()[full] = large[1][np.searchsorted(large[0], place)]
-            out[a + order[hit]] = found
-        return out if out is not None else np.zeros((len(keys),), dtype=np.int64)
+            at, hit = _places(*known, keys[a:b][order])
+            out[a + order[hit]] = _longer(at[hit], *rows)
+        return out
 
     def contexts(self, v: np.ndarray, name: str = "context") -> np.ndarray:
         """(n, 4) statistics of sorted contexts."""
         heavy, heavy_stats = (self.heavy, self.heavy_stats) if name == "context" else (self.heavy_pairs, self.heavy_pair_stats)
-        out = self._look(v, shard_of(v, self.shards), name, f"{name}-stats").reshape(len(v), -1)
-        out = out if out.shape[1] == 4 else np.zeros((len(v), 4), dtype=np.int64)
+        out = self._look(v, shard_of(v, self.shards), name, f"{name}-stats")
         if len(heavy):
             at = np.minimum(np.searchsorted(heavy, v), len(heavy) - 1)
             hit = heavy[at] == v
@@ -394,7 +509,7 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         held: list[tuple[np.ndarray, ...]] = []
 
         def pieces() -> Iterator[pa.RecordBatch]:
-            rows = _parts(*_combine(*(np.concatenate(x) for x in zip(*held))), heavy if order == 2 else heavy_pairs, shards)
+            rows = _parts(*_combine(*(np.concatenate(x) for x in zip(*held))), heavy if order == 2 else heavy_pairs, shards, order)
             kinds = [pa.int32(), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=part_names)
             held.clear()
@@ -420,7 +535,7 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         if not blobs:
             return
         shard = blobs[0].column(0)[0].as_py()
-        parts = [(np.frombuffer(v, np.uint64), _wide(n, len(v) // 8), _from_six(w), _wide(c, len(w) // 6), np.frombuffer(x, np.uint64)) for b in blobs for v, n, w, c, x in zip(*(b.column(k).to_pylist() for k in range(1, 6)))]
+        parts = [_from_part(*row) for b in blobs for row in zip(*(b.column(k).to_pylist() for k in range(1, 6)))]
         v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         last = np.concatenate([np.repeat(p[4], p[1]) for p in parts])
         v, w, c, last = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]), last)
@@ -467,7 +582,7 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         if not blobs:
             return
         shard = blobs[0].column(0)[0].as_py()
-        parts = [(np.frombuffer(v, np.uint64), _wide(n, len(v) // 8), _from_six(w), _wide(c, len(w) // 6)) for b in blobs for v, n, w, c in zip(*(b.column(k).to_pylist() for k in range(1, 5)))]
+        parts = [_from_part(*row) for b in blobs for row in zip(*(b.column(k).to_pylist() for k in range(1, 5)))]
         v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         v, w, c = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
         del parts, blobs
