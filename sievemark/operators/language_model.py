@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from typing import Protocol
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import HashingTF, NGram, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import settle, tokens
@@ -19,15 +21,81 @@ N_FEATURES = 1 << 14
 SMOOTHING = 0.01  # small, so that the many unused features do not outweigh a short training text
 
 
+KNOWN_RUNS = 1 << 20  # a worker keeps the buckets of so many runs
+
+
+def _letters(text: str) -> Column:
+    """The lower-cased letters, all else between them as one ``_``."""
+    return F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+", "_")
+
+
 def with_character_grams(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add the runs of one to three characters of the lower-cased letters and single spaces."""
-    letters = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+", "_")
-    grams = df.withColumn("_chars", F.split(letters, ""))
+    grams = df.withColumn("_chars", F.split(_letters(text), ""))
     for n in (2, 3):
         grams = NGram(n=n, inputCol="_chars", outputCol=f"_run{n}").transform(grams)
     return grams.withColumn(out, F.concat("_chars", "_run2", "_run3")).drop("_chars", "_run2", "_run3")
 
 
+def murmur3(rows: np.ndarray, seed: int = 42) -> np.ndarray:
+    """32-bit Murmur3 of each row of bytes, as HashingTF takes it of strings."""
+    turn = lambda x, k: x << np.uint32(k) | x >> np.uint32(32 - k)
+    mixed = lambda k: turn(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+    n, width = rows.shape
+    h = np.full(n, seed, dtype=np.uint32)
+    for at in range(0, width - 3, 4):
+        word = np.ascontiguousarray(rows[:, at : at + 4]).view("<u4").ravel()
+        h = turn(h ^ mixed(word), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    rest = np.zeros(n, dtype=np.uint32)
+    for k, at in enumerate(range(width - width % 4, width)):
+        rest |= rows[:, at].astype(np.uint32) << np.uint32(8 * k)
+    h = h ^ mixed(rest) ^ np.uint32(width)
+    h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+    h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+    return h ^ h >> np.uint32(16)
+
+
+@dataclass
+class RunCounts:
+    """Counts of a text's runs of one to three characters by bucket: what HashingTF makes of :func:`with_character_grams`.
+
+    A text's distinct runs are found as numbers, and only runs not met before
+    are spelled and hashed.
+    """
+
+    buckets: dict[int, int] = field(default_factory=dict)
+
+    def __call__(self, letters: str) -> SparseVector:
+        chars = np.frombuffer(letters.encode("utf-32-le"), dtype="<u4").astype(np.int64) + 1
+        one, two = chars, chars[:-1] << 21 | chars[1:]
+        runs = np.concatenate([one, two, two[:-1] << 21 | chars[2:]])
+        # An empty text is one empty run.
+        runs, n = np.unique(runs, return_counts=True) if len(runs) else (np.zeros(1, np.int64), np.ones(1, np.int64))
+        keys = runs.tolist()
+        new = [k for k in keys if k not in self.buckets]
+        if new:
+            if len(self.buckets) > KNOWN_RUNS:
+                self.buckets.clear()
+                new = keys
+            self._hash(new)
+        found = np.fromiter(map(self.buckets.__getitem__, keys), np.int64, len(keys))
+        totals = np.bincount(found, weights=n, minlength=N_FEATURES)
+        at = np.flatnonzero(totals)
+        return SparseVector(N_FEATURES, at, totals[at])
+
+    def _hash(self, keys: list[int]) -> None:
+        by_width: dict[int, tuple[list[int], list[bytes]]] = {}
+        for key in keys:
+            chars = [chr((key >> k & 0x1FFFFF) - 1) for k in (42, 21, 0) if key >> k]
+            spelled = " ".join(chars).encode()
+            known, rows = by_width.setdefault(len(spelled), ([], []))
+            known.append(key)
+            rows.append(spelled)
+        for width, (known, rows) in by_width.items():
+            hashes = murmur3(np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), width))
+            self.buckets.update(zip(known, (hashes % np.uint32(N_FEATURES)).tolist()))
+
+
 class Languages(Protocol):
     """What the language filter asks of a model."""
 
@@ -51,8 +119,7 @@ class LanguageModel:
 
 
 def _hashed(df: DataFrame, text: str) -> DataFrame:
-    grams = with_character_grams(df, text, "_grams")
-    return HashingTF(numFeatures=N_FEATURES, inputCol="_grams", outputCol="_features").transform(grams).drop("_grams")
+    return df.withColumn("_features", F.udf(RunCounts(), VectorUDT(), useArrow=False)(_letters(text)))
 
 
 MAX_LABELS = 500  # more is no set of languages
