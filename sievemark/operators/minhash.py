@@ -117,19 +117,30 @@ def _signatures(docs: pa.ListArray, n: int, a: np.ndarray, b: np.ndarray) -> tup
 
 
 def _minima(hashes: np.ndarray, counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """(documents, permutations) minima; every count is positive."""
+    """(documents, permutations) minima; every count is positive.
+
+    All permutations work in the same two arrays of a tile: new ones for each
+    step would cost more than the arithmetic.
+    """
     ends = np.cumsum(counts)
-    out = np.full((len(counts), len(a)), PRIME, dtype=np.uint64)
+    out = np.full((len(a), len(counts)), PRIME, dtype=np.uint64)
+    first_buffer, second_buffer = (np.empty(min(TILE, len(hashes)), dtype=np.uint64) for _ in range(2))
+    prime, bits = np.uint64(PRIME), np.uint64(31)
     for start in range(0, len(hashes), TILE):
         tile = hashes[start : start + TILE]
+        x, y = first_buffer[: len(tile)], second_buffer[: len(tile)]
         first = np.searchsorted(ends, start, side="right")
         last = np.searchsorted(ends, start + len(tile), side="left")
         edges = np.maximum(ends[first : last + 1] - counts[first : last + 1] - start, 0)
-        part = out[first : last + 1]
+        part = out[:, first : last + 1]
         for j in range(len(a)):
-            low = np.minimum.reduceat(_mod_prime(tile * a[j] + b[j]), edges)
-            np.minimum(part[:, j], low, out=part[:, j])
-    return out
+            # As _mod_prime does it.
+            np.add(np.multiply(tile, a[j], out=x), b[j], out=x)
+            np.right_shift(x, bits, out=y)
+            np.add(np.bitwise_and(x, prime, out=x), y, out=x)
+            np.minimum(x, np.subtract(x, prime, out=y), out=x)
+            np.minimum(part[j], np.minimum.reduceat(x, edges), out=part[j])
+    return out.T
 
 
 def signature(token_list: Column, cfg: MinhashConfig) -> Column:

@@ -146,3 +146,25 @@ def test_signatures_come_from_bounded_runs(monkeypatch):
     got, has = minhash._signatures(docs, 5, a, b)
     assert np.array_equal(got, want) and np.array_equal(has, counts > 0)
     assert sorted(sizes)[-1] == 500 and sorted(sizes)[-2] <= 100
+
+
+def test_minima_work_in_two_arrays_of_a_tile():
+    import tracemalloc
+
+    import numpy as np
+
+    from sievemark.operators import minhash
+
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, minhash.PRIME, 2 * minhash.TILE + 17, dtype=np.uint64)
+    counts = np.array([7, minhash.TILE, minhash.TILE + 10])
+    a, b = MinhashConfig(num_buckets=1).permutations()
+    tracemalloc.start()
+    got = minhash._minima(hashes, counts, a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ends = np.cumsum(counts)
+    for j in range(len(a)):
+        values = [int((int(x) * int(a[j]) + int(b[j])) % minhash.PRIME) for x in hashes]
+        assert got[:, j].tolist() == [min(values[e - n : e]) for e, n in zip(ends.tolist(), counts.tolist())]
+    assert peak < 3 * 8 * minhash.TILE
