@@ -398,12 +398,16 @@ def shared_sets(spark, folder):
     return _mixes(spark, folder).shared().select("shared_set", ID)
 
 
+def _lengths(spark, folder) -> DataFrame:
+    return _mixes(spark, folder).measured({"n_tokens": token_stream.token_count()})
+
+
 def token_offsets(spark, folder):
-    return token_stream.document_offsets(_mixes(spark, folder).variants(), ID).select("variant", ID, "n_tokens", "offset")
+    return token_stream.document_offsets(_lengths(spark, folder), ID).select("variant", ID, "n_tokens", "offset")
 
 
 def token_budget(spark, folder):
-    sizes = token_stream.stream_sizes(token_stream.document_offsets(_mixes(spark, folder).variants(), ID))
+    sizes = token_stream.stream_sizes(token_stream.document_offsets(_lengths(spark, folder), ID))
     return sizes.withColumn("budget", F.lit(token_stream.equal_budget(sizes, ngram_lm.LossConfig.budget)).cast("long"))
 
 

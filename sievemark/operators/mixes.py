@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.operators.dedup import near_dedup
+from sievemark.operators.dedup import duplicate_clusters, near_dedup
 from sievemark.operators.groups import join_groups
 from sievemark.operators.minhash import MinhashConfig, band_table, bands
 from sievemark.plans.ingest import IngestConfig, clean, ingest
@@ -47,6 +47,20 @@ class Mixes:
         )
         return _stack("variant", dict(zip(VARIANTS, parts)), self.id_col, self.text)
 
+    def measured(self, columns: Mapping[str, Column]) -> DataFrame:
+        """``(variant, id, *columns)``: the rows of :meth:`variants` with columns made of the text in its place.
+
+        Each is computed once for a text, though ``raw`` and ``deduped`` both have it.
+        """
+        slim = self.train_raw.select(self.id_col, *[c.alias(name) for name, c in columns.items()])
+        copies = duplicate_clusters(self.train_raw, self.id_col, self.text, self.cfg, self.raw_bands)
+        flagged = slim.join(copies.select(F.col("id").alias(self.id_col), F.lit(True).alias("_copy")), self.id_col, "left")
+        both = F.when(F.col("_copy"), F.array(F.lit(VARIANTS[0]))).otherwise(F.array(*map(F.lit, VARIANTS[:2])))
+        unfiltered = flagged.select(F.explode(both).alias("variant"), self.id_col, *columns)
+        deduped = near_dedup(self.train_clean, self.id_col, self.text, self.cfg, self.clean_bands)
+        filtered = deduped.select(F.lit(VARIANTS[2]).alias("variant"), self.id_col, *[c.alias(name) for name, c in columns.items()])
+        return unfiltered.unionByName(filtered)
+
     def shared(self) -> DataFrame:
         """``(shared_set, id, text)`` of the held-out sources.
 

@@ -24,14 +24,21 @@ def token_sequence(text: str = "text") -> Column:
     return F.concat(tokens(F.coalesce(F.col(text), F.lit(""))), F.array(F.lit(END)))
 
 
+def token_count(text: str = "text") -> Column:
+    """How many tokens a document has with the end marker."""
+    return F.size(token_sequence(text))
+
+
 def document_offsets(
     docs: DataFrame, id_col: str = "id", text: str = "text", seed: int = 1234, ranges: int | None = None
 ) -> DataFrame:
     """``(variant, id, draw, n_tokens, offset)``: where each document starts in its stream.
 
-    Written once without texts; every later cut works on this slim table.
+    Written once without texts; every later cut works on this slim table. Where
+    ``docs`` has ``n_tokens`` (:func:`token_count`) in place of texts, that is taken.
     """
-    slim = docs.select("variant", id_col, shuffle_key(id_col, seed).alias("draw"), F.size(token_sequence(text)).alias("n_tokens"))
+    n_tokens = F.col("n_tokens") if "n_tokens" in docs.columns and text not in docs.columns else token_count(text)
+    slim = docs.select("variant", id_col, shuffle_key(id_col, seed).alias("draw"), n_tokens.alias("n_tokens"))
     slim = materialize(slim, "document-lengths")
     return materialize(prefix_sum(slim, "draw", "n_tokens", by=["variant"], ranges=ranges), "document-offsets")
 

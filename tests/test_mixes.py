@@ -156,3 +156,19 @@ def test_a_pair_of_all_mixes_and_sets_is_one_row(spark):
     assert names == sorted(mixes.VARIANTS) and counted.count() == 3
     r = counted.where("cur = 'b'").first()
     assert (r.prev, r.filtered, r.unfiltered, r.c0_1, r.c0_2, r.val0, r.c2_2) == ("a", 1, 0, 0, 1, 0, 1)
+
+
+def test_lengths_are_those_of_the_variants_and_counted_once(spark):
+    texts = [*GOOD, NEAR_COPY, *SHORT, "", None, NEAR_COPY] if isinstance(SHORT, list) else [*GOOD, NEAR_COPY, SHORT, "", None, NEAR_COPY]
+    rows = [(k if k != 3 else None, t, "web") for k, t in enumerate(texts)]
+    prepared = mixes.prepare_mixes(spark.createDataFrame(rows, "id bigint, text string, source string"))
+    counted = prepared.measured({"n_tokens": token_stream.token_count()})
+    want = prepared.variants().select("variant", "id", token_stream.token_count().alias("n_tokens"))
+    assert counted.columns == want.columns
+    key = lambda r: (r.variant, r.id is None, r.id or 0, r.n_tokens)
+    assert sorted(counted.collect(), key=key) == sorted(want.collect(), key=key)
+    slim, whole = token_stream.document_offsets(counted), token_stream.document_offsets(prepared.variants())
+    place = lambda df: sorted(df.where("id is not null").select("variant", "draw", "n_tokens", "offset").collect())
+    assert place(slim) == place(whole)
+    split = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("split(lower(")
+    assert split(counted) == 2 < split(want)
