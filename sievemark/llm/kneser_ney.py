@@ -3,7 +3,7 @@
 Chen and Goodman, "An empirical study of smoothing techniques for language
 modeling", 1999, for word pairs (order 2) or triples (order 3). Pairs are counted in Spark: tasks combine
 their own pairs, pieces meet by shard, and each shard becomes sorted arrays of
-64-bit hashes, six bytes each behind the places where their first 16 bits change, with their counts, a byte each
+64-bit hashes, five or six bytes each behind the places where their first bits change, with their counts, a byte each
 and larger ones apart, in files below a shared folder. Workers map
 these files into memory and look batches of sorted hashes up in them.
 
@@ -14,6 +14,8 @@ enough to fill a shard (``heavy``) is dealt out over all shards by its pairs.
 With order 3 the same happens to triples first, whose context is the hash of
 two words (two starts before a text's first word). The pairs then count the
 distinct words before them, and the counts of single words get files of their own.
+Triples are counted and pairs meet for one range of the shards after the other,
+so that the pieces of a single range lie on disk; the texts are read for each.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievemark.storage import discard, materialize, scratch_path, shuffles_removed
+from sievemark.storage import discard, discard_folder, materialize, scratch_path, shuffles_removed
 
 CHUNK = 1_500_000  # bytes of text handled at once
-HELD = 1_500_000  # pairs a task combines before it hands them on
+HELD = 1_500_000  # pairs or tokens a task combines before it hands them on; places of three words of so many fit in 63 bits
+RANGES = 3  # of the shards; pieces of one at a time are shuffled
 HEAVY_SHARE = 1e-3  # share of all words from which a context is dealt out; so there are fewer than 1 / HEAVY_SHARE
+PER_VALUE = 24  # hashes whose first bits are the same, about
 FULL = 255  # a count's byte that says: look in the file of large counts
 START = np.uint64(0x5DEECE66D1234567)
 END = np.uint64(0x2545F4914F6CDD1D)
@@ -106,14 +111,14 @@ class Words:
         return out, sizes
 
 
-def _pieces(column: pa.Array) -> Iterator[list[bytes]]:
-    """The texts of a column, about CHUNK bytes at a time; null texts are empty."""
+def _pieces(column: pa.Array, chunks: int = 1) -> Iterator[list[bytes]]:
+    """The texts of a column, about CHUNK bytes or several times that at a time; null texts are empty."""
     column = column.cast(pa.binary())
     ends = np.cumsum([n or 0 for n in pc.binary_length(column).to_pylist()])
     begin = 0
     while begin < len(column):
         floor = ends[begin - 1] if begin else 0
-        stop = max(begin + 1, int(np.searchsorted(ends, floor + CHUNK, side="right")))
+        stop = max(begin + 1, int(np.searchsorted(ends, floor + chunks * CHUNK, side="right")))
         yield [t or b"" for t in column.slice(begin, stop - begin).to_pylist()]
         begin = stop
 
@@ -134,21 +139,81 @@ def _triples(tokens: np.ndarray, at: np.ndarray, pairs: int, which: np.ndarray)
     return codes // max(pairs, 1), codes % max(pairs, 1), which
 
 
-def _counts(tokens: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, 48-bit words, counts, and the last word of each context."""
+def _counts(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, 48-bit words, counts, and the last word of each context, of pairs."""
     distinct, left, right, which = _pairs(tokens)
-    if order == 2:
-        return distinct[left], distinct[right] >> np.uint64(16), np.bincount(which, minlength=len(left)).astype(np.int64), distinct[left]
-    first, pair, which = _triples(tokens, np.searchsorted(distinct, tokens), len(left), which)
-    last = distinct[left[pair]]
-    return pair_hash(distinct[first], last), distinct[right[pair]] >> np.uint64(16), np.bincount(which, minlength=len(first)).astype(np.int64), last
+    return distinct[left], distinct[right] >> np.uint64(16), np.bincount(which, minlength=len(left)).astype(np.int64), distinct[left]
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Where the runs of equal rows begin."""
+    if not len(columns[0]):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in columns])]))
+
+
+def _summed(v: np.ndarray, w: np.ndarray, c: np.ndarray, *last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hashes of the distinct pairs in ascending order, the pairs, and their summed counts."""
+    keys = pair_hash(v, w)
+    order = np.argsort(keys)
+    keys, v, w, c, *last = (x[order] for x in (keys, v, w, c, *last))
+    first = _begins(keys, v, w)
+    return keys[first], v[first], w[first], np.add.reduceat(c, first) if len(v) else c, *(x[first] for x in last)
 
 
 def _combine(v: np.ndarray, w: np.ndarray, c: np.ndarray, *last: np.ndarray) -> tuple[np.ndarray, ...]:
-    order = np.lexsort((w, v))
-    v, w, c, *last = (x[order] for x in (v, w, c, *last))
-    first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])])) if len(v) else np.empty(0, np.int64)
-    return v[first], w[first], np.add.reduceat(c, first) if len(v) else c, *(x[first] for x in last)
+    """Distinct pairs by context, with their summed counts."""
+    _, v, *rest = _summed(v, w, c, *last)
+    order = np.argsort(v)
+    return v[order], *(x[order] for x in rest)
+
+
+def _among(v: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which of ``v`` are among a few sorted ones."""
+    out = np.zeros(len(v), bool)
+    if len(few):
+        begun = np.zeros(1 << 16, bool)
+        begun[few >> np.uint64(48)] = True
+        some = np.flatnonzero(begun[v >> np.uint64(48)])
+        out[some] = few[np.minimum(np.searchsorted(few, v[some]), len(few) - 1)] == v[some]
+    return out
+
+
+def _in_range(v: np.ndarray, w: np.ndarray, heavy: np.ndarray, shards: int, part: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which triples lie in the shards of a range, and their shards."""
+    shard = shard_of(v, shards)
+    hot = np.flatnonzero(_among(v, heavy))
+    shard[hot] = shard_of(pair_hash(v[hot], w[hot] >> np.uint64(16)), shards)
+    own = np.flatnonzero(shard * RANGES // shards == part)
+    return own, shard[own]
+
+
+def _triple_places(tokens: np.ndarray, heavy: np.ndarray, shards: int, part: int) -> tuple[np.ndarray, ...]:
+    """First, second and third words of the triples of one range, repeats included, and their shards."""
+    last = np.flatnonzero(tokens[1:] != START)
+    first, last, word = tokens[np.where(tokens[last] == START, last, last - 1)], tokens[last], tokens[last + 1]  # a start stands before the start
+    own, shard = _in_range(pair_hash(first, last), word, heavy, shards, part)
+    return first[own], last[own], word[own], shard
+
+
+def _triple_parts(first: np.ndarray, last: np.ndarray, word: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """(shard, words, places of the three words among these, counts) of distinct triples, of HELD triples at a time."""
+    for k in range(0, len(word), HELD):
+        dealt = np.argsort(shard[k : k + HELD].astype(np.min_scalar_type(int(shard.max()))), kind="stable") + k
+        for s, a, b in _runs(shard[dealt]):
+            own = dealt[a:b]
+            known, at = np.unique(np.concatenate([first[own], last[own], word[own]]), return_inverse=True)
+            bits, n = len(known).bit_length(), b - a
+            code, c = np.unique(at[:n] << 2 * bits | at[n : 2 * n] << bits | at[2 * n :], return_counts=True)
+            places = (code >> 2 * bits, code >> bits & (1 << bits) - 1, code & (1 << bits) - 1)
+            yield s, _bound(_split(known)), _bound([_planes(x, -(-bits // 8)) for x in places]), _narrow(c)
+
+
+def _from_triple_part(words: bytes, places: bytes, c: bytes) -> tuple[np.ndarray, ...]:
+    """Contexts, 48-bit words, counts and last words of the contexts of a row of :func:`_triple_parts`."""
+    known = _whole(*_unbound(words))
+    first, last, word = (known[_from_planes(x)] for x in _unbound(places))
+    return pair_hash(first, last), word >> np.uint64(16), _wide(c, len(word)), last
 
 
 def _parts(v: np.ndarray, w: np.ndarray, c: np.ndarray, last: np.ndarray, heavy: np.ndarray, shards: int, order: int = 2) -> list[tuple]:
@@ -156,8 +221,8 @@ def _parts(v: np.ndarray, w: np.ndarray, c: np.ndarray, last: np.ndarray, heavy:
 
     With order 2 the contexts are words themselves, and the last words are left out.
     """
-    shard = np.where(np.isin(v, heavy), shard_of(pair_hash(v, w), shards), shard_of(v, shards))
-    dealt = np.argsort(shard, kind="stable")  # within a shard still by context
+    shard = np.where(_among(v, heavy), shard_of(pair_hash(v, w), shards), shard_of(v, shards))
+    dealt = np.argsort(shard.astype(np.min_scalar_type(shards)), kind="stable")  # within a shard still by context
     v, w, c, last, shard = v[dealt], w[dealt], c[dealt], last[dealt], shard[dealt]
     rows = []
     for s, a, b in _runs(shard):
@@ -183,6 +248,15 @@ def _wide(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64) if n else np.empty(0, np.int64)
 
 
+def _planes(x: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes of numbers, all first bytes before all second ones: these repeat where numbers ascend."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T)
+
+
+def _from_planes(planes: np.ndarray) -> np.ndarray:
+    return sum(x.astype(np.int64) << 8 * k for k, x in enumerate(planes))
+
+
 def _six(w: np.ndarray) -> bytes:
     """48-bit numbers as six bytes each."""
     return np.ascontiguousarray(w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
@@ -227,21 +301,28 @@ def _decoded(data: bytes) -> np.ndarray:
 
 
 def _split(keys: np.ndarray) -> list[np.ndarray]:
-    """Sorted hashes as their last 48 bits, 32 and 16, and where each value of the first 16 begins; whole if that is shorter."""
-    top = (keys >> np.uint64(48)).astype(np.int64)
-    first = int(top[0]) if len(top) else 0
-    begins = np.cumsum(np.bincount(top - first + 1)) if len(top) else np.zeros(1, np.int64)
-    if len(keys) <= 2 * len(begins):
-        return [keys, np.empty(0, np.uint32), np.empty(0, np.uint32), np.empty(0, np.uint16)]
-    return [np.array([first], np.uint64), begins.astype(np.uint32), (keys >> np.uint64(16)).astype(np.uint32), keys.astype(np.uint16)]
+    """Sorted hashes by their first bits: where each of their values begins, PER_VALUE hashes or so, and the bits below in two columns; whole if few.
+
+    The first array holds the first value and the number of bits below.
+    """
+    bits = ((int(keys[-1]) - int(keys[0]) + 1) * PER_VALUE // len(keys)).bit_length() - 1 if len(keys) else 64
+    if bits > 48:
+        return [keys, np.empty(0, np.uint32), np.empty(0, np.uint32), np.empty(0, np.uint8)]
+    bits = max(bits, 0)
+    top, rest = keys >> np.uint64(bits), max(bits - 32, 0)
+    begins = np.cumsum(np.bincount((top - top[0]).astype(np.int64) + 1))
+    low = keys & np.uint64((1 << rest) - 1)
+    middle = keys >> np.uint64(rest) & np.uint64((1 << min(bits, 32)) - 1)
+    return [np.array([top[0], bits], np.uint64), begins.astype(np.uint32), middle.astype(np.uint32), low.astype(np.uint8 if rest <= 8 else np.uint16)]
 
 
 def _whole(keys: np.ndarray, begins: np.ndarray, middle: np.ndarray, low: np.ndarray) -> np.ndarray:
     """The hashes of :func:`_split`."""
     if not len(begins):
         return keys
+    rest = np.uint64(max(int(keys[1]) - 32, 0))
     top = np.repeat(np.arange(len(begins) - 1, dtype=np.uint64) + keys[0], np.diff(begins.astype(np.int64)))
-    return top << np.uint64(48) | middle.astype(np.uint64) << np.uint64(16) | low.astype(np.uint64)
+    return top << keys[1] | middle.astype(np.uint64) << rest | low.astype(np.uint64)
 
 
 def _places(keys: np.ndarray, begins: np.ndarray, middle: np.ndarray, low: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,22 +332,32 @@ def _places(keys: np.ndarray, begins: np.ndarray, middle: np.ndarray, low: np.nd
             return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         return at, keys[at] == wanted
-    bucket = (wanted >> np.uint64(48)).astype(np.int64) - int(keys[0])
-    inside = (bucket >= 0) & (bucket < len(begins) - 1)
-    bucket = np.where(inside, bucket, 0)
-    begin, stop = begins[bucket].astype(np.int64), begins[bucket + 1].astype(np.int64)
-    end, last = np.where(inside, stop, begin), len(middle) - 1
-    stop, part, rest = end, (wanted >> np.uint64(16)).astype(np.uint32), wanted.astype(np.uint16)
-    while (some := begin < end).any():  # halve each one's range, which holds few
-        at = (begin + end) >> 1
-        below = some & (middle[np.minimum(at, last)] < part)
-        begin, end = np.where(below, at + 1, begin), np.where(some & ~below, at, end)
-    while True:  # hashes with the same 48 bits in front are next to each other
+    bits, rest = int(keys[1]), max(int(keys[1]) - 32, 0)
+    value = (wanted >> keys[1]) - keys[0]
+    inside = value < len(begins) - 1
+    value = np.where(inside, value, np.uint64(0)).astype(np.int64)
+    begin, stop = begins[value].astype(np.int64), begins[value + 1].astype(np.int64)
+    stop = np.where(inside, stop, begin)
+    last = len(middle) - 1
+    part = (wanted >> np.uint64(rest) & np.uint64((1 << min(bits, 32)) - 1)).astype(np.uint32)
+    below = (wanted & np.uint64((1 << rest) - 1)).astype(low.dtype)
+    # Hashes are spread evenly: from about the right place there are few steps to the first that is not smaller.
+    near = begin + ((stop - begin) * (part / (1 << min(bits, 32)))).astype(np.int64)
+    some = np.flatnonzero((near < stop) & (middle[np.minimum(near, last)] < part))
+    while len(some):
+        near[some] += 1
+        some = some[(near[some] < stop[some]) & (middle[np.minimum(near[some], last)] < part[some])]
+    some = np.flatnonzero((near > begin) & (middle[near - 1] >= part))
+    while len(some):
+        near[some] -= 1
+        some = some[(near[some] > begin[some]) & (middle[near[some] - 1] >= part[some])]
+    begin = near
+    while True:  # hashes that differ in the last column alone are next to each other
         near = np.minimum(begin, last)
         same = (begin < stop) & (middle[near] == part)
-        ahead = same & (low[near] < rest)
+        ahead = same & (low[near] < below)
         if not ahead.any():
-            return near, same & (low[near] == rest)
+            return near, same & (low[near] == below)
         begin = begin + ahead
 
 
@@ -384,13 +475,12 @@ class PairModel:
         return self._open[name]
 
     def _look(self, keys: np.ndarray, shard: np.ndarray, name: str, values: str) -> np.ndarray:
-        """Counts or statistics ``values`` of keys in ascending shards; zeros where a key is not there."""
+        """Counts or statistics ``values`` of keys in ascending shards, ascending in each so that files are walked once; zeros where a key is not there."""
         out = np.zeros((len(keys), 4) if name.endswith("context") else len(keys), dtype=np.int64)
         for s, a, b in _runs(shard):
             known, rows = self._map(f"{name}-{s:05d}"), self._map(f"{values}-{s:05d}")
-            order = np.argsort(keys[a:b])  # ascending keys walk the file once
-            at, hit = _places(*known, keys[a:b][order])
-            out[a + order[hit]] = _longer(at[hit], *rows)
+            at, hit = _places(*known, keys[a:b])
+            out[a + np.flatnonzero(hit)] = _longer(at[hit], *rows)
         return out
 
     def contexts(self, v: np.ndarray, name: str = "context") -> np.ndarray:
@@ -406,8 +496,9 @@ class PairModel:
     def _seen(self, v: np.ndarray, w: np.ndarray, heavy: np.ndarray, name: str) -> np.ndarray:
         """Counts of words after their contexts."""
         keys = pair_hash(v, w)
-        shard = np.where(np.isin(v, heavy), shard_of(keys, self.shards), shard_of(v, self.shards))
-        order = np.argsort(shard, kind="stable")
+        shard = np.where(_among(v, heavy), shard_of(keys, self.shards), shard_of(v, self.shards))
+        order = np.argsort(keys)
+        order = order[np.argsort(shard[order].astype(np.min_scalar_type(self.shards)), kind="stable")]
         n = np.empty(len(v), dtype=np.int64)
         n[order] = self._look(keys[order], shard[order], name, f"{name}-stats")
         return n
@@ -451,30 +542,36 @@ class PairModel:
         return sums((count > 0).astype(np.int64)[token]), sums(base[token]), sums(np.log10(p)[which_p])
 
 
-def _heavy_words(docs: DataFrame, text: str, share: float, order: int = 2) -> np.ndarray:
-    """Contexts (of triples with order 3) with at least ``share`` of all tokens; it only decides where their pairs are kept."""
+def _heavy_contexts(docs: DataFrame, text: str, share: float, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words, and with order 3 contexts of triples, with at least ``share`` of all tokens; it only decides where their pairs are kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             for texts in _pieces(batch.column(0)):
-                tokens, _ = words(texts)
+                contexts = [words(texts)[0]]
                 if order == 3:
-                    follows = np.flatnonzero(tokens[1:] != START)
-                    before = np.where(tokens[follows] == START, follows, follows - 1)
-                    tokens = pair_hash(tokens[before], tokens[follows])
-                h, n = np.unique(tokens, return_counts=True)
-                some = n >= share * len(tokens) / 2
-                # One more row, hash 0, holds the number of tokens.
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.append(h[some], np.uint64(0)).view(np.int64)), pa.array(np.append(n[some], len(tokens)))], names=["h", "n"]
-                )
-
-    totals = docs.select(text).mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
-    all_tokens = totals.where(F.col("h") == 0).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all")).first()["all"]
-    # Each has at least ``share`` of the tokens, so there are at most 1 / share.
-    rows = totals.where((F.col("h") != 0) & (F.col("n") >= share * all_tokens)).select("h").toArrow()
-    return np.sort(rows.column("h").to_numpy().view(np.uint64))
+                    follows = np.flatnonzero(contexts[0][1:] != START)
+                    before = np.where(contexts[0][follows] == START, follows, follows - 1)
+                    contexts.append(pair_hash(contexts[0][before], contexts[0][follows]))
+                for size, x in enumerate(contexts, 1):
+                    h, n = np.unique(x, return_counts=True)
+                    some = n >= share * len(x) / 2
+                    # One more row, hash 0, holds the number of tokens.
+                    h, n = np.append(h[some], np.uint64(0)).view(np.int64), np.append(n[some], len(x))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), size, np.int32)), pa.array(h), pa.array(n)], names=["size", "h", "n"])
+
+    counted = docs.select(text).mapInArrow(run, "size int, h bigint, n bigint")
+    totals = materialize(counted.groupBy("size", "h").agg(F.sum("n").alias("n")), "heavy-contexts")
+    found = []
+    for size in (1, 2):
+        own = totals.where(F.col("size") == size)
+        all_tokens = own.where(F.col("h") == 0).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all")).first()["all"]
+        # Each has at least ``share`` of the tokens, so there are at most 1 / share.
+        rows = own.where((F.col("h") != 0) & (F.col("n") >= share * all_tokens)).select("h").toArrow()
+        found.append(np.sort(rows.column("h").to_numpy().view(np.uint64)))
+    discard(totals)
+    return found[0], found[1]
 
 
 def _merged(split: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -500,8 +597,7 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
     os.makedirs(folder, exist_ok=True)
     if order not in (2, 3):
         raise ValueError(f"order {order}: 2 or 3")
-    heavy = _heavy_words(docs, text, heavy_share)
-    heavy_pairs = _heavy_words(docs, text, heavy_share, 3) if order == 3 else np.empty(0, np.uint64)
+    heavy, heavy_pairs = _heavy_contexts(docs, text, heavy_share, order)
     part_names = ["shard", "v", "n", "w", "c", "last"]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -509,7 +605,7 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         held: list[tuple[np.ndarray, ...]] = []
 
         def pieces() -> Iterator[pa.RecordBatch]:
-            rows = _parts(*_combine(*(np.concatenate(x) for x in zip(*held))), heavy if order == 2 else heavy_pairs, shards, order)
+            rows = _parts(*_combine(*(np.concatenate(x) for x in zip(*held))), heavy, shards)
             kinds = [pa.int32(), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=part_names)
             held.clear()
@@ -518,7 +614,7 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         for batch in batches:
             for texts in _pieces(batch.column(0)):
                 tokens, _ = words(texts)
-                held.append(_counts(tokens, order))
+                held.append(_counts(tokens))
                 size += len(held[-1][0])
                 if size >= HELD:
                     merged = _combine(*(np.concatenate(x) for x in zip(*held)))
@@ -529,36 +625,57 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         if held:
             yield from pieces()
 
+    def counted_triples(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def pieces() -> Iterator[pa.RecordBatch]:
+            rows = _triple_parts(*(np.concatenate(x) for x in zip(*held)))
+            held.clear()
+            for row in rows:
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), *[pa.binary()] * 3))], names=["shard", "words", "places", "c"])
+
+        for batch in batches:
+            for texts in _pieces(batch.column(0)):
+                held.append(_triple_places(words(texts)[0], heavy_pairs, shards, part))
+                if sum(len(h[0]) for h in held) >= HELD:
+                    yield from pieces()
+        if held:
+            yield from pieces()
+
     def tripled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Write a shard of triples; hand on their pairs and the counts of the words before the last."""
         blobs = [b for b in batches if b.num_rows]
         if not blobs:
             return
         shard = blobs[0].column(0)[0].as_py()
-        parts = [_from_part(*row) for b in blobs for row in zip(*(b.column(k).to_pylist() for k in range(1, 6)))]
-        v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-        last = np.concatenate([np.repeat(p[4], p[1]) for p in parts])
-        v, w, c, last = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]), last)
+        parts = [_from_triple_part(*row) for b in blobs for row in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
+        parts = [np.concatenate(x) for x in zip(*parts)]
+        keys, v, w, c, last = _summed(*parts)
         del parts, blobs
+        _save(folder, f"triple-{shard:05d}", keys)
+        _save_counts(folder, f"triple-stats-{shard:05d}", c)
+        del keys
+        by_context = np.argsort(v)
+        v, w, c, last = (x[by_context] for x in (v, w, c, last))
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (c, c == 1, c == 2, c > 2)], axis=1)
         context = v[first]
-        own = ~np.isin(context, heavy_pairs)
+        own = ~_among(context, heavy_pairs)
         _save(folder, f"pair-context-{shard:05d}", context[own])
         _save_counts(folder, f"pair-context-stats-{shard:05d}", stats[own])
-        keys = pair_hash(v, w)
-        by_key = np.argsort(keys)
-        _save(folder, f"triple-{shard:05d}", keys[by_key])
-        _save_counts(folder, f"triple-stats-{shard:05d}", c[by_key])
         tally = np.array([int(c.sum()), *[int((c == k).sum()) for k in (1, 2, 3, 4)]], dtype=np.int64)
         split = stats[~own]
         rows = [("tally", 0, b"", b"", b"", tally.tobytes(), b""), ("heavy", 0, context[~own].tobytes(), b"", b"", split.tobytes(), b"")]
-        word, at = np.unique(last[first], return_inverse=True)
-        totals = np.bincount(at, weights=stats[:, 0], minlength=len(word)).astype(np.int64)
+        del by_context, v, stats, context
+        # How many words stand before a pair, and how often it stands in the text.
+        _, last, w, n = _summed(last, w, np.stack([np.ones(len(w), np.int64), c], axis=1))
+        by_word = np.argsort(last)
+        last, w, n = last[by_word], w[by_word], n[by_word]
+        begins = _begins(last)
+        word, totals = last[begins], np.add.reduceat(n[:, 1], begins)
         rows += [("count", s, word[a:b].tobytes(), b"", b"", totals[a:b].tobytes(), b"") for s, a, b in _runs(shard_of(word, shards))]
-        del keys, by_key, v, stats
-        pair = _combine(last, w, np.ones(len(w), dtype=np.int64), last)
-        rows += [("pair", *x) for x in _parts(*pair, heavy, shards)]
+        rows += [("pair", *x) for x in _parts(last, w, n[:, 0], last, heavy, shards)]
         for k in range(0, len(rows), 64):
             kinds = (pa.string(), pa.int32(), *[pa.binary()] * 5)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[k : k + 64]), kinds)], names=["kind", *part_names])
@@ -584,18 +701,18 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         shard = blobs[0].column(0)[0].as_py()
         parts = [_from_part(*row) for b in blobs for row in zip(*(b.column(k).to_pylist() for k in range(1, 5)))]
         v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-        v, w, c = _combine(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
+        keys, v, w, c = _summed(v, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
         del parts, blobs
+        _save(folder, f"pair-{shard:05d}", keys)
+        _save_counts(folder, f"pair-stats-{shard:05d}", c)
+        by_context = np.argsort(v)
+        v, w, c = v[by_context], w[by_context], c[by_context]
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (c, c == 1, c == 2, c > 2)], axis=1)
         context = v[first]
-        own = ~np.isin(context, heavy)
+        own = ~_among(context, heavy)
         _save(folder, f"context-{shard:05d}", context[own])
         _save_counts(folder, f"context-stats-{shard:05d}", stats[own])
-        keys = pair_hash(v, w)
-        order = np.argsort(keys)
-        _save(folder, f"pair-{shard:05d}", keys[order])
-        _save_counts(folder, f"pair-stats-{shard:05d}", c[order])
         followers, types = np.unique(w, return_counts=True)
         rows = []
         for s, a, b in _runs(shard_of(followers << np.uint64(16), shards)):
@@ -608,20 +725,32 @@ def fit_pairs(docs: DataFrame, text: str = "text", shards: int | None = None, fo
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.binary(), pa.binary()))], names=["kind", "shard", "keys", "numbers"])
 
     part_schema = "shard int, v binary, n binary, w binary, c binary, last binary"
-    pieces = docs.select(text).mapInArrow(counted, part_schema)
     few_triples: list[dict] = []
-    if order == 3:
-        triples = materialize(pieces.repartitionById(shards, F.col("shard")).mapInArrow(tripled, f"kind string, {part_schema}"), "triple-parts")
-        few_triples = triples.where(F.col("kind").isin("tally", "heavy")).select("kind", "v", "c").toArrow().to_pylist()
-        word_counts = triples.where(F.col("kind") == "count").repartitionById(shards, F.col("shard"))
+    shard_range = F.floor(F.col("shard") * RANGES / shards).cast("int").alias("part")
+    if order == 2:
+        pieces = [docs.select(text).mapInArrow(counted, part_schema)]
+    else:
+        triple_schema, pair_schema = "shard int, words binary, places binary, c binary", f"kind string, {part_schema}"
+        pairs = scratch_path(spark, "triple-pairs")
+        of_pairs = lambda: spark.read.schema(f"{pair_schema}, part int").parquet(pairs)
         with shuffles_removed(spark):
+            for k in range(RANGES):
+                triples = docs.select(text).mapInArrow(partial(counted_triples, part=k), triple_schema)
+                made = triples.repartitionById(shards, F.col("shard")).mapInArrow(tripled, pair_schema)
+                made.select("*", shard_range).write.mode("append").partitionBy("part").parquet(pairs)
+            few_triples = of_pairs().where(F.col("kind").isin("tally", "heavy")).select("kind", "v", "c").toArrow().to_pylist()
+            word_counts = of_pairs().where(F.col("kind") == "count").drop("part").repartitionById(shards, F.col("shard"))
             word_counts.mapInArrow(numbered, "n bigint").agg(F.sum("n")).first()
-        pieces = triples.where(F.col("kind") == "pair").select(*part_names)
-    placed = pieces.repartitionById(shards, F.col("shard"))
-    # Written at once: the tasks also leave the files of their shards.
-    made = materialize(placed.mapInArrow(sharded, "kind string, shard int, keys binary, numbers binary"), "pair-parts")
+        pieces = [of_pairs().where((F.col("part") == k) & (F.col("kind") == "pair")).select(*part_names) for k in range(RANGES)]
+    made = []
+    for k, piece in enumerate(pieces):
+        # Written at once: the tasks also leave the files of their shards.
+        made.append(materialize(piece.repartitionById(shards, F.col("shard")).mapInArrow(sharded, "kind string, shard int, keys binary, numbers binary"), "pair-parts"))
+        if order == 3:
+            discard_folder(spark, f"{pairs}/part={k}")
     if order == 3:
-        discard(triples)
+        discard_folder(spark, pairs)
+    made = reduce(DataFrame.unionByName, made)
 
     def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [b for b in batches if b.num_rows]
@@ -681,7 +810,7 @@ def with_scores(df: DataFrame, model: PairModel, text: str = "text") -> DataFram
         for batch in batches:
             names = [n for n in batch.schema.names if n not in new]
             parts = []
-            for texts in _pieces(batch.column(text)):
+            for texts in _pieces(batch.column(text), 2):  # the more words, the fewer look-ups for each
                 tokens, sizes = words(texts)
                 parts.append((sizes - 1, *model.score(tokens, sizes)))
             made = [pa.array(np.concatenate(x)) for x in zip(*parts)] if parts else [pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())] * 2

@@ -3,10 +3,13 @@
 import math
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
 import pytest
 
 from sievemark.llm import kneser_ney
+from sievemark.storage import shared_folder
 
 
 def _modified(counts):
@@ -79,3 +82,48 @@ def test_no_text_and_other_orders(spark):
     assert [(r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in rows] == [(1, 0, 0.0, 0.0), (3, 0, 0.0, 0.0)]
     with pytest.raises(ValueError):
         kneser_ney.fit_pairs(empty, order=4)
+
+
+def _random_texts():
+    rng = random.Random(23)
+    return [" ".join(f"w{rng.randrange(20_000)}" for _ in range(50)) for _ in range(2_000)]
+
+
+def test_ranges_hold_all_triples_in_pieces_of_few_bytes(monkeypatch):
+    tokens, _ = kneser_ney.Words()([t.encode() for t in _random_texts()])
+    heavy = np.unique(kneser_ney.pair_hash(tokens[:1], tokens[:1]))  # that of two starts
+    want = Counter(zip(*(x.tolist() for x in _plain_triples(tokens))))
+    got, sizes = Counter(), []
+    monkeypatch.setattr(kneser_ney, "HELD", 30_000)
+    for part in range(kneser_ney.RANGES):
+        places = kneser_ney._triple_places(tokens, heavy, 6, part)
+        rows = list(kneser_ney._triple_parts(*places))
+        assert {s * kneser_ney.RANGES // 6 for s, *_ in rows} == {part}
+        sizes.append(sum(len(x) for row in rows for x in row[1:]))
+        for row in rows:
+            v, w, c, last = kneser_ney._from_triple_part(*row[1:])
+            for *key, n in zip(v.tolist(), w.tolist(), last.tolist(), c.tolist()):
+                got[tuple(key)] += n
+    assert got == want and max(sizes) < 0.4 * sum(sizes)
+
+
+def _plain_triples(tokens):
+    last = np.flatnonzero(tokens[1:] != kneser_ney.START)
+    first = np.where(tokens[last] == kneser_ney.START, last, last - 1)
+    return kneser_ney.pair_hash(tokens[first], tokens[last]), tokens[last + 1] >> np.uint64(16), tokens[last]
+
+
+def test_pieces_are_deleted_and_texts_read_once_for_each_range(spark, tmp_path):
+    texts = _random_texts()[:50]
+    shared = Path(kneser_ney.local_path(shared_folder(spark)))
+    before, reads = set(shared.iterdir()), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(counted, "text string")
+    model = kneser_ney.fit_pairs(docs, shards=6, folder=str(tmp_path), order=3)
+    assert model.tokens == 51 * 50 and set(shared.iterdir()) == before
+    assert reads.value == 50 * (kneser_ney.RANGES + 1)
