@@ -193,7 +193,7 @@ s_scored AS (
   FROM (SELECT *, length(replace(type, '.', '')) AS letters FROM s_count) JOIN s_total ON k > 0 AND type <> '##')"""
 
 SENTENCE_MODEL = rf"""
-s_short AS (SELECT type FROM s_scored WHERE score >= 0.3 ORDER BY n DESC, type LIMIT 5000),
+s_short AS (SELECT type FROM s_scored WHERE score >= 0.3),
 s_place AS MATERIALIZED (
   SELECT t.*, p.tok AS p_tok, p.type AS p_type, p.dotted AS p_dotted,
          coalesce(p.type = '##' OR length(p.type) = 1 OR p.type IN (FROM s_short), false) AS p_short
@@ -206,12 +206,11 @@ s_used AS (
 s_starts AS (SELECT count(*)::DOUBLE AS breaks FROM s_state WHERE state = 0),
 s_first AS (
   SELECT type FROM s_used, s_starts, s_total WHERE n_start > 0
-    AND ((n_lower > 0 AND n_inside = 0) OR (n_all * n_start > breaks * n AND {_pair_likelihood('breaks', 'n', 'n_start', 'n_all')} >= 30))
-  ORDER BY n DESC, type LIMIT 5000),
+    AND ((n_lower > 0 AND n_inside = 0) OR (n_all * n_start > breaks * n AND {_pair_likelihood('breaks', 'n', 'n_start', 'n_all')} >= 30))),
 s_met AS (SELECT p_type AS a, type AS b, count(*) AS n FROM s_place WHERE p_dotted AND p_short AND type IS NOT NULL GROUP BY 1, 2),
 s_bound AS (
   SELECT a, b FROM (SELECT m.*, x.n AS na, y.n AS nb FROM s_met m JOIN s_count x ON x.type = a JOIN s_count y ON y.type = b), s_total
-  WHERE n_all * n > na * nb AND {_pair_likelihood('na', 'nb', 'n', 'n_all')} >= 7.88 ORDER BY n DESC, a || ' ' || b LIMIT 5000),
+  WHERE n_all * n > na * nb AND {_pair_likelihood('na', 'nb', 'n', 'n_all')} >= 7.88),
 s_piece AS (
   SELECT doc_id, list_filter(regexp_split_to_array(l, '[ \t]+'), lambda w: w <> '') AS toks, row_number() OVER () AS piece
   FROM (SELECT doc_id, unnest(regexp_split_to_array(c4_text, '[\r\n]')) AS l FROM c4)),

@@ -7,6 +7,7 @@ corpus; no language's word list is built in.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,6 +23,7 @@ CLOSING = r"""["')\],;:!?]+$"""
 WORD = r"^\p{L}[\p{L}.'-]*$"
 NUMBER = r"^[0-9]+$"
 ANY_NUMBER = "##"  # all numbers count as one word
+PER_BUCKET = 64  # entries of a model's list that a look compares with, on average
 HELD_PLACE = r"(?<![^ \t\r\n])([^ \t\r\n]*\.)[ \t]+(?=([^ \t\r\n]+))"
 
 
@@ -32,8 +34,6 @@ class SentenceRules:
     min_starter: float = 30.0
     min_collocation: float = 7.88
     sure: float = 0.99  # odds of a full stop after an abbreviation
-    # The model goes into the plan of every query that uses it, so each of its lists is bounded.
-    max_words: int = 5_000
 
 
 def bare(token: Column) -> Column:
@@ -144,7 +144,12 @@ def abbreviation_scores(counts: DataFrame, n: int, n_dotted: int, rules: Sentenc
 
 @dataclass(frozen=True)
 class Sentences:
-    """Words that end in a full stop, words that begin a sentence after one, and pairs that a full stop doesn't part."""
+    """Words that end in a full stop, words that begin a sentence after one, and pairs that a full stop doesn't part.
+
+    All that passed its threshold, however many: the lists grow with the corpus's
+    vocabulary. They go to the driver and, as one literal each, into the plan of
+    every query that uses the model.
+    """
 
     abbreviations: frozenset[str] = field(default_factory=frozenset)
     starters: frozenset[str] = field(default_factory=frozenset)
@@ -153,10 +158,11 @@ class Sentences:
     def held(self, prev: Column, cur: Column) -> Column:
         """True where the full stop at the end of ``prev`` ends no sentence."""
         first, second = word_type(prev), word_type(cur)
-        begins = capital(cur) & _within(second, self.starters)
-        short = _within(first, self.abbreviations) & ~begins
-        bound = _within(F.concat_ws(" ", first, second), self.pairs) & ~_within(second, self.starters)
-        return F.coalesce(dotted(prev) & (short | bound), F.lit(False))
+        short = _within(first, self.abbreviations)
+        bound = _within(F.concat_ws(" ", first, second), self.pairs)
+        # A starter ends the sentence where it has a capital after an abbreviation, and in any case in a pair. Asked once: its list is the longest.
+        held = (short & ~capital(cur)) | ((short | bound) & ~_within(second, self.starters))
+        return F.coalesce(dotted(prev) & held, F.lit(False))
 
     def n_held(self, text: Column | str) -> Column:
         """How many of a text's full stops before a blank end no sentence. No shuffle, no Python."""
@@ -166,12 +172,23 @@ class Sentences:
 
 
 def _within(value: Column, listed: frozenset[str]) -> Column:
-    return F.coalesce(value.isin(sorted(listed)), F.lit(False)) if listed else F.lit(False)
+    """Whether a word or pair without line feeds is listed; false for null.
+
+    The list is one literal that the optimizer folds into an array of buckets by
+    CRC-32, so a look costs the same, and the plan has as many nodes, at any length.
+    """
+    if not listed:
+        return F.lit(False)
+    buckets: list[list[str]] = [[] for _ in range(-(-len(listed) // PER_BUCKET))]
+    for entry in sorted(listed):
+        buckets[zlib.crc32(entry.encode()) % len(buckets)].append(f"\n{entry}\n")
+    cut = F.split(F.lit("\r".join("".join(b) for b in buckets)), "\r")
+    bucket = F.get(cut, F.pmod(F.crc32(value.cast("binary")), F.lit(len(buckets))).cast("int"))
+    return F.coalesce(bucket.contains(F.concat(F.lit("\n"), value, F.lit("\n"))), F.lit(False))
 
 
-def _most(df: DataFrame, key: str, rules: SentenceRules) -> frozenset[str]:
-    top = df.orderBy(F.desc("n"), key).limit(rules.max_words)
-    return frozenset(row[0] for row in top.select(key).collect())
+def _listed(df: DataFrame, key: str) -> frozenset[str]:
+    return frozenset(row[0] for row in df.select(key).collect())
 
 
 def fit_sentences(df: DataFrame, text: str = "text", rules: SentenceRules = SentenceRules()) -> Sentences:
@@ -179,9 +196,9 @@ def fit_sentences(df: DataFrame, text: str = "text", rules: SentenceRules = Sent
 
     The texts are read once, for one aggregate with map-side combine: distinct
     tokens by what precedes them. Words, words by what precedes them and pairs
-    across a full stop are counted from that table. Of each list the ``max_words`` most frequent
-    entries reach the driver. An empty table gives empty lists, with which every
-    full stop ends a sentence.
+    across a full stop are counted from that table. Every entry that passes its
+    threshold reaches the driver. An empty table gives empty lists, with which
+    every full stop ends a sentence.
     """
     seen = settle(place_counts(df, text), {"_bare": bare(F.col("prev"))})
     seen = settle(seen, {"_word": F.regexp_replace(F.lower("_bare"), r"\.$", "")})
@@ -195,7 +212,7 @@ def fit_sentences(df: DataFrame, text: str = "text", rules: SentenceRules = Sent
         discard(counts)
         return Sentences()
     scored = abbreviation_scores(counts, total.n, total.dots, rules)
-    model = Sentences(_most(scored.where(F.col("score") >= rules.min_abbreviation), "type", rules))
+    model = Sentences(_listed(scored.where(F.col("score") >= rules.min_abbreviation), "type"))
 
     first = F.col("first")
     # Numbers and initials may end a sentence or not: what follows them tells nothing about starts.
@@ -218,7 +235,7 @@ def fit_sentences(df: DataFrame, text: str = "text", rules: SentenceRules = Sent
     often = (pair_likelihood(starts, F.col("n"), F.col("n_start"), n) >= rules.min_starter) & (n * F.col("n_start") > starts * F.col("n"))
     only = (F.col("n_lower") > 0) & (F.col("n_inside") == 0)
     words = used.where((F.col("n_start") > 0) & F.col("type").isNotNull() & (F.col("type") != ANY_NUMBER))
-    model = Sentences(model.abbreviations, _most(words.where(often | only), "type", rules))
+    model = Sentences(model.abbreviations, _listed(words.where(often | only), "type"))
 
     across = _described(seen.where("stop").where(short & first.isNotNull()).select("first", "cur", "times"))
     across = across.withColumnRenamed("type", "second").where(F.col("second").isNotNull())
@@ -228,7 +245,7 @@ def fit_sentences(df: DataFrame, text: str = "text", rules: SentenceRules = Sent
     met = met.join(n_of.withColumnsRenamed({"type": "second", "n_of": "n_second"}), "second")
     bound = pair_likelihood(F.col("n_first"), F.col("n_second"), F.col("n"), n) >= rules.min_collocation
     met = met.where(bound & (n * F.col("n") > F.col("n_first") * F.col("n_second")))
-    pairs = _most(met.withColumn("pair", F.concat_ws(" ", "first", "second")), "pair", rules)
+    pairs = _listed(met.withColumn("pair", F.concat_ws(" ", "first", "second")), "pair")
     for made in (seen, counts, used):
         discard(made)
     return Sentences(model.abbreviations, model.starters, pairs)

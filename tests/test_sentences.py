@@ -114,3 +114,26 @@ def test_texts_are_read_once_and_patterns_tried_on_distinct_tokens(spark, corpus
     assert sorted((str(r.prev), r.cur, r.times) for r in rows) == sorted(
         [("None", "a", 1), ("", "b.", 2), ("b.", "C", 2), ("", "d!", 1), ("d!", "e", 1), ("None", "f", 1)]
     )
+
+
+def test_no_list_is_cut(spark):
+    # Each word stands at the start of a line, and later in lower case: all of them begin sentences.
+    words = ["".join(chr(97 + (k // 26**i) % 26) for i in range(3)) + "mor" for k in range(6_000)]
+    lines = [f"{w.capitalize()} came and the {w} went." for w in words]
+    model = fit_sentences(spark.createDataFrame([("\n".join(lines[k : k + 50]),) for k in range(0, len(lines), 50)], "text string"))
+    assert set(words) <= model.starters
+
+
+def test_long_lists_are_looked_up_whole(spark):
+    starters = frozenset(f"w{'é' * (k % 3)}{chr(97 + k % 26)}{'x' * (k // 26)}" for k in range(3_000))
+    pairs = frozenset(f"## {w}" for w in starters)
+    model = Sentences(frozenset({"dr"}), starters, pairs)
+    assert model.starters == starters
+    some = sorted(starters)[::40]
+    texts = [(f"Dr. {w.capitalize()} went. Dr. {w}y went. 3. {w}",) for w in some]
+    held = spark.createDataFrame(texts, "text string").select(model.n_held("text")).collect()
+    # A starter ends the sentence after an abbreviation and parts a pair; another word does not.
+    assert [r[0] for r in held] == [1] * len(some)
+    apart = Sentences(frozenset(), frozenset(), pairs)
+    held = spark.createDataFrame([(f"3. {w} or 4. {w}q.",) for w in some], "text string").select(apart.n_held("text")).collect()
+    assert [r[0] for r in held] == [1] * len(some)
